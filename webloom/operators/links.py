@@ -39,7 +39,8 @@ def extract_links(pages: DataFrame, unique: bool = True) -> DataFrame:
         df = df.withColumn(
             "_l", F.sort_array(F.transform("_l", lambda x: F.struct(x["pos"].alias("pos"), x["url"].alias("url"),
                                                                      x["href"].alias("href")))))
-    out = df.select("page_id", "src_url", F.posexplode("_l").alias("idx", "_x"))
+    # explode_outer: no inferred size() filter, so the regex runs once per page
+    out = df.select("page_id", "src_url", F.posexplode_outer("_l").alias("idx", "_x")).filter(F.col("idx").isNotNull())
     return out.select("page_id", "src_url", F.col("idx").cast("bigint").alias("idx"),
                       F.col("_x.href").alias("href"), F.col("_x.url").alias("url"))
 

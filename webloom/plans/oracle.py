@@ -180,3 +180,143 @@ walk(node, depth) AS (
 )
 SELECT node AS page_id, CAST(min(depth) AS BIGINT) AS depth FROM walk GROUP BY node
 """
+
+
+# ---- DOM: the same interval encoding, written as a DuckDB CTE chain ------------------
+from webloom.functions import text as _T  # noqa: E402
+from webloom.operators import dom as _D  # noqa: E402
+
+
+def _inlist(xs) -> str:
+    return "(" + ", ".join(q(x) for x in xs) + ")"
+
+
+def decode(s: str) -> str:
+    for ent, ch in _T.ENTITIES:
+        s = f"replace({s}, {q(ent)}, {q(ch)})"
+    return s
+
+
+def clean(h: str) -> str:
+    s = f"regexp_replace({h}, {q(_T.COMMENT_RE)}, '', 'g')"
+    s = f"regexp_replace({s}, {q(_T.SCRIPT_RE)}, '', 'g')"
+    return f"regexp_replace({s}, {q(_T.STYLE_RE)}, '', 'g')"
+
+
+def page_text(h: str) -> str:
+    return decode(f"regexp_replace({clean(h)}, {q(_T.TAG_RE)}, '', 'g')")
+
+
+def py_strip(s: str) -> str:
+    ws = _T.PY_WHITESPACE_CLASS
+    return f"regexp_replace(regexp_replace({s}, {q('^' + ws + '+')}, ''), {q(ws + '+$')}, '')"
+
+
+def strip_ws(s: str) -> str:
+    return f"translate({s}, ' ' || chr(10) || chr(9) || chr(13), '')"
+
+
+_groups = _D.CLOSE_GROUPS
+_grp_next = "CASE " + " ".join(
+    f"WHEN tag IN {_inlist(closed)} THEN _n_{g}" for g, (_, closed) in _groups.items()) + " END"
+_next_cols = ",\n  ".join(
+    f"min(CASE WHEN kind = 'open' AND tag IN {_inlist(op)} THEN pos END) OVER wd AS _n_{g}"
+    for g, (op, _) in _groups.items())
+
+DOM_CTE = f"""
+_m AS (SELECT page_id, regexp_extract_all({clean('html')}, {q(_D.TOKEN_RE)}, 0) AS t FROM pages),
+_t0 AS (SELECT page_id, CAST(len(t) - 1 AS BIGINT) AS last_pos, unnest(t) AS tok,
+               CAST(generate_subscripts(t, 1) - 1 AS BIGINT) AS pos FROM _m),
+_t1 AS (SELECT *, CASE WHEN starts_with(tok, '</') THEN 'close'
+                       WHEN regexp_matches(tok, '^<[A-Za-z]') THEN 'open'
+                       WHEN starts_with(tok, '<') AND length(tok) > 1 THEN 'other'
+                       ELSE 'text' END AS kind FROM _t0),
+_t2 AS (SELECT *, CASE WHEN kind = 'text' THEN {q(_D.TEXT_TAG)}
+                       ELSE lower(regexp_extract(tok, {q(_D.TAG_NAME_RE)}, 1)) END AS tag
+        FROM _t1 WHERE kind <> 'other'),
+_t3 AS (SELECT *, (kind = 'open' AND (tag IN {_inlist(_D.VOID_TAGS)} OR regexp_matches(tok, '/\\s*>$'))) AS void,
+               CASE WHEN kind = 'text' THEN {decode('tok')} END AS text FROM _t2),
+_t4 AS (SELECT *, CASE WHEN kind = 'open' AND NOT void THEN 'O' WHEN kind = 'close' THEN 'C' END AS _pt FROM _t3),
+_t5 AS (SELECT *, sum(CASE _pt WHEN 'O' THEN 1 WHEN 'C' THEN -1 ELSE 0 END)
+                  OVER (PARTITION BY page_id, tag ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _run
+        FROM _t4),
+_t6 AS (SELECT *, CASE WHEN _pt = 'C' THEN _run + 1 ELSE _run END AS _lvl FROM _t5),
+_t7 AS (SELECT *, lead(_pt) OVER w AS _nxt_t, lead(pos) OVER w AS _nxt_p, lag(_pt) OVER w AS _prv_t
+        FROM _t6 WINDOW w AS (PARTITION BY page_id, tag, _lvl ORDER BY pos)),
+_t8 AS (SELECT *, CASE WHEN _pt = 'O' AND _nxt_t = 'C' THEN _nxt_p END AS _mend,
+               coalesce(_pt = 'C' AND _prv_t = 'O', false) AS _mclose FROM _t7),
+_t9 AS (SELECT *, coalesce(sum(CASE WHEN _mend IS NOT NULL THEN 1 WHEN _mclose THEN -1 ELSE 0 END)
+                  OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _md,
+               coalesce(_pt = 'O' AND _mend IS NULL, false) AS _unclosed
+        FROM _t8),
+_t10 AS (SELECT *,
+  {_next_cols},
+  CASE WHEN _mclose OR _unclosed THEN _md END AS _ak
+  FROM _t9 WINDOW wd AS (PARTITION BY page_id ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+_t11 AS (SELECT *, min(CASE WHEN _mclose THEN pos END)
+                   OVER (PARTITION BY page_id, _ak ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _anc
+         FROM _t10),
+_ex AS (SELECT page_id, pos, last_pos, kind, tag, void, tok, text,
+          CAST(CASE WHEN _mend IS NOT NULL THEN _mend
+                    WHEN _unclosed THEN least(({_grp_next}) - 1, _anc - 1, last_pos)
+                    ELSE pos END AS BIGINT) AS "end"
+        FROM _t11),
+_ev AS (SELECT page_id, pos AS _p, 0 AS _o, 0 AS _d FROM _ex
+        UNION ALL SELECT page_id, pos, 1, 1 FROM _ex WHERE kind = 'open'
+        UNION ALL SELECT page_id, "end", 2, -1 FROM _ex WHERE kind = 'open'),
+_dp AS (SELECT page_id, _p AS pos, _o, sum(_d) OVER (PARTITION BY page_id ORDER BY _p, _o
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS depth FROM _ev),
+_dx AS (SELECT e.*, CAST(d.depth AS BIGINT) AS depth FROM _ex e JOIN _dp d ON d.page_id = e.page_id AND d.pos = e.pos AND d._o = 0),
+_kd AS (SELECT page_id, pos, depth - 1 AS _k, 0 AS _o, NULL::BIGINT AS _c FROM _dx
+        UNION ALL SELECT page_id, pos, depth, 1, pos FROM _dx WHERE kind = 'open'),
+_pa AS (SELECT page_id, pos, _o, coalesce(max(_c) OVER (PARTITION BY page_id, _k ORDER BY pos, _o
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), -1) AS parent FROM _kd),
+dom AS (SELECT x.*, CAST(p.parent AS BIGINT) AS parent,
+          CAST(CASE WHEN x.kind IN ('open', 'text') THEN
+             row_number() OVER (PARTITION BY x.page_id, p.parent, x.tag ORDER BY x.pos) END AS BIGINT) AS sib_pos
+        FROM _dx x JOIN _pa p ON p.page_id = x.page_id AND p.pos = x.pos AND p._o = 0)
+"""
+
+
+def attr_sql(name: str, tok: str = "tok") -> str:
+    """First attribute ``name`` of an open tag (same pattern as the Spark side)."""
+    return (f"list_extract(list_filter(list_zip(list_transform(regexp_extract_all({tok}, {q(_D.ATTR_RE)}, 1), "
+            f"lambda k: lower(k)), regexp_extract_all({tok}, {q(_D.ATTR_RE)}, 2)), lambda a: a[1] = {q(name)}), 1)[2]")
+
+
+SQL["dom_elements"] = f"""WITH {DOM_CTE}
+SELECT page_id, pos AS start, "end", tag, depth, parent, sib_pos FROM dom WHERE kind = 'open'"""
+
+SQL["dom_text"] = f"""WITH {DOM_CTE}
+SELECT page_id, pos, depth, parent, sib_pos, text FROM dom WHERE kind = 'text'"""
+
+SQL["page_text"] = f"""
+SELECT page_id, CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS text_md5
+FROM (SELECT page_id, {page_text('html')} AS t FROM pages)"""
+
+SQL["strip_text"] = f"""
+SELECT page_id, CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS text_md5
+FROM (SELECT page_id, {strip_ws(page_text('html'))} AS t FROM pages)"""
+
+SQL["trim_text"] = f"""
+SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, md5(array_to_string(ls, chr(10))) AS text_md5
+FROM (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)),
+        lambda x: {py_strip('x')}), lambda x: x <> '') AS ls FROM documents)"""
+
+SQL["body_texts"] = f"""WITH {DOM_CTE}
+SELECT t.page_id, t.pos, t.text FROM dom t JOIN dom b ON b.page_id = t.page_id AND b.kind = 'open' AND b.tag = 'body'
+WHERE t.kind = 'text' AND t.parent > b.pos AND t.parent <= b."end" AND regexp_matches(t.text, {q(_T.XML_NON_SPACE)})"""
+
+_SCOPE = f"""sel AS (SELECT page_id, pos AS start, "end" FROM dom
+                WHERE kind = 'open' AND {attr_sql('class')} = 'ad')"""
+
+SQL["div_text_last"] = f"""WITH {DOM_CTE}, {_SCOPE},
+sv AS (SELECT s.page_id, s.start, coalesce(string_agg(t.text, '' ORDER BY t.pos), '') AS text
+       FROM sel s LEFT JOIN dom t ON t.page_id = s.page_id AND t.kind = 'text' AND t.pos > s.start AND t.pos <= s."end"
+       GROUP BY s.page_id, s.start)
+SELECT page_id, arg_max(text, start) AS text FROM sv GROUP BY page_id"""
+
+SQL["div_texts"] = f"""WITH {DOM_CTE}, {_SCOPE}
+SELECT DISTINCT s.page_id, t.pos, t.text FROM sel s
+JOIN dom t ON t.page_id = s.page_id AND t.kind = 'text' AND t.pos > s.start AND t.pos <= s."end"
+WHERE regexp_matches(t.text, {q(_T.XML_NON_SPACE)})"""

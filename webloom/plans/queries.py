@@ -142,3 +142,62 @@ def q_frontier(spark, d):
     seeds = p.groupBy(U.host("url").alias("h")).agg(F.min("page_id").alias("node"))
     out = L.frontier(seeds, edges, FRONTIER_MAX_DEPTH)
     return out.select(F.col("node").alias("page_id"), F.col("depth").cast("bigint").alias("depth"))
+
+
+# ---- text and DOM ---------------------------------------------------------------------
+from webloom.functions import text as TX  # noqa: E402
+from webloom.operators import dom as D  # noqa: E402
+from webloom.operators import extract as X  # noqa: E402
+
+
+def _dom(spark, d) -> DataFrame:
+    return D.build_dom(read_pages(spark, d).select("page_id", "html"))
+
+
+@register("dom_elements")
+def q_dom_elements(spark, d):
+    return D.elements(_dom(spark, d)).drop("attrs")
+
+
+@register("dom_text")
+def q_dom_text(spark, d):
+    return D.text_nodes(_dom(spark, d)).select("page_id", "pos", "depth", "parent", "sib_pos", "text")
+
+
+def _text_digest(df, key, col):
+    return df.select(key, F.length(col).cast("bigint").alias("n_chars"), F.md5(col).alias("text_md5"))
+
+
+@register("page_text")
+def q_page_text(spark, d):
+    return _text_digest(read_pages(spark, d), "page_id", TX.page_text("html"))
+
+
+@register("strip_text")
+def q_strip_text(spark, d):
+    return _text_digest(read_pages(spark, d), "page_id", TX.strip_ws(TX.page_text("html")))
+
+
+@register("trim_text")
+def q_trim_text(spark, d):
+    docs = read_table(spark, d, "documents")
+    lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), TX.py_strip), lambda x: x != "")
+    return docs.select("doc_id", lines.alias("ls")).select(
+        "doc_id", F.size("ls").cast("bigint").alias("n_lines"), F.md5(F.array_join("ls", "\n")).alias("text_md5"))
+
+
+@register("body_texts")
+def q_body_texts(spark, d):
+    return X.body_texts(_dom(spark, d))
+
+
+@register("div_text_last")
+def q_div_text_last(spark, d):
+    dom = _dom(spark, d)
+    return X.last_match_text(X.select_by_attr(dom, "class", "ad"), dom)
+
+
+@register("div_texts")
+def q_div_texts(spark, d):
+    dom = _dom(spark, d)
+    return X.scoped_texts(X.select_by_attr(dom, "class", "ad"), dom)
