@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor loss)."""
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (survives executor loss).
+
+    The rows are cached while the checkpoint is written so the plan runs once (a
+    reliable checkpoint of an uncached plan computes it twice), then released.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

@@ -320,3 +320,63 @@ SQL["div_texts"] = f"""WITH {DOM_CTE}, {_SCOPE}
 SELECT DISTINCT s.page_id, t.pos, t.text FROM sel s
 JOIN dom t ON t.page_id = s.page_id AND t.kind = 'text' AND t.pos > s.start AND t.pos <= s."end"
 WHERE regexp_matches(t.text, {q(_T.XML_NON_SPACE)})"""
+
+
+# ---- extraction rules: each path written out as joins on the dom CTE -------------------
+_HITS = {
+    "headline": """SELECT h.page_id, h.pos AS start, h."end", h.kind FROM _el a
+        JOIN _el h ON h.page_id = a.page_id AND h.parent = a.pos WHERE a.tag = 'article' AND h.tag = 'h1'""",
+    "title": """SELECT t.page_id, t.pos AS start, t."end", t.kind FROM _el x
+        JOIN _el hd ON hd.page_id = x.page_id AND hd.parent = x.pos
+        JOIN _el t ON t.page_id = hd.page_id AND t.parent = hd.pos
+        WHERE x.tag = 'html' AND x.parent = -1 AND hd.tag = 'head' AND t.tag = 'title'""",
+    "nav_second": """SELECT DISTINCT a.page_id, a.pos AS start, a."end", a.kind FROM _el n
+        JOIN _el l ON l.page_id = n.page_id AND l.pos > n.pos AND l.pos <= n."end"
+        JOIN _el a ON a.page_id = l.page_id AND a.parent = l.pos
+        WHERE n.tag = 'nav' AND l.tag = 'li' AND l.sib_pos = 2 AND a.tag = 'a'""",
+    "ad_text": f"""SELECT DISTINCT t.page_id, t.pos AS start, t."end", t.kind FROM _el d
+        JOIN _tn t ON t.page_id = d.page_id AND t.pos > d.pos AND t.pos <= d."end"
+        WHERE d.tag = 'div' AND {attr_sql('class', 'd.tok')} IN ('ad', 'promo')""",
+    "lead_para": """SELECT p.page_id, p.pos AS start, p."end", p.kind FROM _el a
+        JOIN _el p ON p.page_id = a.page_id AND p.parent = a.pos
+        WHERE a.tag = 'article' AND p.tag = 'p' AND p.sib_pos = 1""",
+    "any_ad": f"""SELECT page_id, pos AS start, "end", kind FROM _el WHERE {attr_sql('class')} = 'ad'""",
+}
+_HITS["heading"] = f"""SELECT DISTINCT * FROM ({_HITS['headline']} UNION ALL
+    SELECT page_id, pos AS start, "end", kind FROM _el WHERE tag = 'title')"""
+
+
+def _rules_sql(targets, strip: bool) -> str:
+    hits = "\n  UNION ALL ".join(f"SELECT {q(t)} AS target, * FROM ({_HITS[t]})" for t in targets)
+    if strip:
+        vals = f"""
+  SELECT h.page_id, h.target, h.start, {strip_ws("coalesce(string_agg(t.text, '' ORDER BY t.pos), '')")} AS value
+  FROM hits h LEFT JOIN _tn t ON t.page_id = h.page_id AND t.pos > h.start AND t.pos <= h."end"
+  WHERE h.kind = 'open' GROUP BY h.page_id, h.target, h.start
+  UNION ALL
+  SELECT h.page_id, h.target, h.start, {strip_ws('t.text')} FROM hits h JOIN _tn t ON t.page_id = h.page_id AND t.pos = h.start
+  WHERE h.kind = 'text'"""
+    else:
+        vals = f"""
+  SELECT * FROM (
+  SELECT h.page_id, h.target, h.start, {py_strip("string_agg(d.tok, '' ORDER BY d.pos)")} AS value
+  FROM hits h JOIN dom d ON d.page_id = h.page_id AND d.pos >= h.start AND d.pos <= h."end"
+  WHERE h.kind = 'open' GROUP BY h.page_id, h.target, h.start
+  UNION ALL
+  SELECT h.page_id, h.target, h.start, {py_strip('t.text')} FROM hits h JOIN _tn t ON t.page_id = h.page_id AND t.pos = h.start
+  WHERE h.kind = 'text') WHERE value <> ''"""
+    return f"""WITH {DOM_CTE},
+_el AS (SELECT * FROM dom WHERE kind = 'open'),
+_tn AS (SELECT * FROM dom WHERE kind = 'text'),
+hits AS ({hits}),
+vals AS ({vals})
+SELECT page_id, 'corpus' AS site, target,
+       CAST(row_number() OVER (PARTITION BY page_id, target ORDER BY start) - 1 AS BIGINT) AS idx, value
+FROM vals"""
+
+
+_MAIN = ["headline", "title", "nav_second", "ad_text", "lead_para", "any_ad"]
+SQL["rule_strip"] = _rules_sql(_MAIN, True)
+SQL["rule_trim"] = _rules_sql(_MAIN, False)
+SQL["rule_union"] = _rules_sql(["heading"], False)
+SQL["rule_or"] = _rules_sql(["ad_text", "any_ad"], True)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -150,8 +151,25 @@ from webloom.operators import dom as D  # noqa: E402
 from webloom.operators import extract as X  # noqa: E402
 
 
+_DOM_INDEX: dict = {}
+
+
+def dom_index(spark, d) -> DataFrame:
+    """The element-interval table of a corpus, built once and persisted.
+
+    On a cluster this is written once as a table bucketed by page_id
+    (``plans.corpus.write_dom_index``); in a session it is persisted (memory and disk,
+    recomputed from lineage if an executor is lost) and shared by all queries.
+    """
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _DOM_INDEX:
+        _DOM_INDEX[key] = D.build_dom(read_pages(spark, d).select("page_id", "html")).persist(
+            StorageLevel.MEMORY_AND_DISK)
+    return _DOM_INDEX[key]
+
+
 def _dom(spark, d) -> DataFrame:
-    return D.build_dom(read_pages(spark, d).select("page_id", "html"))
+    return dom_index(spark, d)
 
 
 @register("dom_elements")
@@ -201,3 +219,53 @@ def q_div_text_last(spark, d):
 def q_div_texts(spark, d):
     dom = _dom(spark, d)
     return X.scoped_texts(X.select_by_attr(dom, "class", "ad"), dom)
+
+
+# ---- extraction rules -------------------------------------------------------------------
+from webloom.operators import rules as R  # noqa: E402
+from webloom.operators.rules import step  # noqa: E402
+
+# Rules over the test corpus, written as structured steps (the XPath in comments).
+CORPUS_RULES = {
+    "headline": [[step("desc", "article"), step("child", "h1")]],                          # //article/h1
+    "title": [[step("child", "html"), step("child", "head"), step("child", "title")]],      # /html/head/title
+    "nav_second": [[step("desc", "nav"), step("desc", "li", pos=2), step("child", "a")]],  # //nav//li[2]/a
+    "ad_text": [[step("desc", "div", "class", ["ad", "promo"]), step("desc", "text()")]],  # //div[@class="ad" or @class="promo"]//text()
+    "lead_para": [[step("desc", "article"), step("child", "p", pos=1)]],                   # //article/p[1]
+    "any_ad": [[step("desc", "*", "class", ["ad"])]],                                      # //*[@class="ad"]
+    "heading": [[step("desc", "article"), step("child", "h1")], [step("desc", "title")]],  # //article/h1 | //title
+}
+
+
+def _corpus_rules(spark, targets):
+    return R.rules_df(spark, {"corpus": {t: CORPUS_RULES[t] for t in targets}})
+
+
+def _rule_query(spark, d, targets, strip):
+    dom = _dom(spark, d)
+    page_sites = read_pages(spark, d).select("page_id", F.lit("corpus").alias("site"))
+    return R.extract(dom, page_sites, _corpus_rules(spark, targets), strip).select(
+        "page_id", "site", "target", "idx", "value")
+
+
+_MAIN_TARGETS = ["headline", "title", "nav_second", "ad_text", "lead_para", "any_ad"]
+
+
+@register("rule_strip")
+def q_rule_strip(spark, d):
+    return _rule_query(spark, d, _MAIN_TARGETS, True)
+
+
+@register("rule_trim")
+def q_rule_trim(spark, d):
+    return _rule_query(spark, d, _MAIN_TARGETS, False)
+
+
+@register("rule_union")
+def q_rule_union(spark, d):
+    return _rule_query(spark, d, ["heading"], False)
+
+
+@register("rule_or")
+def q_rule_or(spark, d):
+    return _rule_query(spark, d, ["ad_text", "any_ad"], True)
