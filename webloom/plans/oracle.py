@@ -380,3 +380,45 @@ SQL["rule_strip"] = _rules_sql(_MAIN, True)
 SQL["rule_trim"] = _rules_sql(_MAIN, False)
 SQL["rule_union"] = _rules_sql(["heading"], False)
 SQL["rule_or"] = _rules_sql(["ad_text", "any_ad"], True)
+
+
+# ---- snapshots ------------------------------------------------------------------------
+SQL["snapshot_concat"] = """
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_states, CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS text_md5 FROM (
+  SELECT conv_id, count(*) OVER (PARTITION BY conv_id) AS c,
+         string_agg(text, chr(10) ORDER BY turn, text) OVER (PARTITION BY conv_id) AS t FROM conversations)
+GROUP BY conv_id, t"""
+
+SQL["snapshot_accumulate"] = """
+WITH tg AS (SELECT * FROM (VALUES ('user', 'user_text'), ('assistant', 'assistant_text'), ('system', 'system_text')) t(role, target)),
+k AS (SELECT DISTINCT conv_id FROM conversations),
+grid AS (SELECT k.conv_id, tg.target FROM k, tg),
+acc AS (SELECT c.conv_id, tg.target, count(*) AS n, string_agg(c.text, chr(10) ORDER BY c.turn, c.text) AS t
+        FROM conversations c JOIN tg USING (role) GROUP BY c.conv_id, tg.target)
+SELECT g.conv_id, g.target, CAST(coalesce(a.n, 0) AS BIGINT) AS n_items, md5(coalesce(a.t, '')) AS text_md5
+FROM grid g LEFT JOIN acc a USING (conv_id, target)"""
+
+_EV_STEP = """SELECT user_id, event_id, ts, event_type, value,
+    CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS step FROM events"""
+
+SQL["converged"] = f"""
+WITH s AS ({_EV_STEP}),
+l AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM s),
+f AS (SELECT user_id, min(CASE WHEN event_type = prev THEN step END) AS stop FROM l GROUP BY user_id)
+SELECT l.user_id, l.event_id, l.step FROM l JOIN f USING (user_id) WHERE f.stop IS NULL OR l.step <= f.stop"""
+
+SQL["page_cap"] = """
+SELECT conv_id, turn, step FROM (SELECT conv_id, turn,
+  CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) AS BIGINT) AS step FROM conversations) WHERE step <= 3"""
+
+SQL["progress_cut"] = f"""
+WITH s AS (SELECT *, CAST(step AS VARCHAR) || '/10' AS marker FROM ({_EV_STEP})),
+d AS (SELECT *, coalesce(max(CASE WHEN CAST(split_part(marker, '/', 1) AS BIGINT) >= CAST(split_part(marker, '/', 2) AS BIGINT)
+        THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM s)
+SELECT user_id, event_id, marker FROM d WHERE before = 0"""
+
+SQL["unchanged"] = """
+SELECT user_id, event_id, event_type FROM (
+  SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events)
+WHERE prev IS NULL OR event_type IS DISTINCT FROM prev"""

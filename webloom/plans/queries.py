@@ -269,3 +269,57 @@ def q_rule_union(spark, d):
 @register("rule_or")
 def q_rule_or(spark, d):
     return _rule_query(spark, d, ["ad_text", "any_ad"], True)
+
+
+# ---- snapshots (conversations = page states keyed by conv_id, step turn;
+#      events = measured states keyed by user_id, ordered by ts then event_id) ------------
+from webloom.operators import snapshots as S  # noqa: E402
+
+MIDDLEWARE_TARGETS = {"user": "user_text", "assistant": "assistant_text", "system": "system_text"}
+PAGE_CAP = 3
+PROGRESS_TOTAL = 10
+
+
+@register("snapshot_concat")
+def q_snapshot_concat(spark, d):
+    c = read_table(spark, d, "conversations")
+    out = S.ordered_concat(c, "conv_id", ["turn", "text"], "text")
+    return out.select("conv_id", F.col("n_states").cast("bigint").alias("n_states"),
+                      F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+@register("snapshot_accumulate")
+def q_snapshot_accumulate(spark, d):
+    c = read_table(spark, d, "conversations")
+    tgt = F.create_map(*[x for kv in MIDDLEWARE_TARGETS.items() for x in map(F.lit, kv)])[F.col("role")]
+    out = S.accumulate(c, "conv_id", ["turn", "text"], tgt, "text", list(MIDDLEWARE_TARGETS.values()))
+    return out.select("conv_id", "target", "n_items", F.md5("text").alias("text_md5"))
+
+
+def _events(spark, d):
+    return read_table(spark, d, "events").select("user_id", "event_id", "ts", "event_type", "value")
+
+
+@register("converged")
+def q_converged(spark, d):
+    return S.converged(_events(spark, d), "user_id", ["ts", "event_id"], "event_type").select(
+        "user_id", "event_id", "step")
+
+
+@register("page_cap")
+def q_page_cap(spark, d):
+    c = read_table(spark, d, "conversations")
+    return S.page_cap(c, "conv_id", ["turn", "text"], PAGE_CAP).select("conv_id", "turn", "step")
+
+
+@register("progress_cut")
+def q_progress_cut(spark, d):
+    e = S.step_number(_events(spark, d), "user_id", ["ts", "event_id"])
+    e = e.withColumn("marker", F.concat(F.col("step").cast("string"), F.lit("/"), F.lit(str(PROGRESS_TOTAL))))
+    return S.progress_cut(e, "user_id", ["ts", "event_id"], "marker").select("user_id", "event_id", "marker")
+
+
+@register("unchanged")
+def q_unchanged(spark, d):
+    return S.drop_unchanged(_events(spark, d), "user_id", ["ts", "event_id"], "event_type").select(
+        "user_id", "event_id", "event_type")
