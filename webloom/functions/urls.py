@@ -85,6 +85,16 @@ def quote_path(s) -> Column:
     return F.replace(e, F.lit("*"), F.lit("%2A"))
 
 
+def html_base_name(url) -> Column:
+    """The HTML file name before the timestamp: the save key of a page."""
+    p = url_path(url)
+    p = F.when(p.startswith("/"), F.replace(F.substring(p, 2, 1 << 30), F.lit("/"), F.lit(""))).otherwise(p)
+    p = F.when(p == "", F.lit("html.html")).otherwise(p)
+    p = F.regexp_replace(p, "/$", "")
+    low = F.lower(p)
+    return F.when(low.endswith(".html") | low.endswith(".htm"), p).otherwise(F.concat(p, F.lit(".html")))
+
+
 def html_inner_name(url, ts) -> Column:
     """File name part of the HTML save path (before versioning).
 
@@ -92,13 +102,7 @@ def html_inner_name(url, ts) -> Column:
     one trailing '/' cut; '.html' added unless it ends in .html/.htm (any case);
     then the timestamp ``yyyy-MM-dd_HH-mm-ss`` and percent-encoding.
     """
-    p = url_path(url)
-    p = F.when(p.startswith("/"), F.replace(F.substring(p, 2, 1 << 30), F.lit("/"), F.lit(""))).otherwise(p)
-    p = F.when(p == "", F.lit("html.html")).otherwise(p)
-    p = F.regexp_replace(p, "/$", "")
-    low = F.lower(p)
-    p = F.when(low.endswith(".html") | low.endswith(".htm"), p).otherwise(F.concat(p, F.lit(".html")))
-    return quote_path(F.concat(p, F.date_format(_c(ts), TS_NAME_FORMAT)))
+    return quote_path(F.concat(html_base_name(url), F.date_format(_c(ts), TS_NAME_FORMAT)))
 
 
 def html_save_path(base_dir: str, url, ts) -> Column:

@@ -422,3 +422,43 @@ SQL["unchanged"] = """
 SELECT user_id, event_id, event_type FROM (
   SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events)
 WHERE prev IS NULL OR event_type IS DISTINCT FROM prev"""
+
+
+# ---- naming, run folders, crawl summary ---------------------------------------------------
+from webloom.functions.urls import VERSIONED_NAME_PATTERN as _VP  # noqa: E402
+
+
+def _html_base(u: str) -> str:
+    p = path(u)
+    p1 = f"(CASE WHEN starts_with({p}, '/') THEN replace(substr({p}, 2), '/', '') ELSE {p} END)"
+    p2 = f"(CASE WHEN {p1} = '' THEN 'html.html' ELSE {p1} END)"
+    p3 = f"regexp_replace({p2}, '/$', '')"
+    return f"(CASE WHEN ends_with(lower({p3}), '.html') OR ends_with(lower({p3}), '.htm') THEN {p3} ELSE {p3} || '.html' END)"
+
+
+def _versioned(name: str, k: str) -> str:
+    return (f"CASE WHEN {k} = 1 THEN {name} WHEN regexp_matches({name}, {q(_VP)}) THEN "
+            f"regexp_extract({name}, {q(_VP)}, 1) || '-' || CAST(CAST(regexp_extract({name}, {q(_VP)}, 2) AS BIGINT) + {k} - 1 AS VARCHAR)"
+            f" || regexp_extract({name}, {q(_VP)}, 3) ELSE {name} || '-' || CAST({k} AS VARCHAR) END")
+
+
+SQL["versioned_names"] = f"""
+WITH n AS (SELECT page_id, replace({authority('url')}, ':', '_') AS domain_dir, {_html_inner('url')} AS html_name FROM pages),
+n2 AS (SELECT *, html_name || '-FAQ.json' AS json_name FROM n),
+k AS (SELECT *, row_number() OVER (PARTITION BY domain_dir, html_name ORDER BY page_id) AS k1,
+               row_number() OVER (PARTITION BY domain_dir, json_name ORDER BY page_id) AS k2 FROM n2)
+SELECT page_id, domain_dir, {_versioned('html_name', 'k1')} AS html_name_v, {_versioned('json_name', 'k2')} AS json_name_v FROM k"""
+
+SQL["latest_per_key"] = f"""
+SELECT domain_dir, save_key, max(page_id) AS page_id, arg_max(url, page_id) AS url FROM (
+  SELECT replace({authority('url')}, ':', '_') AS domain_dir, {_html_base('url')} AS save_key, page_id, url FROM pages)
+GROUP BY domain_dir, save_key"""
+
+SQL["run_paths"] = """
+SELECT event_id, strftime(ts, '%Y%m%d_%H%M') AS run_ts, strftime(ts, '%Y-%m-%d_%H-%M-%S') AS name_ts,
+       event_type || '_' || strftime(ts, '%Y%m%d_%H%M') AS archive_name FROM events"""
+
+SQL["crawl_summary"] = """
+SELECT page_id, url AS req_url, 'GET' AS req_method, 'text/html' AS accept, CAST(200 AS BIGINT) AS status,
+  'text/html; charset=' || regexp_extract(html, '(?i)<meta\\s+charset="([^"]*)"', 1) AS content_type,
+  CAST(strlen(html) AS VARCHAR) AS content_length FROM pages"""

@@ -323,3 +323,55 @@ def q_progress_cut(spark, d):
 def q_unchanged(spark, d):
     return S.drop_unchanged(_events(spark, d), "user_id", ["ts", "event_id"], "event_type").select(
         "user_id", "event_id", "event_type")
+
+
+# ---- naming, run folders, crawl summary ---------------------------------------------------
+from webloom.operators import naming as N  # noqa: E402
+from webloom.operators import summary as SM  # noqa: E402
+
+
+@register("versioned_names")
+def q_versioned_names(spark, d):
+    p = read_pages(spark, d).select("page_id", "url")
+    ts = F.lit(RUN_TS).cast("timestamp")
+    n = p.select("page_id", U.domain_dir("url").alias("domain_dir"),
+                 U.html_inner_name("url", ts).alias("html_name"))
+    n = n.withColumn("json_name", F.concat("html_name", F.lit(U.JSON_SUFFIXES["faq"])))
+    n = N.version_names(n, "html_name", ["page_id"], ["domain_dir"], "html_name_v")
+    n = N.version_names(n, "json_name", ["page_id"], ["domain_dir"], "json_name_v")
+    return n.select("page_id", "domain_dir", "html_name_v", "json_name_v")
+
+
+@register("latest_per_key")
+def q_latest_per_key(spark, d):
+    p = read_pages(spark, d).select("page_id", "url")
+    k = p.select(U.domain_dir("url").alias("domain_dir"), U.html_base_name("url").alias("save_key"), "page_id", "url")
+    return N.latest_per_key(k, ["domain_dir", "save_key"], ["page_id"])
+
+
+@register("run_paths")
+def q_run_paths(spark, d):
+    e = read_table(spark, d, "events").select("event_id", "event_type", "ts")
+    run_ts = F.date_format("ts", U.RUN_TS_FORMAT)
+    return e.select("event_id", run_ts.alias("run_ts"), F.date_format("ts", U.TS_NAME_FORMAT).alias("name_ts"),
+                    F.concat("event_type", F.lit("_"), run_ts).alias("archive_name"))
+
+
+@register("crawl_summary")
+def q_crawl_summary(spark, d):
+    p = read_pages(spark, d)
+    enc = lambda c: F.encode(c, "UTF-8")  # noqa: E731  header bytes as received
+    charset = F.regexp_extract("html", r'(?i)<meta\s+charset="([^"]*)"', 1)
+    p = p.select("page_id", "url", F.col("url").alias("req_url"), F.lit("GET").alias("method"),
+                 F.lit(200).alias("status"),
+                 F.create_map(enc(F.lit("Accept")), F.array(enc(F.lit("text/html")))).alias("req_headers"),
+                 F.create_map(enc(F.lit("Content-Type")), F.array(enc(F.concat(F.lit("text/html; charset="), charset))),
+                              enc(F.lit("Content-Length")), F.array(enc(F.octet_length("html").cast("string"))))
+                 .alias("resp_headers"))
+    s = SM.drop_bulky(SM.crawl_summary(p))
+    return s.select("page_id", F.col("request_summary.url").alias("req_url"),
+                    F.col("request_summary.method").alias("req_method"),
+                    F.col("request_summary.headers")["Accept"][0].alias("accept"),
+                    F.col("response_summary.status").cast("bigint").alias("status"),
+                    F.col("response_summary.headers")["Content-Type"][0].alias("content_type"),
+                    F.col("response_summary.headers")["Content-Length"][0].alias("content_length"))
