@@ -74,8 +74,9 @@ def evaluate(dom: DataFrame, page_sites: DataFrame, rules: DataFrame) -> DataFra
     bc = F.broadcast if small else (lambda df: df)
     max_steps = max((m["_n"] for m in meta), default=0)
     star_at = {i + 1 for m in meta for i, f in enumerate(m["_star"]) if f}
-    ctx = (page_sites.select("page_id", "site").distinct()
-           .join(bc(rules.select(*_KEYS, "_n")), "site")
+    ps = page_sites.select("page_id", "site", (F.col("strip") if "strip" in page_sites.columns
+                                              else F.lit(None).cast("boolean")).alias("_strip")).distinct()
+    ctx = (ps.join(bc(rules.select(*_KEYS, "_n")), "site")
            .withColumn("_cs", F.lit(-1).cast("bigint")).withColumn("_ce", F.lit(2 ** 62).cast("bigint")))
     nodes = _nodes(dom)
     hits = []
@@ -90,29 +91,29 @@ def evaluate(dom: DataFrame, page_sites: DataFrame, rules: DataFrame) -> DataFra
         cand = cand.filter(F.col("_st.attr").isNull() | F.coalesce(F.array_contains(F.col("_st.values"), av), F.lit(False)))
         cand = cand.filter(F.col("_st.pos").isNull() | (F.col("sib_pos") == F.col("_st.pos")))
         cand = cand.select("page_id", *_KEYS, "_n", F.col("_st.axis").alias("_ax"), "start", "end", "kind", "parent")
-        c = ctx.select("page_id", *_KEYS, "_cs", "_ce")
+        c = ctx.select("page_id", *_KEYS, "_strip", "_cs", "_ce")
         child = cand.filter(F.col("_ax") == "child").join(
             c.withColumnRenamed("_cs", "parent"), ["page_id", *_KEYS, "parent"])
         desc = cand.filter(F.col("_ax") == "desc").join(c, ["page_id", *_KEYS]).filter(
             (F.col("start") > F.col("_cs")) & (F.col("start") <= F.col("_ce")))
-        nxt = (child.select("page_id", *_KEYS, "_n", "start", "end", "kind")
-               .unionByName(desc.select("page_id", *_KEYS, "_n", "start", "end", "kind"))
+        nxt = (child.select("page_id", *_KEYS, "_strip", "_n", "start", "end", "kind")
+               .unionByName(desc.select("page_id", *_KEYS, "_strip", "_n", "start", "end", "kind"))
                .dropDuplicates(["page_id", *_KEYS, "start"]))
         # each step's matches feed both the results and the next step: materialize
         # them once (reliable checkpoint) instead of re-deriving earlier steps
         nxt = cut_lineage(nxt)
         hits.append(nxt.filter(F.col("_n") == k))
         ctx = nxt.filter((F.col("_n") > k) & (F.col("kind") == "open")).select(
-            "page_id", *_KEYS, "_n", F.col("start").alias("_cs"), F.col("end").alias("_ce"))
+            "page_id", *_KEYS, "_strip", "_n", F.col("start").alias("_cs"), F.col("end").alias("_ce"))
     if not hits:
         return page_sites.sparkSession.createDataFrame(
-            [], "page_id bigint, site string, target string, start bigint, end bigint, kind string")
+            [], "page_id bigint, site string, target string, start bigint, end bigint, kind string, strip boolean")
     out = hits[0]
     for h in hits[1:]:
         out = out.unionByName(h)
     # Union of alternatives, duplicate-free
-    return cut_lineage(out.select("page_id", "site", "target", "start", "end", "kind").dropDuplicates(
-        ["page_id", "site", "target", "start"]))
+    return cut_lineage(out.select("page_id", "site", "target", "start", "end", "kind",
+                                  F.col("_strip").alias("strip")).dropDuplicates(["page_id", "site", "target", "start"]))
 
 
 def values(hits: DataFrame, dom: DataFrame, strip: bool) -> DataFrame:
@@ -146,11 +147,9 @@ def extract(dom: DataFrame, page_sites: DataFrame, rules: DataFrame, strip: bool
     hits = evaluate(dom, page_sites, rules)
     if strip is not None:
         return ordered(values(hits, dom, strip))
-    modes = page_sites.select("site", "strip").distinct()
-    s_sites = modes.filter(F.coalesce(F.col("strip"), F.lit(True))).select("site")
-    t_sites = modes.filter(~F.coalesce(F.col("strip"), F.lit(True))).select("site")
-    a = values(hits.join(maybe_broadcast(s_sites), "site"), dom, True)
-    b = values(hits.join(maybe_broadcast(t_sites), "site"), dom, False)
+    mode = F.coalesce(F.col("strip"), F.lit(True))
+    a = values(hits.filter(mode), dom, True)
+    b = values(hits.filter(~mode), dom, False)
     return ordered(a.unionByName(b))
 
 

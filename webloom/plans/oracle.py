@@ -462,3 +462,90 @@ SQL["crawl_summary"] = """
 SELECT page_id, url AS req_url, 'GET' AS req_method, 'text/html' AS accept, CAST(200 AS BIGINT) AS status,
   'text/html; charset=' || regexp_extract(html, '(?i)<meta\\s+charset="([^"]*)"', 1) AS content_type,
   CAST(strlen(html) AS VARCHAR) AS content_length FROM pages"""
+
+
+# ---- presets ------------------------------------------------------------------------------
+_SITE_TARGETS = {"news_com": (["headline", "nav_second"], False, "faq"),
+                 "news_net": (["title", "lead_para"], True, "production-description"),
+                 "blogs_org": (["ad_text"], True, "complex_get_data"),
+                 "spam": (["any_ad"], True, "js")}
+
+
+def _values_sql(hits: str, strip: bool) -> str:
+    if strip:
+        return f"""
+  SELECT h.page_id, h.site, h.target, h.start, {strip_ws("coalesce(string_agg(t.text, '' ORDER BY t.pos), '')")} AS value
+  FROM ({hits}) h LEFT JOIN _tn t ON t.page_id = h.page_id AND t.pos > h.start AND t.pos <= h."end"
+  WHERE h.kind = 'open' GROUP BY h.page_id, h.site, h.target, h.start
+  UNION ALL
+  SELECT h.page_id, h.site, h.target, h.start, {strip_ws('t.text')} FROM ({hits}) h
+  JOIN _tn t ON t.page_id = h.page_id AND t.pos = h.start WHERE h.kind = 'text'"""
+    return f"""
+  SELECT * FROM (
+  SELECT h.page_id, h.site, h.target, h.start, {py_strip("string_agg(d.tok, '' ORDER BY d.pos)")} AS value
+  FROM ({hits}) h JOIN dom d ON d.page_id = h.page_id AND d.pos >= h.start AND d.pos <= h."end"
+  WHERE h.kind = 'open' GROUP BY h.page_id, h.site, h.target, h.start
+  UNION ALL
+  SELECT h.page_id, h.site, h.target, h.start, {py_strip('t.text')} FROM ({hits}) h
+  JOIN _tn t ON t.page_id = h.page_id AND t.pos = h.start WHERE h.kind = 'text') WHERE value <> ''"""
+
+
+def _preset_union_sql() -> str:
+    parts, types = [], []
+    for site, (targets, strip, typ) in _SITE_TARGETS.items():
+        hits = " UNION ALL ".join(
+            f"SELECT {q(site)} AS site, {q(t)} AS target, x.* FROM ({_HITS[t]}) x "
+            f"WHERE x.page_id IN (SELECT page_id FROM bound WHERE site = {q(site)})" for t in targets)
+        parts.append(_values_sql(hits, strip))
+        types.append(f"({q(site)}, {q(typ)})")
+    return f"""WITH {DOM_CTE},
+_el AS (SELECT * FROM dom WHERE kind = 'open'),
+_tn AS (SELECT * FROM dom WHERE kind = 'text'),
+bound AS ({BOUND_PAGES.replace('p.url', 'p.url')}),
+vals AS ({' UNION ALL '.join('SELECT * FROM (' + p + ')' for p in parts)}),
+types AS (SELECT * FROM (VALUES {', '.join(types)}) t(site, type))
+SELECT v.page_id, v.site, ty.type, b.url, v.target,
+       CAST(row_number() OVER (PARTITION BY v.page_id, v.site, v.target ORDER BY v.start) - 1 AS BIGINT) AS idx, v.value
+FROM vals v JOIN types ty USING (site) JOIN bound b ON b.page_id = v.page_id AND b.site = v.site"""
+
+
+SQL["preset_union"] = _preset_union_sql()
+
+SQL["preset_target_div"] = f"""WITH {DOM_CTE}, {_SCOPE},
+sv AS (SELECT s.page_id, s.start, coalesce(string_agg(t.text, '' ORDER BY t.pos), '') AS text
+       FROM sel s LEFT JOIN dom t ON t.page_id = s.page_id AND t.kind = 'text' AND t.pos > s.start AND t.pos <= s."end"
+       GROUP BY s.page_id, s.start),
+last AS (SELECT page_id, arg_max(text, start) AS bs_target_div FROM sv GROUP BY page_id),
+body AS (SELECT t.page_id, count(*) AS n, string_agg(t.text, chr(10) ORDER BY t.pos) AS s
+         FROM dom t JOIN dom b ON b.page_id = t.page_id AND b.kind = 'open' AND b.tag = 'body'
+         WHERE t.kind = 'text' AND t.parent > b.pos AND t.parent <= b."end" AND regexp_matches(t.text, {q(_T.XML_NON_SPACE)})
+         GROUP BY t.page_id),
+divt AS (SELECT page_id, count(*) AS n, string_agg(text, chr(10) ORDER BY pos) AS s FROM (
+           SELECT DISTINCT s.page_id, t.pos, t.text FROM sel s
+           JOIN dom t ON t.page_id = s.page_id AND t.kind = 'text' AND t.pos > s.start AND t.pos <= s."end"
+           WHERE regexp_matches(t.text, {q(_T.XML_NON_SPACE)})) GROUP BY page_id)
+SELECT p.page_id, l.bs_target_div, CAST(coalesce(b.n, 0) AS BIGINT) AS n_all_text, md5(coalesce(b.s, '')) AS all_text_md5,
+       CAST(coalesce(v.n, 0) AS BIGINT) AS n_div_text, md5(coalesce(v.s, '')) AS div_text_md5,
+       md5({page_text('p.html')}) AS bs_all_text_md5
+FROM pages p LEFT JOIN last l USING (page_id) LEFT JOIN body b USING (page_id) LEFT JOIN divt v USING (page_id)"""
+
+SQL["preset_web"] = f"""
+SELECT page_id, url, 'out/html/' || replace({authority('url')}, ':', '_') || '/' || {_html_inner('url')} AS save_path
+FROM ({HTML_PAGES})"""
+
+
+# ---- sinks and streams: the read-back equals the data written ---------------------------
+SQL["sink_json"] = SQL["preset_union"]
+SQL["sink_urls"] = SQL["url_scan"]
+SQL["sink_seen"] = f"SELECT DISTINCT url FROM ({LINKS})"
+SQL["archive"] = SQL["page_text"]
+SQL["sink_html"] = f"""
+SELECT page_id, replace({authority('url')}, ':', '_') AS domain_dir, {_html_inner('url')} AS save_name FROM ({HTML_PAGES})"""
+SQL["sink_snapshot"] = """
+SELECT snapshot_key, max(page_id) AS page_id, arg_max(url, page_id) AS url FROM (
+  SELECT translate(url, ':/', '') || '.html' AS snapshot_key, page_id, url FROM pages) GROUP BY snapshot_key"""
+SQL["file_preset"] = f"""
+SELECT url, 'files/' || replace({authority('url')}, ':', '_') || '/' || {_file_inner('url', 'html')} AS save_path,
+  CAST(strlen(html) AS BIGINT) AS n_bytes FROM pages WHERE ends_with(lower({path('url')}), '.html')"""
+SQL["stream_dedup"] = f"SELECT DISTINCT url FROM ({LINKS})"
+SQL["stream_extract"] = SQL["page_text"]

@@ -375,3 +375,118 @@ def q_crawl_summary(spark, d):
                     F.col("response_summary.status").cast("bigint").alias("status"),
                     F.col("response_summary.headers")["Content-Type"][0].alias("content_type"),
                     F.col("response_summary.headers")["Content-Length"][0].alias("content_length"))
+
+
+# ---- presets ------------------------------------------------------------------------------
+from webloom.plans import presets as P  # noqa: E402
+
+# targets of each corpus site (structured CORPUS_RULES entries)
+SITE_TARGETS = {"news_com": ["headline", "nav_second"], "news_net": ["title", "lead_para"],
+                "blogs_org": ["ad_text"], "spam": ["any_ad"]}
+
+
+def _site_rules(spark):
+    return R.rules_df(spark, {s: {t: CORPUS_RULES[t] for t in ts} for s, ts in SITE_TARGETS.items()})
+
+
+@register("preset_union")
+def q_preset_union(spark, d):
+    return P.extraction(_dom(spark, d), read_pages(spark, d), corpus_sites(spark), _site_rules(spark))
+
+
+def _n_and_md5(col, name):
+    c = F.col(col)
+    return [F.when(c.isNull(), F.lit(0)).otherwise(F.size(c)).cast("bigint").alias(f"n_{name}"),
+            F.md5(F.coalesce(F.array_join(c, "\n"), F.lit(""))).alias(f"{name}_md5")]
+
+
+@register("preset_target_div")
+def q_preset_target_div(spark, d):
+    t = P.target_div(_dom(spark, d), read_pages(spark, d), "class", "ad")
+    return t.select("page_id", "bs_target_div", *_n_and_md5("xpath_all_text", "all_text"),
+                    *_n_and_md5("css_target_div", "div_text"), F.md5("bs_all_text").alias("bs_all_text_md5"))
+
+
+@register("preset_web")
+def q_preset_web(spark, d):
+    w = P.web(read_pages(spark, d), "out/html", F.lit(RUN_TS).cast("timestamp"))
+    return w.select("page_id", "url", "save_path")
+
+
+# ---- sinks and streams: write to a fresh folder under spark.checkpoint.dir, read back -----
+from webloom.operators.common import scratch_path  # noqa: E402
+from webloom.sources import sinks as K  # noqa: E402
+from webloom.sources.pages import append_seen_log, read_seen_log  # noqa: E402
+from webloom.streaming import stream as ST  # noqa: E402
+
+_RECORD_SCHEMA = "page_id BIGINT, type STRING, url STRING, target STRING, idx BIGINT, value STRING, site STRING"
+
+
+@register("sink_json")
+def q_sink_json(spark, d):
+    path = scratch_path(spark, "records")
+    K.write_records_json(q_preset_union(spark, d), path, ["site"])
+    return spark.read.schema(_RECORD_SCHEMA).json(path).select(
+        "page_id", "site", "type", "url", "target", "idx", "value")
+
+
+@register("sink_urls")
+def q_sink_urls(spark, d):
+    path = scratch_path(spark, "urls")
+    K.write_url_list(_links(spark, d), path)
+    return spark.read.text(path).select(F.col("value").alias("url"))
+
+
+@register("sink_seen")
+def q_sink_seen(spark, d):
+    path = scratch_path(spark, "seen")
+    lk = _links(spark, d).select("url")
+    append_seen_log(lk, path)      # first run
+    append_seen_log(lk, path)      # the same URLs seen again in a later run
+    return read_seen_log(spark, path).distinct()
+
+
+@register("archive")
+def q_archive(spark, d):
+    recs = _text_digest(read_pages(spark, d), "page_id", TX.page_text("html"))
+    uri, _ = K.archive(recs, scratch_path(spark, "archive"), "page_text", F.lit(RUN_TS).cast("timestamp"))
+    return spark.read.schema("page_id BIGINT, n_chars BIGINT, text_md5 STRING").json(uri)
+
+
+@register("sink_html")
+def q_sink_html(spark, d):
+    path = scratch_path(spark, "html")
+    K.write_html(html_only(read_pages(spark, d)), path, F.lit(RUN_TS).cast("timestamp"))
+    return spark.read.parquet(path).select("page_id", "domain_dir", "save_name")
+
+
+@register("sink_snapshot")
+def q_sink_snapshot(spark, d):
+    path = scratch_path(spark, "snapshots")
+    K.write_snapshots(read_pages(spark, d).select("page_id", "url", "html"), path)
+    return spark.read.parquet(path).select("snapshot_key", "page_id", "url")
+
+
+@register("file_preset")
+def q_file_preset(spark, d):
+    path = scratch_path(spark, "files")
+    p = read_pages(spark, d)
+    files = p.filter(U.has_extension("url", "html")).select("url", F.encode("html", "UTF-8").alias("content"))
+    K.write_files(files, path, "html", "files")
+    return spark.read.parquet(path).select("url", "save_path", F.octet_length("content").cast("bigint").alias("n_bytes"))
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, d):
+    sink, ck = scratch_path(spark, "stream-dedup"), scratch_path(spark, "stream-dedup-ckpt")
+    ST.start_dedup(spark, d, "pages.parquet", sink, ck).awaitTermination()
+    return spark.read.parquet(sink).select("url")
+
+
+@register("stream_extract")
+def q_stream_extract(spark, d):
+    sink, ck = scratch_path(spark, "stream-extract"), scratch_path(spark, "stream-extract-ckpt")
+    digest = lambda df: df.select("page_id", "url", F.length(TX.page_text("html")).cast("bigint").alias("n_chars"),
+                                  F.md5(TX.page_text("html")).alias("text_md5"))
+    ST.start_extract(spark, d, "pages.parquet", sink, ck, digest).awaitTermination()
+    return spark.read.parquet(sink).select("page_id", "n_chars", "text_md5")
