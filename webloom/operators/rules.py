@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from webloom.functions.text import py_strip, strip_ws
 from webloom.operators import dom as D
-from webloom.operators.common import BROADCAST_MAX_ROWS, cut_lineage, maybe_broadcast
+from webloom.operators.common import BROADCAST_MAX_ROWS
 from webloom.operators.extract import markup, string_values
 
 STEP_TYPE = T.StructType([
@@ -66,54 +66,54 @@ def _nodes(dom: DataFrame) -> DataFrame:
 
 
 def evaluate(dom: DataFrame, page_sites: DataFrame, rules: DataFrame) -> DataFrame:
-    """All rule hits: ``(page_id, site, target, start, end, kind)``, alternatives unioned."""
+    """All rule hits: ``(page_id, site, target, start, end, kind, strip)``.
+
+    One chain of joins, one per step position: the context (matches so far) is
+    left-joined with that step's candidates; rules that already finished pass
+    through unmatched, continuing ones keep their matches. Each DataFrame is used
+    once, so nothing is recomputed or materialized between steps.
+    """
     rules = rules.withColumn("_n", F.size("steps"))
     # one small job over the (config-sized) rules table: step count and '*' use per step
     meta = rules.select("_n", F.transform("steps", lambda s: s["tag"] == "*").alias("_star")).collect()
-    small = len(meta) <= BROADCAST_MAX_ROWS
-    bc = F.broadcast if small else (lambda df: df)
+    bc = F.broadcast if len(meta) <= BROADCAST_MAX_ROWS else (lambda df: df)
     max_steps = max((m["_n"] for m in meta), default=0)
     star_at = {i + 1 for m in meta for i, f in enumerate(m["_star"]) if f}
     ps = page_sites.select("page_id", "site", (F.col("strip") if "strip" in page_sites.columns
                                               else F.lit(None).cast("boolean")).alias("_strip")).distinct()
     ctx = (ps.join(bc(rules.select(*_KEYS, "_n")), "site")
-           .withColumn("_cs", F.lit(-1).cast("bigint")).withColumn("_ce", F.lit(2 ** 62).cast("bigint")))
+           .withColumn("start", F.lit(-1).cast("bigint")).withColumn("end", F.lit(2 ** 62).cast("bigint"))
+           .withColumn("kind", F.lit("root")))
     nodes = _nodes(dom)
-    hits = []
     for k in range(1, max_steps + 1):
-        sk = rules.filter(F.col("_n") >= k).select(*_KEYS, "_n", F.col("steps")[k - 1].alias("_st"))
+        sk = rules.filter(F.col("_n") >= k).select(*_KEYS, F.col("steps")[k - 1].alias("_st"))
         keyed = nodes.withColumn("_key", F.col("tag"))
         if k in star_at:  # '*' matches any element: add one keyed copy of the elements
             keyed = keyed.unionByName(nodes.filter(F.col("kind") == "open").withColumn("_key", F.lit("*")))
-        st = bc(sk.withColumn("_key", F.col("_st.tag")))
-        cand = keyed.join(st, "_key")
+        cand = keyed.join(bc(sk.withColumn("_key", F.col("_st.tag"))), "_key")
         av = D.attr("attrs", F.col("_st.attr"))
         cand = cand.filter(F.col("_st.attr").isNull() | F.coalesce(F.array_contains(F.col("_st.values"), av), F.lit(False)))
         cand = cand.filter(F.col("_st.pos").isNull() | (F.col("sib_pos") == F.col("_st.pos")))
-        cand = cand.select("page_id", *_KEYS, "_n", F.col("_st.axis").alias("_ax"), "start", "end", "kind", "parent")
-        c = ctx.select("page_id", *_KEYS, "_strip", "_cs", "_ce")
-        child = cand.filter(F.col("_ax") == "child").join(
-            c.withColumnRenamed("_cs", "parent"), ["page_id", *_KEYS, "parent"])
-        desc = cand.filter(F.col("_ax") == "desc").join(c, ["page_id", *_KEYS]).filter(
-            (F.col("start") > F.col("_cs")) & (F.col("start") <= F.col("_ce")))
-        nxt = (child.select("page_id", *_KEYS, "_strip", "_n", "start", "end", "kind")
-               .unionByName(desc.select("page_id", *_KEYS, "_strip", "_n", "start", "end", "kind"))
-               .dropDuplicates(["page_id", *_KEYS, "start"]))
-        # each step's matches feed both the results and the next step: materialize
-        # them once (reliable checkpoint) instead of re-deriving earlier steps
-        nxt = cut_lineage(nxt)
-        hits.append(nxt.filter(F.col("_n") == k))
-        ctx = nxt.filter((F.col("_n") > k) & (F.col("kind") == "open")).select(
-            "page_id", *_KEYS, "_strip", "_n", F.col("start").alias("_cs"), F.col("end").alias("_ce"))
-    if not hits:
-        return page_sites.sparkSession.createDataFrame(
-            [], "page_id bigint, site string, target string, start bigint, end bigint, kind string, strip boolean")
-    out = hits[0]
-    for h in hits[1:]:
-        out = out.unionByName(h)
+        cand = cand.select(F.col("page_id").alias("_pg"), *[F.col(c).alias("_c" + c) for c in _KEYS],
+                           F.col("_st.axis").alias("_ax"), F.col("start").alias("_s"), F.col("end").alias("_e"),
+                           F.col("kind").alias("_k"), F.col("parent").alias("_p"))
+        on = ((F.col("page_id") == F.col("_pg")) & (F.col("site") == F.col("_csite"))
+              & (F.col("target") == F.col("_ctarget")) & (F.col("alt") == F.col("_calt"))
+              & (F.col("_n") >= k)
+              & (((F.col("_ax") == "child") & (F.col("_p") == F.col("start")))
+                 | ((F.col("_ax") == "desc") & (F.col("_s") > F.col("start")) & (F.col("_s") <= F.col("end")))))
+        j = ctx.join(cand, on, "left")
+        done = F.col("_n") < k
+        ctx = j.filter(done | F.col("_s").isNotNull()).select(
+            "page_id", *_KEYS, "_strip", "_n",
+            F.when(done, F.col("start")).otherwise(F.col("_s")).alias("start"),
+            F.when(done, F.col("end")).otherwise(F.col("_e")).alias("end"),
+            F.when(done, F.col("kind")).otherwise(F.col("_k")).alias("kind"),
+        ).dropDuplicates(["page_id", *_KEYS, "start"])
     # Union of alternatives, duplicate-free
-    return cut_lineage(out.select("page_id", "site", "target", "start", "end", "kind",
-                                  F.col("_strip").alias("strip")).dropDuplicates(["page_id", "site", "target", "start"]))
+    return ctx.filter(F.col("kind") != "root").select(
+        "page_id", "site", "target", "start", "end", "kind", F.col("_strip").alias("strip")
+    ).dropDuplicates(["page_id", "site", "target", "start"])
 
 
 def values(hits: DataFrame, dom: DataFrame, strip: bool) -> DataFrame:

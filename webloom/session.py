@@ -18,6 +18,9 @@ _DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # joins keyed by (page_id, rule...) reuse the page_id partitioning of the element
+    # index instead of re-shuffling on every key
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # explicit broadcasts are size-checked in code; keep auto-broadcast modest
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
 }
