@@ -9,7 +9,7 @@ window functions (the pre/post-order "XPath accelerator" idea):
 
 Extents. Per ``(page, tag)`` a running sum of +1 (open) / -1 (close) gives a level;
 an open whose next token at its level is a close is *matched*. An unmatched open
-ends before the first later opener of its closing group (``p`` and inline formatting
+ends before the first later opener of its closing group in the same container (``p`` and inline formatting
 tags: block openers; ``li``: ``li``; ``dt``/``dd``; ``tr``; ``td``/``th``; ``option``),
 before the close of its nearest matched ancestor, or at the page end, whichever is
 first. This is a documented simplification of browser error recovery; attribute
@@ -113,8 +113,9 @@ def element_extents(tokens: DataFrame) -> DataFrame:
     wp = Window.partitionBy("page_id").orderBy("pos").rowsBetween(_UNB, -1)
     md = F.when(F.col("_mend").isNotNull(), 1).when(F.col("_mclose"), -1).otherwise(0)
     df = df.withColumn("_md", F.coalesce(F.sum(md).over(wp), F.lit(0)))
-    # first later opener of each closing group
-    wd = Window.partitionBy("page_id").orderBy(F.col("pos").desc()).rowsBetween(_UNB, -1)
+    # first later opener of each closing group in the same container (same depth
+    # among matched elements), so a nested list's <li> does not close an outer <li>
+    wd = Window.partitionBy("page_id", "_md").orderBy(F.col("pos").desc()).rowsBetween(_UNB, -1)
     for g, (openers, _) in CLOSE_GROUPS.items():
         df = df.withColumn(f"_n_{g}", F.min(F.when((kind == "open") & F.col("tag").isin(openers), F.col("pos"))).over(wd))
     unclosed = (F.col("_pt") == "O") & F.col("_mend").isNull()

@@ -99,7 +99,7 @@ def progress_cut(df: DataFrame, key: str, order: list[str], marker: str, sep: st
     if as_text:
         done = cur >= total
     else:
-        done = cur.cast("bigint") >= total.cast("bigint")
+        done = cur.try_cast("bigint") >= total.try_cast("bigint")
     w = Window.partitionBy(key).orderBy(*_order(order)).rowsBetween(Window.unboundedPreceding, -1)
     d = df.withColumn("_done", F.coalesce(done, F.lit(False)).cast("int"))
     d = d.withColumn("_before", F.coalesce(F.max("_done").over(w), F.lit(0)))

@@ -252,7 +252,7 @@ _t9 AS (SELECT *, coalesce(sum(CASE WHEN _mend IS NOT NULL THEN 1 WHEN _mclose T
 _t10 AS (SELECT *,
   {_next_cols},
   CASE WHEN _mclose OR _unclosed THEN _md END AS _ak
-  FROM _t9 WINDOW wd AS (PARTITION BY page_id ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  FROM _t9 WINDOW wd AS (PARTITION BY page_id, _md ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 _t11 AS (SELECT *, min(CASE WHEN _mclose THEN pos END)
                    OVER (PARTITION BY page_id, _ak ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _anc
          FROM _t10),
