@@ -70,3 +70,19 @@ def test_headers_bytes_to_text_null_kept(spark):
                                "h map<binary, array<binary>>")
     got = df.select(SM.stringify_headers("h").alias("s")).first()["s"]
     assert got == {"Content-Type": ["text/html"], "X-Null": None}
+
+
+def test_keyed_scan_hot_key_matches_window(spark):
+    from pyspark.sql import Window
+    from webloom.operators.scan import keyed_scan
+    rows = [("hot", i, float(i % 7)) for i in range(3000)] + [(f"k{j}", i, float(i)) for j in range(20) for i in range(5)]
+    df = spark.createDataFrame(rows, "key string, t long, v double")
+    got = keyed_scan(df, ["key"], ["t"], ["v"], partitions=16)
+    w = Window.partitionBy("key").orderBy("t")
+    want = df.withColumn("step", F.row_number().over(w).cast("bigint")).withColumn("prev_v", F.lag("v").over(w))
+    assert got.select("key", "t", "step", "prev_v").exceptAll(want.select("key", "t", "step", "prev_v")).count() == 0
+    assert got.count() == df.count()
+    # the hot key really is spread over several range partitions
+    spread = (df.repartitionByRange(16, F.to_json(F.struct("key")), "t").filter("key = 'hot'")
+              .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert spread > 4

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions.urls import versioned_parts
+from webloom.operators.scan import keyed_scan
 
 
 def version_names(df: DataFrame, name: str, order: list[str], group: list[str] | None = None,
@@ -16,8 +17,7 @@ def version_names(df: DataFrame, name: str, order: list[str], group: list[str] |
     (the reference bumps once per existing file; repeated collisions count on).
     """
     group = group or []
-    w = Window.partitionBy(*group, name).orderBy(*[F.col(c) for c in order])
-    d = df.withColumn("_k", F.row_number().over(w))
+    d = keyed_scan(df, [*group, name], order, step_col="_k")
     base, ver, ext = versioned_parts(name)
     bumped = F.when(ver.isNotNull(), F.concat(base, F.lit("-"), (ver + F.col("_k") - 1).cast("string"), ext)) \
               .otherwise(F.concat(F.col(name), F.lit("-"), F.col("_k").cast("string")))

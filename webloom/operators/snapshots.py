@@ -2,8 +2,9 @@
 (A10, A11, W3, W4, W5, W8, O3, H15, F12).
 
 Snapshots are rows ``(key, step, ...)``: the states one page went through (scrolls,
-clicks, next pages). Everything is window functions over ``key`` ordered by the step
-(plus a tie-breaker), or grouped aggregation.
+clicks, next pages). Step numbers and previous states come from the ordered scan in
+``webloom.operators.scan`` (a key may hold a third of all rows, so no per-key
+window); cut-offs are grouped minima joined back; concatenation is bucketed.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from webloom.operators.scan import keyed_scan
+
 # states per partial string when concatenating one key's states: a hot key is split
 # into buckets of this many steps, concatenated in parallel, then joined in order
 CONCAT_BUCKET = 1024
@@ -60,17 +63,25 @@ def accumulate(df: DataFrame, key: str, order: list[str], target_of: Column, tex
 
 
 def step_number(df: DataFrame, key: str, order: list[str], name: str = "step") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*_order(order))).cast("bigint"))
+    """1-based step per key in ``order`` (ordered scan: hot keys are split)."""
+    return keyed_scan(df, [key], order, step_col=name)
+
+
+def _keep_until_first(d: DataFrame, key: str, flag: Column) -> DataFrame:
+    """Keep steps up to (and including) the first flagged step of each key.
+
+    The first flagged step is a grouped min (partial aggregation, hot keys reduced
+    map-side); joining it back is a one-row-per-key join (AQE splits a hot key)."""
+    stop = d.filter(flag).groupBy(key).agg(F.min("step").alias("_stop"))
+    j = d.join(stop, key, "left")
+    return j.filter(F.col("_stop").isNull() | (F.col("step") <= F.col("_stop"))).drop("_stop")
 
 
 def converged(df: DataFrame, key: str, order: list[str], measure: str) -> DataFrame:
     """Keep states up to the first one whose measure equals the previous state's
     (the measured height stopped changing); keys that never converge keep everything."""
-    w = Window.partitionBy(key).orderBy(*_order(order))
-    d = step_number(df, key, order).withColumn("_prev", F.lag(measure).over(w))
-    first_eq = F.min(F.when(F.col(measure) == F.col("_prev"), F.col("step"))).over(Window.partitionBy(key))
-    return d.withColumn("_stop", first_eq).filter(
-        F.col("_stop").isNull() | (F.col("step") <= F.col("_stop"))).drop("_prev", "_stop")
+    d = keyed_scan(df, [key], order, [measure])
+    return _keep_until_first(d, key, F.col(measure) == F.col("prev_" + measure)).drop("prev_" + measure)
 
 
 def page_cap(df: DataFrame, key: str, order: list[str], n: int) -> DataFrame:
@@ -100,14 +111,14 @@ def progress_cut(df: DataFrame, key: str, order: list[str], marker: str, sep: st
         done = cur >= total
     else:
         done = cur.try_cast("bigint") >= total.try_cast("bigint")
-    w = Window.partitionBy(key).orderBy(*_order(order)).rowsBetween(Window.unboundedPreceding, -1)
-    d = df.withColumn("_done", F.coalesce(done, F.lit(False)).cast("int"))
-    d = d.withColumn("_before", F.coalesce(F.max("_done").over(w), F.lit(0)))
-    return d.filter(F.col("_before") == 0).drop("_done", "_before")
+    d = step_number(df.withColumn("_done", F.coalesce(done, F.lit(False))), key, order, "_step")
+    d = d.withColumnRenamed("_step", "step") if "step" not in df.columns else d.withColumn("step", F.col("_step"))
+    out = _keep_until_first(d, key, F.col("_done")).drop("_done")
+    return out.drop("_step") if "step" in df.columns else out.drop("step")
 
 
 def drop_unchanged(df: DataFrame, key: str, order: list[str], state: str) -> DataFrame:
     """Drop a state equal (null-safe) to the previous state of the same key."""
-    w = Window.partitionBy(key).orderBy(*_order(order))
-    return df.withColumn("_prev", F.lag(state).over(w)).filter(
-        F.col("_prev").isNull() | ~F.col(state).eqNullSafe(F.col("_prev"))).drop("_prev")
+    d = keyed_scan(df, [key], order, [state], step_col="_step")
+    p = "prev_" + state
+    return d.filter((F.col("_step") == 1) | ~F.col(state).eqNullSafe(F.col(p))).drop(p, "_step")
