@@ -28,7 +28,6 @@ from pyspark.sql import types as T
 from webloom.functions.text import py_strip, strip_ws
 from webloom.operators import dom as D
 from webloom.operators.common import BROADCAST_MAX_ROWS
-from webloom.operators.extract import markup, string_values
 
 STEP_TYPE = T.StructType([
     T.StructField("axis", T.StringType()),
@@ -116,20 +115,31 @@ def evaluate(dom: DataFrame, page_sites: DataFrame, rules: DataFrame) -> DataFra
     ).dropDuplicates(["page_id", "site", "target", "start"])
 
 
-def values(hits: DataFrame, dom: DataFrame, strip: bool) -> DataFrame:
-    """X2 value of every hit: strip mode = string-value with spaces/newlines/tabs/CR
-    deleted (empties kept); trim mode = element markup or text, trimmed, empties dropped."""
-    keys = ["site", "target"]
-    el = hits.filter(F.col("kind") == "open")
-    tx = hits.filter(F.col("kind") == "text").join(
-        D.text_nodes(dom).select("page_id", F.col("pos").alias("start"), "text", "tok"), ["page_id", "start"])
-    if strip:
-        ev = string_values(el, dom, keys).select("page_id", *keys, "start", strip_ws("text").alias("value"))
-        tv = tx.select("page_id", *keys, "start", strip_ws("text").alias("value"))
-        return ev.unionByName(tv)
-    ev = markup(el, dom, keys).select("page_id", *keys, "start", py_strip("markup").alias("value"))
-    tv = tx.select("page_id", *keys, "start", py_strip("text").alias("value"))
-    return ev.unionByName(tv).filter(F.col("value") != "")
+def values(hits: DataFrame, dom: DataFrame, strip: bool | None = None) -> DataFrame:
+    """X2 value of every hit, both modes in one range join and one aggregation.
+
+    strip mode: string-value (descendant text; a text hit's own text) with spaces,
+    newlines, tabs and CRs deleted, empties kept. trim mode: element hits give their
+    source markup (H20), text hits their text; trimmed (H2), empties dropped.
+    ``strip`` None takes each hit's own ``strip`` flag (default strip).
+    """
+    mode = F.lit(strip) if strip is not None else F.coalesce(F.col("strip"), F.lit(True))
+    h = hits.select("page_id", "site", "target", "start", "end", F.col("kind").alias("_hk"), mode.alias("_strip"))
+    t = dom.select(F.col("page_id").alias("_pg"), F.col("pos").alias("_tp"), F.col("kind").alias("_tk"),
+                   F.col("tok").alias("_tok"), F.col("text").alias("_tt"))
+    j = h.join(t, (F.col("page_id") == F.col("_pg")) & (F.col("_tp") >= F.col("start")) & (F.col("_tp") <= F.col("end")))
+    is_text = F.col("_tk") == "text"
+    own_or_below = (F.col("_hk") == "text") | (F.col("_tp") > F.col("start"))
+    sv = F.when(F.col("_strip") & is_text & own_or_below, F.struct(F.col("_tp").alias("p"), F.col("_tt").alias("s")))
+    mk = F.when(~F.col("_strip"), F.struct(F.col("_tp").alias("p"),
+                                          F.when(F.col("_hk") == "text", F.col("_tt")).otherwise(F.col("_tok")).alias("s")))
+    g = j.groupBy("page_id", "site", "target", "start", "_strip").agg(
+        F.collect_list(sv).alias("_sv"), F.collect_list(mk).alias("_mk"))
+    cat = lambda c: F.array_join(F.transform(F.array_sort(F.col(c)), lambda x: x["s"]), "")
+    out = g.select("page_id", "site", "target", "start",
+                   F.when(F.col("_strip"), strip_ws(cat("_sv"))).otherwise(py_strip(cat("_mk"))).alias("value"),
+                   "_strip")
+    return out.filter(F.col("_strip") | (F.col("value") != "")).drop("_strip")
 
 
 def ordered(vals: DataFrame) -> DataFrame:
@@ -144,13 +154,7 @@ def extract(dom: DataFrame, page_sites: DataFrame, rules: DataFrame, strip: bool
     ``strip`` None takes each site's ``strip`` flag from ``page_sites`` (X2).
     Targets without values are absent (F7); pages without any target are absent (F8).
     """
-    hits = evaluate(dom, page_sites, rules)
-    if strip is not None:
-        return ordered(values(hits, dom, strip))
-    mode = F.coalesce(F.col("strip"), F.lit(True))
-    a = values(hits.filter(mode), dom, True)
-    b = values(hits.filter(~mode), dom, False)
-    return ordered(a.unionByName(b))
+    return ordered(values(evaluate(dom, page_sites, rules), dom, strip))
 
 
 def to_map(long: DataFrame) -> DataFrame:
