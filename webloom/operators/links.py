@@ -111,13 +111,14 @@ def seeds(sites: DataFrame) -> DataFrame:
 def frontier(seed_ids: DataFrame, edges: DataFrame, max_depth: int = 4) -> DataFrame:
     """J5+A9: breadth-first expansion with seen-set dedup; depth of seeds = 1.
 
-    One join + anti join per hop; the visited set is checkpointed to the session's
-    shared checkpoint folder each hop so lineage stays short. Stops on an empty
-    frontier or at ``max_depth``. First arrival wins, so depth is the minimum.
+    One join + anti join per hop. Each hop's new nodes are checkpointed once to the
+    session's shared checkpoint folder (they are read three times); the visited set
+    is the union of those checkpointed hops, so its lineage is one leaf per hop and
+    nothing is recomputed. Stops on an empty frontier or at ``max_depth``. First
+    arrival wins, so depth is the minimum.
     """
-    visited = seed_ids.select(F.col("node"), F.lit(1).alias("depth")).distinct()
-    visited = cut_lineage(visited)
-    current = visited
+    current = cut_lineage(seed_ids.select(F.col("node"), F.lit(1).alias("depth")).distinct())
+    visited = current
     for d in range(2, max_depth + 1):
         nxt = (current.join(edges, current["node"] == edges["src"])
                .select(F.col("dst").alias("node")).distinct()
@@ -126,6 +127,6 @@ def frontier(seed_ids: DataFrame, edges: DataFrame, max_depth: int = 4) -> DataF
         nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
-        visited = cut_lineage(visited.unionByName(nxt))
+        visited = visited.unionByName(nxt)
         current = nxt
     return visited
