@@ -347,7 +347,8 @@ _HITS["heading"] = f"""SELECT DISTINCT * FROM ({_HITS['headline']} UNION ALL
 
 
 def _rules_sql(targets, strip: bool) -> str:
-    hits = "\n  UNION ALL ".join(f"SELECT {q(t)} AS target, * FROM ({_HITS[t]})" for t in targets)
+    hits = "\n  UNION ALL ".join(
+        f"SELECT {q(t)} AS target, * FROM ({_HITS[t]}) WHERE page_id IN (SELECT page_id FROM _bound)" for t in targets)
     if strip:
         vals = f"""
   SELECT h.page_id, h.target, h.start, {strip_ws("coalesce(string_agg(t.text, '' ORDER BY t.pos), '')")} AS value
@@ -368,6 +369,8 @@ def _rules_sql(targets, strip: bool) -> str:
     return f"""WITH {DOM_CTE},
 _el AS (SELECT * FROM dom WHERE kind = 'open'),
 _tn AS (SELECT * FROM dom WHERE kind = 'text'),
+_bound AS (SELECT page_id FROM pages WHERE list_bool_or(list_transform(['example.com', 'example.net', 'example.org'],
+             lambda d: {host('url')} = d OR ends_with({host('url')}, '.' || d)))),
 hits AS ({hits}),
 vals AS ({vals})
 SELECT page_id, 'corpus' AS site, target,

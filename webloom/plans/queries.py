@@ -243,7 +243,8 @@ def _corpus_rules(spark, targets):
 
 def _rule_query(spark, d, targets, strip):
     dom = _dom(spark, d)
-    page_sites = read_pages(spark, d).select("page_id", F.lit("corpus").alias("site"))
+    corpus = C.sites_from_dicts(spark, {"corpus": C.CORPUS_WIDE_SITE})
+    page_sites = L.bind_sites(read_pages(spark, d).select("page_id", "url"), corpus).select("page_id", "site")
     return R.extract(dom, page_sites, _corpus_rules(spark, targets), strip).select(
         "page_id", "site", "target", "idx", "value")
 

@@ -101,3 +101,7 @@ CORPUS_SITES = {
     "spam": {"kind": "js", "allowed_domains": ["spam-farm.example.org", "cheap-pills.example.com"],
              "further_allowed_domains": [".html", "#top"], "start_urls": [], "data_deal": True},
 }
+
+# One site covering the whole test corpus (used by the rule queries).
+CORPUS_WIDE_SITE = {"kind": "faq", "allowed_domains": ["example.com", "example.net", "example.org"],
+                    "start_urls": [], "data_deal": True}
