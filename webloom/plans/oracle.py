@@ -552,3 +552,21 @@ SELECT url, 'files/' || replace({authority('url')}, ':', '_') || '/' || {_file_i
   CAST(strlen(html) AS BIGINT) AS n_bytes FROM pages WHERE ends_with(lower({path('url')}), '.html')"""
 SQL["stream_dedup"] = f"SELECT DISTINCT url FROM ({LINKS})"
 SQL["stream_extract"] = SQL["page_text"]
+
+
+# ---- js preset: pages of a host = ordered states of one page -----------------------------
+SQL["preset_js"] = f"""WITH {DOM_CTE},
+_el AS (SELECT * FROM dom WHERE kind = 'open'),
+_tn AS (SELECT * FROM dom WHERE kind = 'text'),
+hits AS (SELECT 'headline' AS target, * FROM ({_HITS['headline']})
+         UNION ALL SELECT 'nav_second' AS target, * FROM ({_HITS['nav_second']})),
+sv AS (SELECT h.page_id, h.target, h.start, {strip_ws("coalesce(string_agg(t.text, '' ORDER BY t.pos), '')")} AS value
+       FROM hits h LEFT JOIN _tn t ON t.page_id = h.page_id AND t.pos > h.start AND t.pos <= h."end"
+       GROUP BY h.page_id, h.target, h.start),
+keyed AS (SELECT {host('p.url')} AS page_key, p.page_id FROM pages p),
+acc AS (SELECT k.page_key, sv.target, count(*) AS n, string_agg(sv.value, chr(10) ORDER BY k.page_id, sv.start) AS t
+        FROM sv JOIN keyed k USING (page_id) GROUP BY k.page_key, sv.target),
+grid AS (SELECT DISTINCT k.page_key, tg.target FROM keyed k,
+         (VALUES ('headline'), ('nav_second'), ('missing')) tg(target))
+SELECT g.page_key, g.target, CAST(coalesce(a.n, 0) AS BIGINT) AS n_items, md5(coalesce(a.t, '')) AS text_md5
+FROM grid g LEFT JOIN acc a USING (page_key, target)"""

@@ -79,3 +79,33 @@ def file_links(pages: DataFrame, ext: str, denied: list[str], base_dir: str) ->
 def url_scan(pages: DataFrame) -> DataFrame:
     """Every discovered URL once, sorted."""
     return L.url_scan(L.extract_links(html_only(pages)))
+
+
+def js_snapshots(states: DataFrame, rules: DataFrame, targets: list[str], key: str = "page_key",
+                 step: str = "step") -> DataFrame:
+    """X6 (A10 + A11 + F12): a page seen as ordered states ``(key, step, html)``.
+
+    Every state gets its own element index; the middleware rules run on each state
+    and their values are appended per target across states in step order (A11),
+    with every configured target pre-seeded empty. A key is kept even when all
+    lists are empty (F12: the map is non-empty as a map). ``rules`` use site
+    ``"middleware"``; values use strip mode, as the browser text does.
+    Returns ``(key, target, n_items, text)`` with values joined by newlines.
+    """
+    from webloom.operators import dom as D
+    from webloom.operators import snapshots as S
+
+    st = states.select(F.col(key).alias("_key"), F.col(step).alias("_step"), "html").withColumn(
+        "page_id", F.xxhash64("_key", "_step"))
+    dom = D.build_dom(st.select("page_id", "html"))
+    ps = st.select("page_id", F.lit("middleware").alias("site"))
+    vals = R.extract(dom, ps, rules, True)
+    vals = vals.join(st.select("page_id", "_key", "_step"), "page_id")
+    # a value's order within its key: state step, then position within the state;
+    # every key appears (with a null target) so it is seeded even without values
+    vals = vals.select("_key", "target", "value", "_step", "idx")
+    keys = st.select("_key").distinct().select(
+        "_key", *[F.lit(None).cast(t).alias(c) for c, t in
+                  [("target", "string"), ("value", "string"), ("_step", "bigint"), ("idx", "bigint")]])
+    out = S.accumulate(vals.unionByName(keys), "_key", ["_step", "idx"], F.col("target"), "value", targets)
+    return out.withColumnRenamed("_key", key).withColumnRenamed("value", "text")

@@ -491,3 +491,14 @@ def q_stream_extract(spark, d):
                                   F.md5(TX.page_text("html")).alias("text_md5"))
     ST.start_extract(spark, d, "pages.parquet", sink, ck, digest).awaitTermination()
     return spark.read.parquet(sink).select("page_id", "n_chars", "text_md5")
+
+
+@register("preset_js")
+def q_preset_js(spark, d):
+    """X6 over the corpus: the pages of one host are the successive states of one
+    rendered page (ordered by page_id); middleware targets: headline and nav links."""
+    p = read_pages(spark, d).select(U.host("url").alias("page_key"), F.col("page_id").alias("step"), "html")
+    rules = R.rules_df(spark, {"middleware": {"headline": CORPUS_RULES["headline"],
+                                              "nav_second": CORPUS_RULES["nav_second"]}})
+    out = P.js_snapshots(p, rules, ["headline", "nav_second", "missing"])
+    return out.select("page_key", "target", "n_items", F.md5("text").alias("text_md5"))
