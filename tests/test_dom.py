@@ -90,3 +90,14 @@ def test_page_without_hits_is_dropped(spark):
     out = R.to_map(R.extract(dom, ps, rules, True)).collect()
     assert [r["page_id"] for r in out] == [1]
     assert out[0]["targets"] == {"title": ["T&U"]}
+
+
+def test_saved_index_is_bucketed_no_exchange(spark, tmp_path):
+    dom = _dom(spark)
+    D.save_dom_index(dom, "dom_index_test", 4, str(tmp_path / "dom"))
+    t = spark.table("dom_index_test")
+    e = D.elements(t).groupBy("page_id").count()
+    plan = e._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert e.count() == 2
+    spark.sql("DROP TABLE dom_index_test")

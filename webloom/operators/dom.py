@@ -180,3 +180,16 @@ def elements(dom: DataFrame) -> DataFrame:
 
 def text_nodes(dom: DataFrame) -> DataFrame:
     return dom.filter(F.col("kind") == "text").select("page_id", "pos", "parent", "depth", "sib_pos", "text", "tok")
+
+
+def save_dom_index(dom: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Write the element index once, bucketed and sorted by ``page_id``.
+
+    Later queries read it with the bucketing known, so windows and structural joins
+    on ``page_id`` need no exchange: the corpus html is shuffled once, when the
+    index is built, and never per query.
+    """
+    w = dom.write.mode("overwrite").bucketBy(buckets, "page_id").sortBy("page_id", "pos")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)

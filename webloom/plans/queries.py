@@ -158,7 +158,7 @@ def dom_index(spark, d) -> DataFrame:
     """The element-interval table of a corpus, built once and persisted.
 
     On a cluster this is written once as a table bucketed by page_id
-    (``plans.corpus.write_dom_index``); in a session it is persisted (memory and disk,
+    (``operators.dom.save_dom_index``); in a session it is persisted (memory and disk,
     recomputed from lineage if an executor is lost) and shared by all queries.
     """
     key = (spark.sparkContext.applicationId, d)
