@@ -106,3 +106,18 @@ def test_stream_dedup_state_survives_restart(spark, tmp_path):
     want = extract_links(pages).select("url").distinct()
     assert out.count() == want.count() > first
     assert out.select("url").distinct().count() == out.count()  # nothing emitted twice
+
+
+def test_stream_extract_new_pages_only_across_restarts(spark, tmp_path):
+    """Pages are extracted once per URL, across batches and restarts."""
+    from webloom.streaming import stream as ST
+    src = tmp_path / "in"
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    pages.filter("page_id < 20").write.parquet(str(src))
+    sink, ck = str(tmp_path / "sink"), str(tmp_path / "ck")
+    digest = lambda df: df.select("page_id", "url", F.length("html").alias("n"))
+    ST.start_extract(spark, str(src), "*.parquet", sink, ck, digest).awaitTermination()
+    pages.write.mode("append").parquet(str(src))  # all pages again, 20 of them repeats
+    ST.start_extract(spark, str(src), "*.parquet", sink, ck, digest).awaitTermination()
+    out = spark.read.parquet(sink)
+    assert out.count() == pages.count() == out.select("url").distinct().count()

@@ -6,7 +6,6 @@ Both read new page files as they arrive, keep their state in the query checkpoin
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,18 +39,16 @@ def start_dedup(spark: SparkSession, source_dir: str, glob: str, sink: str, chec
 def start_extract(spark: SparkSession, source_dir: str, glob: str, sink: str, checkpoint: str, transform):
     """New pages only -> ``transform`` (any batch DataFrame function) -> append.
 
-    Each micro-batch drops pages whose URL is already in the sink (exact string,
-    J3), dedups within the batch, and appends; batch id based idempotence comes
-    from the sink commit log.
+    "New" is exact-string on the URL (J3) and lives in the stream's dedup state, so
+    a micro-batch never rescans the sink. Each micro-batch is written to its own
+    ``batch_id`` partition with dynamic partition overwrite: a batch replayed after a
+    failure replaces its own output instead of appending it twice.
     """
     def per_batch(df: DataFrame, epoch: int) -> None:
-        new = df.dropDuplicates(["url"])
-        try:
-            done = spark.read.parquet(sink).select("url").distinct()
-            new = new.join(done, "url", "left_anti")
-        except AnalysisException:  # first batch: no sink yet
-            pass
-        transform(new).write.mode("append").parquet(sink)
-
-    return (page_stream(spark, source_dir, glob).writeStream.foreachBatch(per_batch)
+        out = transform(df).withColumn("batch_id", F.lit(epoch).cast("bigint"))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(sink))
+
+    new_pages = dedup_urls(page_stream(spark, source_dir, glob))
+    return (new_pages.writeStream.foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
