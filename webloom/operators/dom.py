@@ -139,29 +139,37 @@ def nest(ext: DataFrame) -> DataFrame:
     plus ``sib_pos``: 1-based position among same-tag siblings (W1)."""
     # Events are generated from each row (explode, not union) so the token lineage is
     # computed once: the row itself (ord 0), its start (+1 after it) and its end (-1).
+    # Only the ord-0 event carries the wide row; start/end events stay narrow.
     is_elem = F.col("kind") == "open"
     cols = [c for c in ext.columns if c not in ("page_id",)]
-    ev_t = "struct<_p:bigint,_o:int,_d:int>"
+    row = F.struct(*cols)
+    row_t = ext.select(row.alias("r")).schema["r"].dataType.simpleString()
+    ev_t = f"struct<_p:bigint,_o:int,_d:int,_r:{row_t}>"
+    none = F.lit(None).cast(row_t)
     evs = F.array(
-        F.struct(F.col("pos").alias("_p"), F.lit(0).alias("_o"), F.lit(0).alias("_d")),
-        F.when(is_elem, F.struct(F.col("pos").alias("_p"), F.lit(1).alias("_o"), F.lit(1).alias("_d"))),
-        F.when(is_elem, F.struct(F.col("end").alias("_p"), F.lit(2).alias("_o"), F.lit(-1).alias("_d"))),
+        F.struct(F.col("pos").alias("_p"), F.lit(0).alias("_o"), F.lit(0).alias("_d"), row.alias("_r")),
+        F.when(is_elem, F.struct(F.col("pos").alias("_p"), F.lit(1).alias("_o"), F.lit(1).alias("_d"), none.alias("_r"))),
+        F.when(is_elem, F.struct(F.col("end").alias("_p"), F.lit(2).alias("_o"), F.lit(-1).alias("_d"), none.alias("_r"))),
     ).cast(f"array<{ev_t}>")
-    ev = ext.select("page_id", F.struct(*cols).alias("_r"), F.explode(F.filter(evs, lambda x: x.isNotNull())).alias("_e"))
+    ev = ext.select("page_id", F.explode(F.filter(evs, lambda x: x.isNotNull())).alias("_e"))
     w = Window.partitionBy("page_id").orderBy(F.col("_e._p"), F.col("_e._o")).rowsBetween(_UNB, 0)
     ev = ev.withColumn("depth", F.sum("_e._d").over(w)).filter(F.col("_e._o") == 0)
-    ev = ev.select("page_id", "_r.*", "depth")
+    ev = ev.select("page_id", "_e._r.*", "depth")
     # parent = latest element start one level up: each row is a child keyed depth-1,
-    # each element is also a candidate keyed by its own depth.
+    # each element is also a (narrow) candidate keyed by its own depth.
     cols = [c for c in ev.columns if c != "page_id"]
+    row = F.struct(*cols)
+    row_t = ev.select(row.alias("r")).schema["r"].dataType.simpleString()
     ks = F.array(
-        F.struct((F.col("depth") - 1).alias("_k"), F.lit(0).alias("_o"), F.lit(None).cast("bigint").alias("_c")),
-        F.when(is_elem, F.struct(F.col("depth").alias("_k"), F.lit(1).alias("_o"), F.col("pos").alias("_c"))),
-    ).cast("array<struct<_k:bigint,_o:int,_c:bigint>>")
-    u = ev.select("page_id", F.struct(*cols).alias("_r"), F.explode(F.filter(ks, lambda x: x.isNotNull())).alias("_e"))
-    wk = Window.partitionBy("page_id", F.col("_e._k")).orderBy(F.col("_r.pos"), F.col("_e._o")).rowsBetween(_UNB, 0)
+        F.struct((F.col("depth") - 1).alias("_k"), F.col("pos").alias("_p"), F.lit(0).alias("_o"),
+                 F.lit(None).cast("bigint").alias("_c"), row.alias("_r")),
+        F.when(is_elem, F.struct(F.col("depth").alias("_k"), F.col("pos").alias("_p"), F.lit(1).alias("_o"),
+                                 F.col("pos").alias("_c"), F.lit(None).cast(row_t).alias("_r"))),
+    ).cast(f"array<struct<_k:bigint,_p:bigint,_o:int,_c:bigint,_r:{row_t}>>")
+    u = ev.select("page_id", F.explode(F.filter(ks, lambda x: x.isNotNull())).alias("_e"))
+    wk = Window.partitionBy("page_id", F.col("_e._k")).orderBy(F.col("_e._p"), F.col("_e._o")).rowsBetween(_UNB, 0)
     u = u.withColumn("parent", F.coalesce(F.max("_e._c").over(wk), F.lit(-1).cast("bigint")))
-    u = u.filter(F.col("_e._o") == 0).select("page_id", "_r.*", "parent")
+    u = u.filter(F.col("_e._o") == 0).select("page_id", "_e._r.*", "parent")
     ws = Window.partitionBy("page_id", "parent", "tag").orderBy("pos")
     node = (F.col("kind") == "open") | (F.col("kind") == "text")
     u = u.withColumn("sib_pos", F.when(node, F.row_number().over(ws)).cast("bigint"))
