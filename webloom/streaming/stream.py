@@ -25,6 +25,7 @@ def dedup_urls(links: DataFrame, watermark_col: str | None = None, delay: str |
     """Each URL once, ever. Unbounded state by design (RocksDB store recommended);
     with a watermark the state is bounded but duplicates older than it pass again."""
     if watermark_col:
+        links = links.withColumn(watermark_col, F.col(watermark_col).cast("timestamp"))  # NTZ -> event time
         return links.withWatermark(watermark_col, delay).dropDuplicatesWithinWatermark(["url"])
     return links.dropDuplicates(["url"])
 
