@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "url_scan", "link_extract", "seen_anti", "frontier", "page_text", "dom_elements", "body_texts",
     "rule_strip", "rule_trim", "preset_union", "preset_target_div", "snapshot_concat",
-    "snapshot_accumulate", "converged", "versioned_names", "stream_dedup",
+    "snapshot_accumulate", "converged", "versioned_names", "stream_dedup", "preset_js",
 ]
 
 
