@@ -16,6 +16,7 @@ from webloom.operators import extract as X
 from webloom.operators import links as L
 from webloom.operators import rules as R
 from webloom.operators import summary as SM
+from webloom.operators.common import cut_lineage
 from webloom.sources.pages import html_only
 
 
@@ -97,7 +98,9 @@ def js_snapshots(states: DataFrame, rules: DataFrame, targets: list[str], key: s
 
     st = states.select(F.col(key).alias("_key"), F.col(step).alias("_step"), "html").withColumn(
         "page_id", F.xxhash64("_key", "_step"))
-    dom = D.build_dom(st.select("page_id", "html"))
+    # the states' element index is read by every step join and the value join:
+    # build it once (reliable checkpoint, keeps the page_id partitioning)
+    dom = cut_lineage(D.build_dom(st.select("page_id", "html")))
     ps = st.select("page_id", F.lit("middleware").alias("site"))
     vals = R.extract(dom, ps, rules, True)
     vals = vals.join(st.select("page_id", "_key", "_step"), "page_id")
