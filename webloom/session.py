@@ -18,6 +18,9 @@ _DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # plan building: skip the per-call Python call-site capture (py4j round trips for
+    # every column function); errors still name the failing expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # joins keyed by (page_id, rule...) reuse the page_id partitioning of the element
     # index instead of re-shuffling on every key
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
