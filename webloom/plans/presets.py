@@ -67,10 +67,22 @@ def web(pages: DataFrame, base_dir: str, ts) -> DataFrame:
     return SM.drop_bulky(p.withColumn("save_path", U.html_save_path(base_dir, "url", ts)))
 
 
-def file_links(pages: DataFrame, ext: str, denied: list[str], base_dir: str) -> DataFrame:
+# Link extensions skipped by default (our list: archives, media, office documents,
+# images, executables); the preset's own extension is always allowed.
+DEFAULT_DENIED_EXTENSIONS = [
+    "7z", "apk", "avi", "bin", "bmp", "bz2", "css", "csv", "deb", "dmg", "doc", "docx", "exe",
+    "flac", "flv", "gif", "gz", "ico", "iso", "jar", "jpeg", "jpg", "js", "m4a", "m4v", "mkv",
+    "mov", "mp3", "mp4", "mpeg", "mpg", "msi", "odp", "ods", "odt", "ogg", "pdf", "png", "ppt",
+    "pptx", "psd", "rar", "rpm", "rtf", "svg", "tar", "tgz", "tif", "tiff", "wav", "webm", "webp",
+    "wma", "wmv", "xls", "xlsx", "xz", "zip",
+]
+
+
+def file_links(pages: DataFrame, ext: str, denied: list[str] | None, base_dir: str) -> DataFrame:
     """Links of HTML pages, deny-listed extensions removed except the preset's own
     (F6/U2), the ones with the preset's extension (F5) and their save path (H11)."""
     lk = L.extract_links(html_only(pages))
+    denied = DEFAULT_DENIED_EXTENSIONS if denied is None else denied
     deny = [d.lower() for d in denied if d.lower() != ext.lower()]
     lk = lk.filter(~U.url_extension("url").isin(deny))
     return lk.filter(U.has_extension("url", ext)).select(
