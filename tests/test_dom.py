@@ -101,3 +101,16 @@ def test_saved_index_is_bucketed_no_exchange(spark, tmp_path):
     assert "Exchange" not in plan
     assert e.count() == 2
     spark.sql("DROP TABLE dom_index_test")
+
+
+def test_index_build_on_bucketed_pages_has_no_exchange(spark, tmp_path):
+    """Pages stored bucketed by page_id: the whole index build runs without a shuffle."""
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    (pages.write.mode("overwrite").bucketBy(4, "page_id").option("path", str(tmp_path / "pages"))
+     .saveAsTable("pages_bucketed_test"))
+    dom = D.build_dom(spark.table("pages_bucketed_test"), repartition=False)
+    dom.write.format("noop").mode("overwrite").save()
+    plan = dom._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert D.elements(dom).filter("page_id = 1 and tag = 'li'").count() == 3
+    spark.sql("DROP TABLE pages_bucketed_test")
