@@ -6,7 +6,6 @@ import yaml
 from pyspark.sql import functions as F
 
 from webloom.operators import dom as D
-from webloom.operators import rules as R
 from webloom.plans import presets as P
 from webloom.sources import configs as C
 from webloom.sources import samples as SA
