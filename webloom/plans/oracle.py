@@ -570,3 +570,13 @@ grid AS (SELECT DISTINCT k.page_key, tg.target FROM keyed k,
          (VALUES ('headline'), ('nav_second'), ('missing')) tg(target))
 SELECT g.page_key, g.target, CAST(coalesce(a.n, 0) AS BIGINT) AS n_items, md5(coalesce(a.t, '')) AS text_md5
 FROM grid g LEFT JOIN acc a USING (page_key, target)"""
+
+
+def _rule_map_sql() -> str:
+    base = _rules_sql(_MAIN, True)
+    return f"""SELECT page_id, site, CAST(count(DISTINCT target) AS BIGINT) AS n_targets,
+       CAST(count(*) AS BIGINT) AS n_values, md5(string_agg(value, chr(10) ORDER BY target, idx)) AS values_md5
+FROM ({base}) GROUP BY page_id, site"""
+
+
+SQL["rule_map"] = _rule_map_sql()

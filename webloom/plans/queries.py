@@ -502,3 +502,18 @@ def q_preset_js(spark, d):
                                               "nav_second": CORPUS_RULES["nav_second"]}})
     out = P.js_snapshots(p, rules, ["headline", "nav_second", "missing"])
     return out.select("page_key", "target", "n_items", F.md5("text").alias("text_md5"))
+
+
+@register("rule_map")
+def q_rule_map(spark, d):
+    """A3: the per-page map ``target -> [values]``, checked through its key count, value
+    count and a digest of the values in (target, document) order."""
+    dom = _dom(spark, d)
+    corpus = C.sites_from_dicts(spark, {"corpus": C.CORPUS_WIDE_SITE})
+    page_sites = L.bind_sites(read_pages(spark, d).select("page_id", "url"), corpus).select("page_id", "site")
+    m = R.to_map(R.extract(dom, page_sites, _corpus_rules(spark, _MAIN_TARGETS), True))
+    keys = F.array_sort(F.map_keys("targets"))
+    flat = F.flatten(F.transform(keys, lambda k: F.col("targets")[k]))
+    return m.select("page_id", "site", F.size(keys).cast("bigint").alias("n_targets"),
+                    F.size(flat).cast("bigint").alias("n_values"),
+                    F.md5(F.array_join(flat, "\n")).alias("values_md5"))
