@@ -563,7 +563,9 @@ hits AS (SELECT 'headline' AS target, * FROM ({_HITS['headline']})
 sv AS (SELECT h.page_id, h.target, h.start, {strip_ws("coalesce(string_agg(t.text, '' ORDER BY t.pos), '')")} AS value
        FROM hits h LEFT JOIN _tn t ON t.page_id = h.page_id AND t.pos > h.start AND t.pos <= h."end"
        GROUP BY h.page_id, h.target, h.start),
-keyed AS (SELECT {host('p.url')} AS page_key, p.page_id FROM pages p),
+keyed AS (SELECT {host('p.url')} AS page_key, p.page_id FROM pages p
+          WHERE list_bool_or(list_transform(['example.com', 'example.net', 'example.org'],
+                lambda d: {host('p.url')} = d OR ends_with({host('p.url')}, '.' || d)))),
 acc AS (SELECT k.page_key, sv.target, count(*) AS n, string_agg(sv.value, chr(10) ORDER BY k.page_id, sv.start) AS t
         FROM sv JOIN keyed k USING (page_id) GROUP BY k.page_key, sv.target),
 grid AS (SELECT DISTINCT k.page_key, tg.target FROM keyed k,

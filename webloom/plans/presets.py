@@ -96,24 +96,24 @@ def url_scan(pages: DataFrame) -> DataFrame:
 
 def js_snapshots(states: DataFrame, rules: DataFrame, targets: list[str], key: str = "page_key",
                  step: str = "step") -> DataFrame:
-    """X6 (A10 + A11 + F12): a page seen as ordered states ``(key, step, html)``.
+    """X6 (A10 + A11 + F12): a page seen as ordered states ``(key, step, site, html)``.
 
     Every state gets its own element index; the middleware rules run on each state
     and their values are appended per target across states in step order (A11),
     with every configured target pre-seeded empty. A key is kept even when all
-    lists are empty (F12: the map is non-empty as a map). ``rules`` use site
-    ``"middleware"``; values use strip mode, as the browser text does.
+    lists are empty (F12: the map is non-empty as a map). ``rules`` are keyed by the
+    states' ``site``; values use strip mode, as the browser text does.
     Returns ``(key, target, n_items, text)`` with values joined by newlines.
     """
     from webloom.operators import dom as D
     from webloom.operators import snapshots as S
 
-    st = states.select(F.col(key).alias("_key"), F.col(step).alias("_step"), "html").withColumn(
+    st = states.select(F.col(key).alias("_key"), F.col(step).alias("_step"), "site", "html").withColumn(
         "page_id", F.xxhash64("_key", "_step"))
     # the states' element index is read by every step join and the value join:
     # build it once (reliable checkpoint, keeps the page_id partitioning)
     dom = cut_lineage(D.build_dom(st.select("page_id", "html")))
-    ps = st.select("page_id", F.lit("middleware").alias("site"))
+    ps = st.select("page_id", "site")
     vals = R.extract(dom, ps, rules, True)
     vals = vals.join(st.select("page_id", "_key", "_step"), "page_id")
     # a value's order within its key: state step, then position within the state;

@@ -497,7 +497,10 @@ def q_stream_extract(spark, d):
 def q_preset_js(spark, d):
     """X6 over the corpus: the pages of one host are the successive states of one
     rendered page (ordered by page_id); middleware targets: headline and nav links."""
-    p = read_pages(spark, d).select(U.host("url").alias("page_key"), F.col("page_id").alias("step"), "html")
+    sites = C.sites_from_dicts(spark, {"middleware": C.CORPUS_WIDE_SITE})
+    bound = L.bind_sites(read_pages(spark, d).select("page_id", "url"), sites)
+    p = read_pages(spark, d).join(bound.select("page_id", "site"), "page_id").select(
+        U.host("url").alias("page_key"), F.col("page_id").alias("step"), "site", "html")
     rules = R.rules_df(spark, {"middleware": {"headline": CORPUS_RULES["headline"],
                                               "nav_second": CORPUS_RULES["nav_second"]}})
     out = P.js_snapshots(p, rules, ["headline", "nav_second", "missing"])
