@@ -9,6 +9,9 @@ from __future__ import annotations
 from webloom.functions.urls import URL_FIND_PATTERN
 from webloom.operators.links import HREF_PATTERN
 from webloom.sources.pages import HTML_MARKUP
+from webloom.functions import text as _T
+from webloom.operators import dom as _D
+from webloom.functions.urls import VERSIONED_NAME_PATTERN as _VP
 
 SCHEME = "[A-Za-z][A-Za-z0-9+.-]*"
 RUN_TS = "2024-01-02 03:04:05"
@@ -183,8 +186,6 @@ SELECT node AS page_id, CAST(min(depth) AS BIGINT) AS depth FROM walk GROUP BY n
 
 
 # ---- DOM: the same interval encoding, written as a DuckDB CTE chain ------------------
-from webloom.functions import text as _T  # noqa: E402
-from webloom.operators import dom as _D  # noqa: E402
 
 
 def _inlist(xs) -> str:
@@ -428,7 +429,6 @@ WHERE prev IS NULL OR event_type IS DISTINCT FROM prev"""
 
 
 # ---- naming, run folders, crawl summary ---------------------------------------------------
-from webloom.functions.urls import VERSIONED_NAME_PATTERN as _VP  # noqa: E402
 
 
 def _html_base(u: str) -> str:

@@ -12,10 +12,23 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from webloom.functions import text as TX
 from webloom.functions import urls as U
+from webloom.operators import dom as D
+from webloom.operators import extract as X
 from webloom.operators import links as L
+from webloom.operators import naming as N
+from webloom.operators import rules as R
+from webloom.operators import snapshots as S
+from webloom.operators import summary as SM
+from webloom.operators.common import scratch_path
+from webloom.operators.rules import step
+from webloom.plans import presets as P
 from webloom.sources import configs as C
+from webloom.sources import sinks as K
+from webloom.sources.pages import append_seen_log, read_seen_log
 from webloom.sources.pages import html_only, read_pages, read_table
+from webloom.streaming import stream as ST
 
 # fixed run timestamp used in names (never the wall clock, so results are stable)
 RUN_TS = "2024-01-02 03:04:05"
@@ -146,9 +159,6 @@ def q_frontier(spark, d):
 
 
 # ---- text and DOM ---------------------------------------------------------------------
-from webloom.functions import text as TX  # noqa: E402
-from webloom.operators import dom as D  # noqa: E402
-from webloom.operators import extract as X  # noqa: E402
 
 
 _DOM_INDEX: dict = {}
@@ -222,8 +232,6 @@ def q_div_texts(spark, d):
 
 
 # ---- extraction rules -------------------------------------------------------------------
-from webloom.operators import rules as R  # noqa: E402
-from webloom.operators.rules import step  # noqa: E402
 
 # Rules over the test corpus, written as structured steps (the XPath in comments).
 CORPUS_RULES = {
@@ -274,7 +282,6 @@ def q_rule_or(spark, d):
 
 # ---- snapshots (conversations = page states keyed by conv_id, step turn;
 #      events = measured states keyed by user_id, ordered by ts then event_id) ------------
-from webloom.operators import snapshots as S  # noqa: E402
 
 MIDDLEWARE_TARGETS = {"user": "user_text", "assistant": "assistant_text", "system": "system_text"}
 PAGE_CAP = 3
@@ -327,8 +334,6 @@ def q_unchanged(spark, d):
 
 
 # ---- naming, run folders, crawl summary ---------------------------------------------------
-from webloom.operators import naming as N  # noqa: E402
-from webloom.operators import summary as SM  # noqa: E402
 
 
 @register("versioned_names")
@@ -379,7 +384,6 @@ def q_crawl_summary(spark, d):
 
 
 # ---- presets ------------------------------------------------------------------------------
-from webloom.plans import presets as P  # noqa: E402
 
 # targets of each corpus site (structured CORPUS_RULES entries)
 SITE_TARGETS = {"news_com": ["headline", "nav_second"], "news_net": ["title", "lead_para"],
@@ -415,10 +419,6 @@ def q_preset_web(spark, d):
 
 
 # ---- sinks and streams: write to a fresh folder under spark.checkpoint.dir, read back -----
-from webloom.operators.common import scratch_path  # noqa: E402
-from webloom.sources import sinks as K  # noqa: E402
-from webloom.sources.pages import append_seen_log, read_seen_log  # noqa: E402
-from webloom.streaming import stream as ST  # noqa: E402
 
 _RECORD_SCHEMA = "page_id BIGINT, type STRING, url STRING, target STRING, idx BIGINT, value STRING, site STRING"
 
