@@ -148,6 +148,10 @@ def q_seed_exempt(spark, d):
 
 @register("frontier")
 def q_frontier(spark, d):
+    """J5/A9/U3 over every page. The corpus' hrefs never resolve to corpus pages, so
+    the link graph is the fixture rule of FIXTURES.md: each page links to pages
+    (id*7+3) mod n and (id*3+1) mod n (n = page count). That builds edges for all
+    pages; nothing is filtered. Seeds: the first page of every host."""
     p = read_pages(spark, d).select("page_id", "url")
     n = p.count()
     e1 = p.select(F.col("page_id").alias("src"), ((F.col("page_id") * 7 + 3) % n).alias("dst"))
