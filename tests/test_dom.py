@@ -114,3 +114,13 @@ def test_index_build_on_bucketed_pages_has_no_exchange(spark, tmp_path):
     assert "Exchange" not in plan
     assert D.elements(dom).filter("page_id = 1 and tag = 'li'").count() == 3
     spark.sql("DROP TABLE pages_bucketed_test")
+
+
+def test_div_texts_document_scope_as_written(spark):
+    """A8 scope='document': the page's whole text list once per matching element."""
+    dom = _dom(spark)
+    sel = X.select_by_id(dom, "m")
+    doc = X.scoped_texts(sel, dom, scope="document").filter("page_id = 1")
+    n_texts = D.text_nodes(dom).filter("page_id = 1").filter(F.col("text").rlike("[^ \\t\\r\\n]")).count()
+    assert doc.count() == 2 * n_texts
+    assert doc.select("start").distinct().count() == 2
