@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from webloom.functions.text import py_strip, strip_ws
 from webloom.operators import dom as D
-from webloom.operators.common import BROADCAST_MAX_ROWS
+from webloom.operators.common import BROADCAST_MAX_ROWS, small_enough
 
 STEP_TYPE = T.StructType([
     T.StructField("axis", T.StringType()),
@@ -73,11 +73,13 @@ def evaluate(dom: DataFrame, page_sites: DataFrame, rules: DataFrame) -> DataFra
     once, so nothing is recomputed or materialized between steps.
     """
     rules = rules.withColumn("_n", F.size("steps"))
-    # one small job over the (config-sized) rules table: step count and '*' use per step
-    meta = rules.select("_n", F.transform("steps", lambda s: s["tag"] == "*").alias("_star")).collect()
-    bc = F.broadcast if len(meta) <= BROADCAST_MAX_ROWS else (lambda df: df)
-    max_steps = max((m["_n"] for m in meta), default=0)
-    star_at = {i + 1 for m in meta for i, f in enumerate(m["_star"]) if f}
+    # one aggregate row, whatever the rules table's size: the longest rule and the step
+    # positions that use '*'; the broadcast decision is a separate row-count check
+    stars = F.filter(F.transform("steps", lambda s, i: F.when(s["tag"] == "*", i + 1)), lambda x: x.isNotNull())
+    meta = rules.agg(F.max("_n").alias("n"), F.array_distinct(F.flatten(F.collect_set(stars))).alias("stars")).first()
+    bc = F.broadcast if small_enough(rules, BROADCAST_MAX_ROWS) else (lambda df: df)
+    max_steps = meta["n"] or 0
+    star_at = set(meta["stars"] or [])
     ps = page_sites.select("page_id", "site", (F.col("strip") if "strip" in page_sites.columns
                                               else F.lit(None).cast("boolean")).alias("_strip")).distinct()
     ctx = (ps.join(bc(rules.select(*_KEYS, "_n")), "site")
