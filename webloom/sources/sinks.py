@@ -6,6 +6,7 @@ distributed (one file per task); nothing is funnelled through one task.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,8 +49,10 @@ def archive(records: DataFrame, base_uri: str, job: str, ts) -> tuple[str, int]:
     spark = records.sparkSession
     name = spark.range(1).select(F.date_format(ts, U.RUN_TS_FORMAT)).first()[0]
     uri = f"{base_uri.rstrip('/')}/{job}_{name}"
-    records.write.mode("overwrite").option("compression", "gzip").json(uri)
-    expected = records.count()
+    cached = records.persist(StorageLevel.MEMORY_AND_DISK)  # write and count from one run
+    cached.write.mode("overwrite").option("compression", "gzip").json(uri)
+    expected = cached.count()
+    cached.unpersist()
     got = spark.read.json(uri).count()
     if got != expected:
         raise IOError(f"archive {uri}: wrote {expected} rows, read back {got}")
