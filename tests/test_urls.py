@@ -78,3 +78,12 @@ def test_url_find_long_match(spark):
     long_url = "http://a.com/" + "x" * 20000
     got = _one(spark, U.find_urls(F.col("url")), "see " + long_url + "#frag")
     assert got == [long_url]
+
+
+def test_run_folder(spark):
+    df = spark.createDataFrame([(["fund.example.com", "x.org"],)], "d array<string>")
+    ts = F.lit("2024-05-06 07:08:09").cast("timestamp")
+    r = df.select(U.run_folder("out/", F.col("d")[0], ts).alias("a"),
+                  U.run_folder("out", F.col("d")[0], ts, dashes=True).alias("b")).first()
+    assert r["a"] == "out/fund.example.com20240506_0708"
+    assert r["b"] == "out/fund-example-com20240506_0708"

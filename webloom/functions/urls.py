@@ -189,3 +189,12 @@ def resolve(base, href) -> Column:
     for _ in range(3):
         out = F.regexp_replace(out, r"/[^/?#]+/\.\./", "/")
     return out
+
+
+def run_folder(save_dir: str, first_domain, ts, dashes: bool = False) -> Column:
+    """Run output folder ``<save_dir>/<first allowed domain><yyyyMMdd_HHmm>``;
+    the js preset writes the domain with '.' replaced by '-' (``dashes=True``)."""
+    dom = _c(first_domain)
+    if dashes:
+        dom = F.replace(dom, F.lit("."), F.lit("-"))
+    return F.concat(F.lit(save_dir.rstrip("/") + "/"), dom, F.date_format(_c(ts), RUN_TS_FORMAT))
