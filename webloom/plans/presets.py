@@ -95,7 +95,7 @@ def url_scan(pages: DataFrame) -> DataFrame:
 
 
 def js_snapshots(states: DataFrame, rules: DataFrame, targets: list[str], key: str = "page_key",
-                 step: str = "step") -> DataFrame:
+                 step: str = "step", dom: DataFrame | None = None) -> DataFrame:
     """X6 (A10 + A11 + F12): a page seen as ordered states ``(key, step, site, html)``.
 
     Every state gets its own element index; the middleware rules run on each state
@@ -104,15 +104,20 @@ def js_snapshots(states: DataFrame, rules: DataFrame, targets: list[str], key: s
     lists are empty (F12: the map is non-empty as a map). ``rules`` are keyed by the
     states' ``site``; values use strip mode, as the browser text does.
     Returns ``(key, target, n_items, text)`` with values joined by newlines.
+    When the states are rows of an already indexed corpus, pass that index as
+    ``dom`` and keep ``page_id`` in ``states``: it is reused instead of rebuilt.
     """
     from webloom.operators import dom as D
     from webloom.operators import snapshots as S
 
-    st = states.select(F.col(key).alias("_key"), F.col(step).alias("_step"), "site", "html").withColumn(
-        "page_id", F.xxhash64("_key", "_step"))
-    # the states' element index is read by every step join and the value join:
-    # build it once (reliable checkpoint, keeps the page_id partitioning)
-    dom = cut_lineage(D.build_dom(st.select("page_id", "html")))
+    if dom is None:
+        st = states.select(F.col(key).alias("_key"), F.col(step).alias("_step"), "site", "html").withColumn(
+            "page_id", F.xxhash64("_key", "_step"))
+        # the states' element index is read by every step join and the value join:
+        # build it once (reliable checkpoint, keeps the page_id partitioning)
+        dom = cut_lineage(D.build_dom(st.select("page_id", "html")))
+    else:
+        st = states.select(F.col(key).alias("_key"), F.col(step).alias("_step"), "site", "page_id")
     ps = st.select("page_id", "site")
     vals = R.extract(dom, ps, rules, True)
     vals = vals.join(st.select("page_id", "_key", "_step"), "page_id")

@@ -504,10 +504,10 @@ def q_preset_js(spark, d):
     sites = C.sites_from_dicts(spark, {"middleware": C.CORPUS_WIDE_SITE})
     bound = L.bind_sites(read_pages(spark, d).select("page_id", "url"), sites)
     p = read_pages(spark, d).join(bound.select("page_id", "site"), "page_id").select(
-        U.host("url").alias("page_key"), F.col("page_id").alias("step"), "site", "html")
+        U.host("url").alias("page_key"), F.col("page_id").alias("step"), "site", "page_id")
     rules = R.rules_df(spark, {"middleware": {"headline": CORPUS_RULES["headline"],
                                               "nav_second": CORPUS_RULES["nav_second"]}})
-    out = P.js_snapshots(p, rules, ["headline", "nav_second", "missing"])
+    out = P.js_snapshots(p, rules, ["headline", "nav_second", "missing"], dom=_dom(spark, d))
     return out.select("page_key", "target", "n_items", F.md5("text").alias("text_md5"))
 
 
