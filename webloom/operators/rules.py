@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from webloom.functions.text import py_strip, strip_ws
 from webloom.operators import dom as D
-from webloom.operators.common import BROADCAST_MAX_ROWS, small_enough
+from webloom.operators.common import BROADCAST_MAX_ROWS
 
 STEP_TYPE = T.StructType([
     T.StructField("axis", T.StringType()),
@@ -74,10 +74,11 @@ def evaluate(dom: DataFrame, page_sites: DataFrame, rules: DataFrame) -> DataFra
     """
     rules = rules.withColumn("_n", F.size("steps"))
     # one aggregate row, whatever the rules table's size: the longest rule and the step
-    # positions that use '*'; the broadcast decision is a separate row-count check
+    # positions that use '*', and the row count that decides the broadcast
     stars = F.filter(F.transform("steps", lambda s, i: F.when(s["tag"] == "*", i + 1)), lambda x: x.isNotNull())
-    meta = rules.agg(F.max("_n").alias("n"), F.array_distinct(F.flatten(F.collect_set(stars))).alias("stars")).first()
-    bc = F.broadcast if small_enough(rules, BROADCAST_MAX_ROWS) else (lambda df: df)
+    meta = rules.agg(F.count("*").alias("rows"), F.max("_n").alias("n"),
+                     F.array_distinct(F.flatten(F.collect_set(stars))).alias("stars")).first()
+    bc = F.broadcast if meta["rows"] <= BROADCAST_MAX_ROWS else (lambda df: df)
     max_steps = meta["n"] or 0
     star_at = set(meta["stars"] or [])
     ps = page_sites.select("page_id", "site", (F.col("strip") if "strip" in page_sites.columns
