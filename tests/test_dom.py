@@ -124,3 +124,16 @@ def test_div_texts_document_scope_as_written(spark):
     n_texts = D.text_nodes(dom).filter("page_id = 1").filter(F.col("text").rlike("[^ \\t\\r\\n]")).count()
     assert doc.count() == 2 * n_texts
     assert doc.select("start").distinct().count() == 2
+
+
+def test_attribute_quoting_styles(spark):
+    from webloom.operators.links import extract_links
+    html = ("<html><body><div class='q s' id=u1>x</div><a href='/one'>1</a><a href=/two>2</a>"
+            '<a title="t" href="/three">3</a></body></html>')
+    pages = spark.createDataFrame([(9, "http://h.com/d/p", html)], "page_id long, url string, html string")
+    dom = D.build_dom(pages)
+    got = {(r["tag"], D_attr_pair) for r in D.elements(dom).collect()
+           for D_attr_pair in [tuple((a["k"], a["v"]) for a in (r["attrs"] or []))]}
+    assert ("div", (("class", "q s"), ("id", "u1"))) in got
+    links = [r["url"] for r in extract_links(pages).orderBy("idx").collect()]
+    assert links == ["http://h.com/one", "http://h.com/two", "http://h.com/three"]

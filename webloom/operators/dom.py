@@ -30,7 +30,8 @@ from webloom.functions.text import clean_markup, decode_entities
 # ---- fixed values ------------------------------------------------------------------
 TOKEN_RE = r"<[A-Za-z/!?][^>]*>|[^<]+|<"
 TAG_NAME_RE = r"^</?([A-Za-z][A-Za-z0-9:-]*)"
-ATTR_RE = r"""\s([A-Za-z_:][-A-Za-z0-9_:.]*)\s*=\s*"([^"]*)\""""
+# attribute name, then a double-quoted, single-quoted or unquoted value (groups 2-4)
+ATTR_RE = r"""\s([A-Za-z_:][-A-Za-z0-9_:.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+))"""
 VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
              "param", "source", "track", "wbr"]
 BLOCK_OPENERS = ["address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset",
@@ -77,7 +78,10 @@ def tokenize(pages: DataFrame, repartition: bool = True) -> DataFrame:
     df = df.withColumn("void", (F.col("kind") == "open") & (
         F.col("tag").isin(VOID_TAGS) | tok.rlike(r"/\s*>$")))
     names = F.regexp_extract_all(tok, F.lit(ATTR_RE), 1)
-    vals = F.regexp_extract_all(tok, F.lit(ATTR_RE), 2)
+    # exactly one value group takes part; the others extract as ''
+    vals = F.zip_with(F.zip_with(F.regexp_extract_all(tok, F.lit(ATTR_RE), 2),
+                                 F.regexp_extract_all(tok, F.lit(ATTR_RE), 3), lambda a, b: F.concat(a, b)),
+                      F.regexp_extract_all(tok, F.lit(ATTR_RE), 4), lambda a, b: F.concat(a, b))
     attrs = F.when(F.col("kind") == "open", F.zip_with(
         names, vals, lambda k, v: F.struct(F.lower(k).alias("k"), v.alias("v"))))
     df = df.withColumn("attrs", attrs)

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from webloom.functions import urls as U
 from webloom.operators.common import cut_lineage, maybe_broadcast
 
-# href of a / area start tags (double-quoted values)
-HREF_PATTERN = r'(?i)<(?:a|area)\b[^>]*?\shref\s*=\s*"([^"]*)"'
+# a / area start tags up to their href value (double-quoted, single-quoted or unquoted)
+HREF_PATTERN = r"""(?i)<(?:a|area)\b[^>]*?\shref\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+# the value at the end of such a match: groups 1-3, exactly one takes part
+HREF_VALUE = r"""(?i)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))$"""
 
 
 def extract_links(pages: DataFrame, unique: bool = True) -> DataFrame:
@@ -23,7 +25,9 @@ def extract_links(pages: DataFrame, unique: bool = True) -> DataFrame:
     document order. The dedup runs inside the page row (sort the link array, drop
     adjacent repeats, sort back) so it needs no shuffle and is O(n log n) per page.
     """
-    hrefs = F.regexp_extract_all(F.col("html"), F.lit(HREF_PATTERN), 1)
+    # one pass over the page finds the links; the value is then cut from each short match
+    hrefs = F.transform(F.regexp_extract_all(F.col("html"), F.lit(HREF_PATTERN), 0),
+                        lambda m: F.concat(*[F.regexp_extract(m, HREF_VALUE, i) for i in (1, 2, 3)]))
     df = pages.select("page_id", F.col("url").alias("src_url"), hrefs.alias("_h"))
     df = df.withColumn(
         "_l",

@@ -7,7 +7,7 @@ code with the Spark side except fixed values (patterns, constants).
 from __future__ import annotations
 
 from webloom.functions.urls import URL_FIND_PATTERN
-from webloom.operators.links import HREF_PATTERN
+from webloom.operators.links import HREF_PATTERN, HREF_VALUE
 from webloom.sources.pages import HTML_MARKUP
 from webloom.functions import text as _T
 from webloom.operators import dom as _D
@@ -67,7 +67,9 @@ LINKS = f"""
 WITH hp AS ({HTML_PAGES}),
 raw AS (
   SELECT page_id, url AS src_url, unnest(h) AS href, generate_subscripts(h, 1) - 1 AS pos
-  FROM (SELECT page_id, url, regexp_extract_all(html, {q(HREF_PATTERN)}, 1) AS h FROM hp)
+  FROM (SELECT page_id, url, list_transform(regexp_extract_all(html, {q(HREF_PATTERN)}, 0),
+          lambda m: coalesce(regexp_extract(m, {q(HREF_VALUE)}, 1), '') || coalesce(regexp_extract(m, {q(HREF_VALUE)}, 2), '')
+                    || coalesce(regexp_extract(m, {q(HREF_VALUE)}, 3), '')) AS h FROM hp)
 ),
 res AS (SELECT page_id, src_url, pos, href, {resolve('src_url', 'href')} AS url FROM raw),
 firsts AS (SELECT page_id, src_url, url, min(pos) AS pos, arg_min(href, pos) AS href FROM res GROUP BY ALL)
@@ -280,9 +282,11 @@ dom AS (SELECT x.*, CAST(p.parent AS BIGINT) AS parent,
 
 
 def attr_sql(name: str, tok: str = "tok") -> str:
-    """First attribute ``name`` of an open tag (same pattern as the Spark side)."""
-    return (f"list_extract(list_filter(list_zip(list_transform(regexp_extract_all({tok}, {q(_D.ATTR_RE)}, 1), "
-            f"lambda k: lower(k)), regexp_extract_all({tok}, {q(_D.ATTR_RE)}, 2)), lambda a: a[1] = {q(name)}), 1)[2]")
+    """First attribute ``name`` of an open tag (same pattern as the Spark side); NULL if absent."""
+    g = [f"regexp_extract_all({tok}, {q(_D.ATTR_RE)}, {i})" for i in (1, 2, 3, 4)]
+    return (f"list_extract(list_transform(list_filter(list_zip(list_transform({g[0]}, lambda k: lower(k)), "
+            f"{g[1]}, {g[2]}, {g[3]}), lambda a: a[1] = {q(name)}), "
+            f"lambda a: coalesce(a[2], '') || coalesce(a[3], '') || coalesce(a[4], '')), 1)")
 
 
 SQL["dom_elements"] = f"""WITH {DOM_CTE}
