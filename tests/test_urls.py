@@ -87,3 +87,9 @@ def test_run_folder(spark):
                   U.run_folder("out", F.col("d")[0], ts, dashes=True).alias("b")).first()
     assert r["a"] == "out/fund.example.com20240506_0708"
     assert r["b"] == "out/fund-example-com20240506_0708"
+
+
+def test_numeric_character_references(spark):
+    from webloom.functions.text import decode_entities
+    got = _one(spark, decode_entities(F.col("url")), "a&#65;&#x42;&#x1F600;&#0;&#xD800;&amp;#66;&#233;&copy;")
+    assert got == "aAB\U0001F600&#0;&#xD800;&#66;é©"

@@ -194,7 +194,21 @@ def _inlist(xs) -> str:
     return "(" + ", ".join(q(x) for x in xs) + ")"
 
 
+def decode_numeric(s: str) -> str:
+    re_ = q(_T.NUMERIC_REF_RE)
+    hexd = "regexp_extract(e, '&#[xX]([0-9A-Fa-f]+);', 1)"
+    code = (f"(CASE WHEN {hexd} <> '' THEN ('0x' || {hexd})::BIGINT "
+            f"ELSE TRY_CAST(regexp_extract(e, '&#([0-9]+);', 1) AS BIGINT) END)")
+    one = (f"(CASE WHEN {code} BETWEEN 1 AND 1114111 AND NOT ({code} BETWEEN 55296 AND 57343) "
+           f"THEN chr(CAST({code} AS INTEGER)) ELSE e END)")
+    joined = (f"array_to_string(list_transform(list_zip(string_split_regex({s}, {re_}), "
+              f"list_concat(list_transform(regexp_extract_all({s}, {re_}, 0), lambda e: {one}), [''])), "
+              f"lambda x: x[1] || x[2]), '')")
+    return f"(CASE WHEN contains({s}, '&#') THEN {joined} ELSE {s} END)"
+
+
 def decode(s: str) -> str:
+    s = decode_numeric(s)
     for ent, ch in _T.ENTITIES:
         s = f"replace({s}, {q(ent)}, {q(ch)})"
     return s

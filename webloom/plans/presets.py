@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions import urls as U
-from webloom.functions.text import page_text
+from webloom.functions.text import add_page_text
 from webloom.operators import extract as X
 from webloom.operators import links as L
 from webloom.operators import rules as R
@@ -57,7 +57,7 @@ def target_div(dom: DataFrame, pages: DataFrame, attr: str, value: str) -> DataF
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]).alias("xpath_all_text"))
     div = X.scoped_texts(sel, dom).groupBy("page_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]).alias("css_target_div"))
-    allt = pages.select("page_id", "url", page_text("html").alias("bs_all_text"))
+    allt = add_page_text(pages.select("page_id", "url", "html"), out="bs_all_text").drop("html")
     return (allt.join(last, "page_id", "left").join(body, "page_id", "left").join(div, "page_id", "left"))
 
 

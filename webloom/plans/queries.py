@@ -197,17 +197,18 @@ def q_dom_text(spark, d):
 
 
 def _text_digest(df, key, col):
-    return df.select(key, F.length(col).cast("bigint").alias("n_chars"), F.md5(col).alias("text_md5"))
+    d = df.select(key, col.alias("_digest_t"))
+    return d.select(key, F.length("_digest_t").cast("bigint").alias("n_chars"), F.md5("_digest_t").alias("text_md5"))
 
 
 @register("page_text")
 def q_page_text(spark, d):
-    return _text_digest(read_pages(spark, d), "page_id", TX.page_text("html"))
+    return _text_digest(TX.add_page_text(read_pages(spark, d)), "page_id", F.col("text"))
 
 
 @register("strip_text")
 def q_strip_text(spark, d):
-    return _text_digest(read_pages(spark, d), "page_id", TX.strip_ws(TX.page_text("html")))
+    return _text_digest(TX.add_page_text(read_pages(spark, d)), "page_id", TX.strip_ws("text"))
 
 
 @register("trim_text")
@@ -453,7 +454,7 @@ def q_sink_seen(spark, d):
 
 @register("archive")
 def q_archive(spark, d):
-    recs = _text_digest(read_pages(spark, d), "page_id", TX.page_text("html"))
+    recs = _text_digest(TX.add_page_text(read_pages(spark, d)), "page_id", F.col("text"))
     uri, _ = K.archive(recs, scratch_path(spark, "archive"), "page_text", F.lit(RUN_TS).cast("timestamp"))
     return spark.read.schema("page_id BIGINT, n_chars BIGINT, text_md5 STRING").json(uri)
 
@@ -491,8 +492,8 @@ def q_stream_dedup(spark, d):
 @register("stream_extract")
 def q_stream_extract(spark, d):
     sink, ck = scratch_path(spark, "stream-extract"), scratch_path(spark, "stream-extract-ckpt")
-    digest = lambda df: df.select("page_id", "url", F.length(TX.page_text("html")).cast("bigint").alias("n_chars"),
-                                  F.md5(TX.page_text("html")).alias("text_md5"))
+    digest = lambda df: TX.add_page_text(df).select(
+        "page_id", "url", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("text_md5"))
     ST.start_extract(spark, d, "pages.parquet", sink, ck, digest).awaitTermination()
     return spark.read.parquet(sink).select("page_id", "n_chars", "text_md5")
 
