@@ -93,3 +93,8 @@ def test_numeric_character_references(spark):
     from webloom.functions.text import decode_entities
     got = _one(spark, decode_entities(F.col("url")), "a&#65;&#x42;&#x1F600;&#0;&#xD800;&amp;#66;&#233;&copy;")
     assert got == "aAB\U0001F600&#0;&#xD800;&#66;é©"
+
+
+def test_safe_url_keeps_reserved_and_escapes(spark):
+    got = _one(spark, U.safe_url(F.col("url")), "http://h.com/für x?a=1&b=%41#f~*")
+    assert got == "http://h.com/f%C3%BCr%20x?a=1&b=%41#f~*"

@@ -26,6 +26,9 @@ RUN_TS_FORMAT = "yyyyMMdd_HHmm"  # %Y%m%d_%H%M
 # Suffixes added after the save path per record type.
 JSON_SUFFIXES = {"faq": "-FAQ.json", "production-description": "-Description.json",
                  "complex_get_data": "-Complex.json", "js": "-JS.json", "target_div": ".json"}
+# Characters left as they are when a link URL is made safe (RFC 3986 reserved set plus
+# "~"); everything else outside letters, digits and "-_." is percent-encoded as UTF-8.
+URL_SAFE_CHARS = "!#$&'()*+,/:;=?@[]~"
 # -------------------------------------------------------------------------------
 
 _SCHEME = r"[A-Za-z][A-Za-z0-9+.-]*"
@@ -198,3 +201,16 @@ def run_folder(save_dir: str, first_domain, ts, dashes: bool = False) -> Column:
     if dashes:
         dom = F.replace(dom, F.lit("."), F.lit("-"))
     return F.concat(F.lit(save_dir.rstrip("/") + "/"), dom, F.date_format(_c(ts), RUN_TS_FORMAT))
+
+
+def safe_url(url) -> Column:
+    """Percent-encode a URL's unsafe characters (spaces, non-ASCII as UTF-8, quotes,
+    angle brackets...) and keep reserved characters and existing %XX escapes.
+
+    url_encode is form encoding: spaces become '+' and every reserved character is
+    escaped; the escapes of the safe set are undone again, '%' last, so an escape that
+    was already in the URL comes back unchanged."""
+    e = F.replace(F.url_encode(_c(url)), F.lit("+"), F.lit("%20"))
+    for ch in URL_SAFE_CHARS:
+        e = F.replace(e, F.lit("%%%02X" % ord(ch)), F.lit(ch))
+    return F.replace(e, F.lit("%25"), F.lit("%"))

@@ -19,7 +19,8 @@ HREF_VALUE = r"""(?i)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))$"""
 
 
 def extract_links(pages: DataFrame, unique: bool = True) -> DataFrame:
-    """H4+H6: ``links(page_id, src_url, idx, href, url)``.
+    """H4+H6: ``links(page_id, src_url, idx, href, url)``; ``url`` is resolved and made
+    safe (percent-encoded like a link extractor does), ``href`` is the raw value.
 
     With ``unique`` a page keeps the first occurrence of every resolved URL, in
     document order. The dedup runs inside the page row (sort the link array, drop
@@ -31,7 +32,7 @@ def extract_links(pages: DataFrame, unique: bool = True) -> DataFrame:
     df = pages.select("page_id", F.col("url").alias("src_url"), hrefs.alias("_h"))
     df = df.withColumn(
         "_l",
-        F.transform("_h", lambda h, i: F.struct(U.resolve(F.col("src_url"), h).alias("url"),
+        F.transform("_h", lambda h, i: F.struct(U.safe_url(U.resolve(F.col("src_url"), h)).alias("url"),
                                                  i.alias("pos"), h.alias("href"))),
     )
     if unique:

@@ -38,6 +38,14 @@ def host(u: str) -> str:
     return f"lower(regexp_replace(regexp_replace({authority(u)}, '^.*@', ''), ':[0-9]*$', ''))"
 
 
+def safe_url(s: str) -> str:
+    from webloom.functions.urls import URL_SAFE_CHARS
+    e = f"url_encode({s})"
+    for ch in URL_SAFE_CHARS:
+        e = f"replace({e}, {q('%%%02X' % ord(ch))}, {q(ch)})"
+    return f"replace({e}, '%25', '%')"
+
+
 def quote(s: str) -> str:
     return f"replace(url_encode({s}), '%2F', '/')"
 
@@ -71,7 +79,7 @@ raw AS (
           lambda m: coalesce(regexp_extract(m, {q(HREF_VALUE)}, 1), '') || coalesce(regexp_extract(m, {q(HREF_VALUE)}, 2), '')
                     || coalesce(regexp_extract(m, {q(HREF_VALUE)}, 3), '')) AS h FROM hp)
 ),
-res AS (SELECT page_id, src_url, pos, href, {resolve('src_url', 'href')} AS url FROM raw),
+res AS (SELECT page_id, src_url, pos, href, {safe_url(resolve('src_url', 'href'))} AS url FROM raw),
 firsts AS (SELECT page_id, src_url, url, min(pos) AS pos, arg_min(href, pos) AS href FROM res GROUP BY ALL)
 SELECT page_id, src_url, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS BIGINT) AS idx,
        href, url FROM firsts
