@@ -608,3 +608,8 @@ FROM ({base}) GROUP BY page_id, site"""
 
 
 SQL["rule_map"] = _rule_map_sql()
+
+
+SQL["staged_records"] = f"""
+SELECT page_id, url AS faq_url, 'faq' AS type, CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS text_md5
+FROM (SELECT page_id, url, {page_text('html')} AS t FROM ({HTML_PAGES}))"""

@@ -525,3 +525,17 @@ def q_rule_map(spark, d):
     return m.select("page_id", "site", F.size(keys).cast("bigint").alias("n_targets"),
                     F.size(flat).cast("bigint").alias("n_values"),
                     F.md5(F.array_join(flat, "\n")).alias("values_md5"))
+
+
+@register("staged_records")
+def q_staged_records(spark, d):
+    """X1 over every page: the faq job's stages by priority number (HTML guard, page
+    text, drop the bulky html, record tag), then one digest row per record."""
+    out = P.stages(read_pages(spark, d), [
+        (300, SM.drop_bulky),
+        (100, html_only),
+        (400, lambda df: SM.tag_records(df, "faq")),
+        (200, TX.add_page_text),
+    ])
+    return out.select("page_id", "faq_url", "type", F.length("text").cast("bigint").alias("n_chars"),
+                      F.md5("text").alias("text_md5"))
