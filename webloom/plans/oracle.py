@@ -613,3 +613,12 @@ SQL["rule_map"] = _rule_map_sql()
 SQL["staged_records"] = f"""
 SELECT page_id, url AS faq_url, 'faq' AS type, CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS text_md5
 FROM (SELECT page_id, url, {page_text('html')} AS t FROM ({HTML_PAGES}))"""
+
+
+SQL["sink_run"] = f"""
+WITH r AS ({SQL['preset_union']}),
+cfg AS (SELECT * FROM (VALUES ('news_com', 'faq', 'example.com'), ('news_net', 'product', 'example.net'),
+                              ('blogs_org', 'complex', 'example.org'),
+                              ('spam', 'js', 'cheap-pills.example.com,spam-farm.example.org')) t(site, kind, allowed_domains))
+SELECT r.site, '20240102_0304' AS run_ts, CAST(count(*) AS BIGINT) AS n_records, cfg.kind, cfg.allowed_domains
+FROM r JOIN cfg USING (site) GROUP BY r.site, cfg.kind, cfg.allowed_domains"""

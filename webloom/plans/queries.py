@@ -539,3 +539,20 @@ def q_staged_records(spark, d):
     ])
     return out.select("page_id", "faq_url", "type", F.length("text").cast("bigint").alias("n_chars"),
                       F.md5("text").alias("text_md5"))
+
+
+@register("sink_run")
+def q_sink_run(spark, d):
+    """S4 + S5 + S12: one run writes its records and the site configs it ran with into
+    the same ``site / run_ts`` partitions; read back, per site: records and config."""
+    base = scratch_path(spark, "run")
+    run_ts = "20240102_0304"
+    recs = q_preset_union(spark, d).withColumn("run_ts", F.lit(run_ts))
+    K.write_records_json(recs, f"{base}/records", ["site", "run_ts"])
+    K.write_config_snapshot(corpus_sites(spark), f"{base}/config", run_ts)
+    counts = spark.read.schema(_RECORD_SCHEMA + ", run_ts STRING").json(f"{base}/records").groupBy(
+        "site", "run_ts").agg(F.count("*").cast("bigint").alias("n_records"))
+    cfg = spark.read.parquet(f"{base}/config").select(
+        "site", F.col("run_ts").cast("string").alias("run_ts"), "kind",
+        F.array_join(F.array_sort("allowed_domains"), ",").alias("allowed_domains"))
+    return counts.join(cfg, ["site", "run_ts"])
