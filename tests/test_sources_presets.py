@@ -42,3 +42,21 @@ def test_stages_run_in_priority_order(spark):
     out = P.stages(df, [(300, lambda d: d.withColumn("x", F.col("x") * 10)),
                         (100, lambda d: d.withColumn("x", F.col("x") + 1))])
     assert out.first()["x"] == 20
+
+
+def test_json_records_keep_non_ascii(spark):
+    from webloom.operators.summary import to_json_record
+    df = spark.createDataFrame([(1, "été ©")], "page_id long, value string")
+    assert to_json_record(df).first()["json"] == '{"page_id":1,"value":"été ©"}'
+
+
+def test_url_list_part_files_concatenate_sorted(spark, tmp_path):
+    import glob
+    urls = spark.createDataFrame([(f"http://h{i % 7}.com/{i:04d}",) for i in range(300)] + [("http://a.com/x",)] * 3,
+                                 "url string").repartition(5)
+    out = str(tmp_path / "urls")
+    K.write_url_list(urls, out)
+    lines = []
+    for f in sorted(glob.glob(out + "/part-*")):
+        lines += open(f, encoding="utf-8").read().splitlines()
+    assert lines == sorted(set(lines)) and len(lines) == 301
