@@ -98,3 +98,10 @@ def test_numeric_character_references(spark):
 def test_safe_url_keeps_reserved_and_escapes(spark):
     got = _one(spark, U.safe_url(F.col("url")), "http://h.com/für x?a=1&b=%41#f~*")
     assert got == "http://h.com/f%C3%BCr%20x?a=1&b=%41#f~*"
+
+
+def test_clean_markup_single_pass(spark):
+    from webloom.functions.text import page_text
+    html = ('<html><body><script>var a="<!--";</script><p>kept</p><!-- <script>x</script> -->'
+            '<p>also</p><style>p{}</style></body></html>')
+    assert _one(spark, page_text(F.col("url")), html) == "keptalso"

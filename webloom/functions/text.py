@@ -23,6 +23,9 @@ SCRIPT_RE = r"(?is)<script\b[^>]*>.*?</script\s*>"
 STYLE_RE = r"(?is)<style\b[^>]*>.*?</style\s*>"
 COMMENT_RE = r"(?s)<!--.*?-->"
 TAG_RE = r"<[^>]*>"
+# comments, scripts and styles in one left-to-right pass (a "<!--" inside a script is
+# script text, and a "</script>" inside a comment is comment text)
+NON_TEXT_RE = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 # -------------------------------------------------------------------------------
 
 
@@ -97,8 +100,9 @@ def decode_entities(text) -> Column:
 
 
 def clean_markup(html) -> Column:
-    """Comments, scripts and styles removed: the input of the tokenizer and page text."""
-    return remove_script_style(remove_comments(html))
+    """Comments, scripts and styles removed in one pass: the input of the tokenizer and
+    of page text."""
+    return F.regexp_replace(_c(html), NON_TEXT_RE, "")
 
 
 def page_text(html) -> Column:

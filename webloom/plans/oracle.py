@@ -223,9 +223,7 @@ def decode(s: str) -> str:
 
 
 def clean(h: str) -> str:
-    s = f"regexp_replace({h}, {q(_T.COMMENT_RE)}, '', 'g')"
-    s = f"regexp_replace({s}, {q(_T.SCRIPT_RE)}, '', 'g')"
-    return f"regexp_replace({s}, {q(_T.STYLE_RE)}, '', 'g')"
+    return f"regexp_replace({h}, {q(_T.NON_TEXT_RE)}, '', 'g')"
 
 
 def page_text(h: str) -> str:
