@@ -1,7 +1,7 @@
 """Run registered Spark queries and their DuckDB oracle side by side.
 
 Usage: python tests/oracle_compare.py [sf_dir] [query ...]
-Compares row count, column names and an order-insensitive hash of the values.
+Compares row count, column names and types, and an order-insensitive hash of the values.
 """
 
 from __future__ import annotations
@@ -47,12 +47,20 @@ def duck_con(sf_dir):
     return con
 
 
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER",
+                  "double": "DOUBLE", "timestamp": "TIMESTAMP", "binary": "BLOB"}
+
+
 def spark_rows(df):
     cols = df.columns
     rows = [tuple(r) for r in df.collect()]
     return cols, rows
 
 
+def spark_types(df):
+    return {f.name: _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+
+
 def compare(spark, sf_dir, names=None, verbose=True):
     import __spark_entry__ as E
     qs, sql = E.queries(), E.oracle_sql()
@@ -61,7 +69,9 @@ def compare(spark, sf_dir, names=None, verbose=True):
     for name in names or list(qs):
         t0 = time.time()
         try:
-            cols, rows = spark_rows(qs[name](spark, sf_dir))
+            sdf = qs[name](spark, sf_dir)
+            stypes = spark_types(sdf)
+            cols, rows = spark_rows(sdf)
         except Exception as e:  # pragma: no cover
             results[name] = ("SPARK_ERROR", str(e)[:500])
             print(name, "SPARK_ERROR", str(e)[:2000]) if verbose else None
@@ -73,6 +83,7 @@ def compare(spark, sf_dir, names=None, verbose=True):
             continue
         try:
             rel = con.sql(sql[name])
+            dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
             dcols, drows = rel.columns, rel.fetchall()
         except Exception as e:  # pragma: no cover
             results[name] = ("DUCK_ERROR", str(e)[:500])
@@ -80,13 +91,16 @@ def compare(spark, sf_dir, names=None, verbose=True):
             continue
         sc, sn, sh, sl = table_digest(cols, rows)
         dc, dn, dh, dl = table_digest(dcols, drows)
-        ok = sc == dc and sn == dn and sh == dh
+        types_ok = stypes == dtypes
+        ok = sc == dc and sn == dn and sh == dh and types_ok
         results[name] = ("OK" if ok else "MISMATCH", sn, dn)
         if verbose:
             print(f"{name}: {'OK' if ok else 'MISMATCH'} spark={sn} duck={dn} ({t1 - t0:.1f}s)")
             if not ok:
                 if sc != dc:
                     print("  cols", sc, dc)
+                if not types_ok:
+                    print("  types", stypes, dtypes)
                 ss, ds = set(sl), set(dl)
                 for x in list(ss - ds)[:3]:
                     print("  spark only:", x[:300])
