@@ -140,9 +140,10 @@ def q_seed_exempt(spark, d):
     p = read_pages(spark, d).select("page_id", "url")
     bound = L.bind_sites(p, sites)
     first = bound.groupBy("site").agg(F.min_by("url", "page_id").alias("first_seed"))
-    reqs = bound.select("site", "url").unionByName(
-        L.bind_sites(_links(spark, d).select("src_url", "url").withColumnRenamed("url", "u"), sites, "src_url")
-        .select("site", F.col("u").alias("url"))).distinct()
+    # a link's source is a page, so it takes that page's sites (equi join on the URL)
+    link_reqs = _links(spark, d).select(F.col("src_url"), F.col("url").alias("u")).join(
+        bound.select("site", F.col("url").alias("src_url")), "src_url").select("site", F.col("u").alias("url"))
+    reqs = bound.select("site", "url").unionByName(link_reqs).distinct()
     return L.seed_exempt(reqs.join(first, "site"), p.select("url")).select("site", "url")
 
 
