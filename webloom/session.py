@@ -43,13 +43,14 @@ def get_session(master: str | None = None, cpus: int | None = None, app: str = "
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set a scratch one only if unset."""
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    sc_dir = spark.sparkContext.getCheckpointDir()
-    if sc_dir:
-        return sc_dir
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="webloom-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
-    return spark.sparkContext.getCheckpointDir() or conf_dir
+    """The shared checkpoint folder of the session; set a scratch one only if unset, and only on one machine."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="webloom-ckpt-")
+    sc.setCheckpointDir(shared)
+    return sc.getCheckpointDir() or shared
