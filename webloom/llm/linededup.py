@@ -128,7 +128,8 @@ def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     """The documents with ``text_col`` reduced to the kept lines, and columns n_lines and n_dropped."""
     gone = dropped_lines(docs, min_chars, min_docs, batches, fanout, id_col, text_col)
     gone = gone.withColumnRenamed("doc_id", "__gone_id").withColumnRenamed("gone", "__gone")
-    both = docs.join(gone, docs[id_col] == F.col("__gone_id"), "left").drop("__gone_id")
+    # one plan at every size: the positions meet the texts by a merge join, not by a broadcast while they are few
+    both = docs.join(gone.hint("merge"), docs[id_col] == F.col("__gone_id"), "left").drop("__gone_id")
     both = both.withColumn("__lines", lines_of(F.col(text_col)))
     stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
     both = both.withColumn("__kept", F.when(
