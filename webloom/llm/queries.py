@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import linededup, quality
+from webloom.llm import licenses, linededup, pieces, quality, toxicity, warc
 from webloom.llm.tables import documents
 
 
@@ -14,11 +15,43 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"), spark)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def tokenizer_path() -> str:
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    done = pieces.encode(docs, pieces.model_bytes(tokenizer_path())).drop("text")
+    return done.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model)
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(documents(spark, sf_dir))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir))
 
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op5_warc": op5_warc,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op8_toxicity": op8_toxicity,
+    "op9_licenses": op9_licenses,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -1,5 +1,9 @@
 """DuckDB SQL of the registered queries, written from the result contracts."""
 
+from webloom.llm.licenses import TEMPLATES
+
+_NOTICES = ", ".join("({}, '{}', '{}')".format(k, name, notice.replace("'", "''")) for k, (name, notice) in enumerate(TEMPLATES))
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _WS = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -19,6 +23,45 @@ judged AS (
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
+    "op5_warc": f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html,
+         CAST(CAST(unhex(sha1(coalesce(html, ''))) AS BIT) AS VARCHAR) AS bits
+  FROM pages),
+q AS (
+  SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+         array_to_string(list_transform(range(0, 160, 5), lambda i: substr('{_BASE32}', 1 + CAST(
+           16 * CAST(bits[i + 1] AS INT) + 8 * CAST(bits[i + 2] AS INT) + 4 * CAST(bits[i + 3] AS INT)
+           + 2 * CAST(bits[i + 4] AS INT) + CAST(bits[i + 5] AS INT) AS INT), 1)), '') AS payload_digest
+  FROM p),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS keeper FROM q)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM k""",
+    "op9_licenses": rf"""
+WITH notices(template, license, notice) AS (VALUES {_NOTICES}),
+tw AS (SELECT template, license, string_split(lower(trim(regexp_replace(notice, '[^A-Za-z0-9]+', ' ', 'g'))), ' ') AS w FROM notices),
+tg AS (SELECT DISTINCT template, license, w[i] AS x, w[i + 1] AS y
+       FROM (SELECT template, license, w, unnest(range(1, len(w))) AS i FROM tw)),
+tn AS (SELECT *, count(*) OVER (PARTITION BY template) AS b FROM tg),
+d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+u AS (
+  SELECT doc_id, 'line' AS kind, unnest(string_split(t, chr(10))) AS unit, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM d
+  UNION ALL
+  SELECT doc_id, kind, unit, pos FROM (
+    SELECT doc_id, 'paragraph' AS kind, unnest(string_split_regex(t, '\n[ \t\r]*\n')) AS unit,
+           generate_subscripts(string_split_regex(t, '\n[ \t\r]*\n'), 1) AS pos FROM d) WHERE contains(unit, chr(10))
+  UNION ALL
+  SELECT doc_id, 'text', t, 1 FROM d WHERE regexp_matches(t, '\n[ \t\r]*\n')),
+uw AS (SELECT doc_id, kind, pos, string_split(lower(trim(regexp_replace(unit, '[^A-Za-z0-9]+', ' ', 'g'))), ' ') AS w FROM u),
+ug AS (SELECT DISTINCT doc_id, kind, pos, w[i] AS x, w[i + 1] AS y
+       FROM (SELECT doc_id, kind, pos, w, unnest(range(1, len(w))) AS i FROM uw WHERE len(w) >= 2)),
+un AS (SELECT *, count(*) OVER (PARTITION BY doc_id, kind, pos) AS a FROM ug),
+s AS (SELECT doc_id, kind, pos, template, license, 2.0::DOUBLE * count(*) / (any_value(a) + any_value(b)) AS dice
+      FROM un JOIN tn ON un.x = tn.x AND un.y = tn.y GROUP BY ALL)
+SELECT doc_id, license, max(dice) AS dice, count(DISTINCT (kind, pos)) AS n_units
+FROM s WHERE dice >= 0.8 GROUP BY doc_id, license""",
     "op10_quality_rules": rf"""
 WITH d AS (
   SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t,
