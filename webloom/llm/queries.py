@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import licenses, linededup, pieces, quality, toxicity, warc
+from webloom.llm import licenses, linededup, pieces, quality, suffixdedup, toxicity, warc
 from webloom.llm.tables import documents
 
 
@@ -15,6 +15,13 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffixdedup.remove_repeats(documents(spark, sf_dir))
+    return done.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("span_starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"), spark)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -49,6 +56,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op5_warc": op5_warc,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_toxicity": op8_toxicity,
