@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import licenses, linededup, pieces, quality, suffixdedup, toxicity, warc
+from webloom.llm import licenses, linededup, pieces, quality, substring, suffixdedup, toxicity, warc
 from webloom.llm.tables import documents
 
 
@@ -22,6 +22,13 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("span_starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring.remove_repeats(documents(spark, sf_dir))
+    removed = F.aggregate(F.zip_with("span_ends", "span_starts", lambda a, b: (a - b).cast("long")),
+                          F.lit(0).cast("long"), lambda x, y: x + y)
+    return done.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"), spark)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -57,6 +64,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_warc": op5_warc,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_toxicity": op8_toxicity,
