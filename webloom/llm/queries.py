@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import licenses, linededup, pieces, quality, substring, suffixdedup, toxicity, warc
+from webloom.llm import decontaminate, licenses, linededup, pieces, quality, substring, suffixdedup, toxicity, warc
 from webloom.llm.tables import documents
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = linededup.drop_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -62,6 +66,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_line_dedup": op2_line_dedup,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_substring_dedup": op4_substring_dedup,
