@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import decontaminate, licenses, linededup, pieces, quality, substring, suffixdedup, toxicity, warc
+from webloom.llm import decontaminate, jaccard, licenses, linededup, pieces, quality, substring, suffixdedup, toxicity, warc
 from webloom.llm.tables import documents
 
 
@@ -38,6 +38,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 def tokenizer_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_warc": op5_warc,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_toxicity": op8_toxicity,
     "op9_licenses": op9_licenses,
