@@ -8,6 +8,93 @@ _WS = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 SQL = {
+    "op1_decontaminate": r"""
+WITH i AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
+ig AS (
+  SELECT item_id, len(w) AS size, k - 1 AS ipos, w[k:k + 4] AS gram, length(array_to_string(w[k:k + 4], '')) AS wt
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 1))) AS k FROM i)),
+im AS (SELECT item_id, gram, any_value(wt) AS wt, count(*) AS times FROM ig GROUP BY item_id, gram),
+iw AS (SELECT item_id, sum(wt) AS weight FROM ig GROUP BY item_id),
+d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+dg AS (
+  SELECT doc_id, len(w) AS n, k - 1 AS pos, w[k:k + 4] AS gram, length(array_to_string(w[k:k + 4], '')) AS wt
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1))) AS k FROM d)),
+win AS (
+  SELECT DISTINCT doc_id, item_id, n, size, greatest(least(pos - ipos, n - size), 0) AS start FROM dg JOIN ig USING (gram)),
+inside AS (
+  SELECT win.doc_id, item_id, start, least(size, win.n) AS n_words, gram, any_value(wt) AS wt, count(*) AS times
+  FROM win JOIN dg ON dg.doc_id = win.doc_id AND pos >= start AND pos + 5 <= start + least(size, win.n)
+  GROUP BY win.doc_id, item_id, start, least(size, win.n), gram),
+s AS (
+  SELECT doc_id, inside.item_id, start, n_words, sum(inside.wt * inside.times) AS whole,
+         sum(CASE WHEN im.gram IS NULL THEN 0 ELSE inside.wt * least(inside.times, im.times) END) AS common
+  FROM inside LEFT JOIN im ON im.item_id = inside.item_id AND im.gram = inside.gram
+  GROUP BY doc_id, inside.item_id, start, n_words),
+sim AS (
+  SELECT doc_id, item_id, start, n_words, CAST(common AS DOUBLE) / CAST(whole + weight - common AS DOUBLE) AS similarity
+  FROM s JOIN iw USING (item_id))
+SELECT doc_id, item_id, CAST(start AS BIGINT) AS start_word, CAST(n_words AS BIGINT) AS n_words, similarity
+FROM sim WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1""",
+    "op3_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (
+  SELECT doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(strlen(h) // 2 - 99, 0))) AS p FROM d)),
+later AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM win) WHERE k > 1),
+edges AS (
+  SELECT doc_id, p, CASE WHEN p > 1 + lag(p, 1, -1000) OVER w THEN 1 ELSE 0 END AS fresh,
+         CASE WHEN p > 100 + lag(p, 1, -1000) OVER w THEN 1 ELSE 0 END AS apart
+  FROM later WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+spans AS (
+  SELECT doc_id, min(p) AS first, max(p) + 100 AS last
+  FROM (SELECT doc_id, p, sum(apart) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM edges) GROUP BY doc_id, g),
+stay AS (
+  SELECT d.doc_id, h, coalesce(first, strlen(h) // 2) AS upto, last,
+         lag(last, 1, 0) OVER (PARTITION BY d.doc_id ORDER BY first) AS since,
+         row_number() OVER (PARTITION BY d.doc_id ORDER BY first) AS k FROM d LEFT JOIN spans ON d.doc_id = spans.doc_id),
+pieces AS (
+  SELECT doc_id, h, k, since, upto, last FROM stay
+  UNION ALL
+  SELECT doc_id, h, k + 1, last, strlen(h) // 2, NULL FROM stay
+  WHERE last IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY k DESC) = 1)
+SELECT doc_id, CAST(any_value(strlen(h) // 2) AS BIGINT) AS n_bytes,
+       CAST(any_value(strlen(h) // 2) - sum(upto - since) AS BIGINT) AS n_removed,
+       count(last) AS n_spans,
+       sha256(unhex(string_agg(substr(h, 2 * since + 1, 2 * (upto - since)), '' ORDER BY k))) AS kept_sha256
+FROM pieces GROUP BY doc_id""",
+    "op4_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 48, 1))) AS p FROM d)),
+firsts AS (SELECT s, min(doc_id) AS holder FROM win GROUP BY s),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS pos FROM win JOIN firsts USING (s) WHERE holder < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+judged AS (SELECT words.doc_id, word, words.pos, gone.pos IS NOT NULL AS cut
+           FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.pos = gone.pos),
+kept AS (SELECT doc_id, count(*) FILTER (cut) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (NOT cut) AS text
+         FROM judged GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id""",
+    "op6_jaccard_join": rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, w[p:p + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM d WHERE len(w) >= 3)
+  UNION ALL
+  SELECT doc_id, w FROM d WHERE len(w) BETWEEN 1 AND 2),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN sizes sa ON sa.doc_id = a.doc_id JOIN sizes sb ON sb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (any_value(sa.n) + any_value(sb.n) - count(*))),
+reach(doc_id, other) AS (
+  SELECT a, b FROM links UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, least(d.doc_id, coalesce(min(other), d.doc_id)) AS component_id
+FROM d LEFT JOIN sizes ON d.doc_id = sizes.doc_id LEFT JOIN reach ON d.doc_id = reach.doc_id GROUP BY d.doc_id""",
     "op2_line_dedup": f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
