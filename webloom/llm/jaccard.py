@@ -16,8 +16,8 @@ counts over all documents; the order only has to be the same everywhere, the res
 4. Verification. The global order is cut into fragments. For each candidate pair the partial overlap is counted in
    every fragment separately, and the counts are summed per pair.
 
-Hot n-grams: buckets are aggregated by partial aggregation and joined on the n-gram, which AQE can split. Texts move
-once, to fetch the fragments of the documents that have a bucket.
+Hot n-grams: buckets are aggregated by partial aggregation and joined on the n-gram, which AQE can split. Texts never
+move: the documents of the candidate pairs are found again in a scan by a bitmap of fixed size.
 
 Defined cases: a null or empty text, or one without words, has an empty set and is linked with nothing; with one or
 two words the whole sequence is the one shingle. Rows without doc_id are left out; of rows that repeat a doc_id the
@@ -41,6 +41,7 @@ N = 3
 PERCENT = 90
 COUNTERS = 1 << 18
 FRAGMENTS = 8
+SLOTS = 1 << 24
 
 
 def shingle_sets(column: pa.Array, n: int = N) -> tuple[np.ndarray, np.ndarray]:
@@ -129,11 +130,30 @@ def prefixes(docs: DataFrame, shared, n: int = N, percent: int = PERCENT) -> Dat
     return docs.mapInArrow(run, "doc bigint, n int, prefix array<bigint>")
 
 
-def fragments(docs: DataFrame, shared, n: int = N) -> DataFrame:
-    """(doc, fragment, grams): each document's set, cut at the pivots of the global order."""
+def slot(doc: str) -> Column:
+    return F.pmod(F.xxhash64(doc), F.lit(SLOTS))
+
+
+def wanted(ids: DataFrame) -> np.ndarray:
+    """A bitmap of a fixed number of slots over the documents ``doc``, whatever their number."""
+    words = ids.select(slot("doc").alias("s")).groupBy(F.shiftright("s", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(SLOTS // 64, np.uint64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def fragments(docs: DataFrame, shared, picked, n: int = N) -> DataFrame:
+    """(doc, fragment, grams): the sets of the documents whose slot is picked, cut at the pivots of the global order.
+
+    Some documents share a slot with a candidate; the joins drop them. The bitmap spares a shuffle of all texts.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = pivots(shared.value)
         for batch in batches:
+            place = batch.column("slot").to_numpy(zero_copy_only=False)
+            use = (picked.value[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)
+            batch = batch.filter(pa.array(use.astype(bool)))
             ids = batch.column("doc_id").cast(pa.int64()).to_numpy(zero_copy_only=False)
             for first, last in ta.slices(batch.column("text")):
                 row, hashes = shingle_sets(batch.column("text")[first:last], n)
@@ -149,7 +169,7 @@ def fragments(docs: DataFrame, shared, n: int = N) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view(np.int64)))],
                     names=["doc", "fragment", "grams"])
 
-    return docs.mapInArrow(run, "doc bigint, fragment int, grams array<bigint>")
+    return docs.withColumn("slot", slot("doc_id")).mapInArrow(run, "doc bigint, fragment int, grams array<bigint>")
 
 
 def _needed(a: str, b: str, percent: int) -> Column:
@@ -161,15 +181,23 @@ def _bounded(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(F.least("reach_a", "reach_b", "n_a", "n_b") >= _needed("n_a", "n_b", percent))
 
 
-def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, shared, path: str, n: int, percent: int) -> DataFrame:
     """(u, v) of the pairs (a, n_a, b, n_b) that are linked: partial overlaps by fragment, summed per pair."""
+    spark = texts.sparkSession
+    pairs.write.parquet(f"{path}-pairs", compression="zstd")
+    pairs = spark.read.parquet(f"{path}-pairs")
+    both = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))
+    picked = spark.sparkContext.broadcast(wanted(both))
+    fragments(texts, shared, picked, n).write.parquet(f"{path}-fragments", compression="zstd")
+    parts = spark.read.parquet(f"{path}-fragments")
     right = parts.select(F.col("doc").alias("b"), "fragment", F.col("grams").alias("grams_b"))
     left = parts.select(F.col("doc").alias("a"), "fragment", F.col("grams").alias("grams_a"))
-    both = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), ["a", "fragment"])
-    overlap = both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).alias("common"))
+    met = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), ["a", "fragment"])
+    overlap = met.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).alias("common"))
     overlap = overlap.groupBy("a", "b", "n_a", "n_b").agg(F.sum("common").alias("common"))
     linked = overlap.where(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common")))
-    return linked.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    linked.select(F.col("a").alias("u"), F.col("b").alias("v")).write.parquet(f"{path}-links")
+    return spark.read.parquet(f"{path}-links")
 
 
 def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id",
@@ -198,18 +226,12 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, id_c
     mine = mine.select("doc", "n", (F.col("n") - F.col("p") + F.size("grams")).alias("reach"), "grams")
     mine.write.parquet(f"{path}/members", compression="zstd")
     members = spark.read.parquet(f"{path}/members")
-    fragments(texts.join(members.select(F.col("doc").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi"),
-              shared, n).write.parquet(f"{path}/fragments", compression="zstd")
-    parts = spark.read.parquet(f"{path}/fragments")
-
     buckets = members.select("doc", "n", "reach", F.explode("grams").alias("gram"))
     lead = buckets.groupBy("gram").agg(F.max(F.struct("reach", -F.col("doc"), "n")).alias("l"))
     lead = lead.select("gram", (-F.col("l.col2")).alias("a"), F.col("l.n").alias("n_a"), F.col("l.reach").alias("reach_a"))
     row = buckets.select("gram", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("reach").alias("reach_b"))
     stars = _bounded(row.join(lead.hint("merge"), "gram").where("a != b"), percent).select("a", "n_a", "b", "n_b").distinct()
-    verified(stars, parts, percent).write.parquet(f"{path}/stars")
-    stars = spark.read.parquet(f"{path}/stars")
-    after = components(stars)
+    after = components(verified(stars, texts, shared, f"{path}/stars", n, percent))
 
     # members with their component; in a bucket, those outside the leader's component meet all the others
     placed = members.join(after.select(F.col("u").alias("doc"), F.col("v").alias("comp")), "doc", "left")
@@ -226,9 +248,8 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, id_c
     met = left.join(right.hint("merge"), (left["gram"] == right["gram"]) & (F.col("comp_a") != F.col("comp_b"))
                     & ((F.col("comp_b") == F.col("main")) | (F.col("a") < F.col("b")))
                     & (F.least("reach_a", "reach_b", "n_a", "n_b") >= _needed("n_a", "n_b", percent)))
-    rest = verified(met.select("a", "n_a", "b", "n_b").distinct(), parts, percent)
-    rest.write.parquet(f"{path}/rest")
-    final = components(after.unionByName(spark.read.parquet(f"{path}/rest")))
+    rest = verified(met.select("a", "n_a", "b", "n_b").distinct(), texts, shared, f"{path}/rest", n, percent)
+    final = components(after.unionByName(rest))
 
     found = classes.join(final.select(F.col("u").alias("rep"), F.col("v").alias("comp")), "rep", "left")
     found = found.select("n", "s1", "s2", F.coalesce("comp", "rep").alias("component_id"))
