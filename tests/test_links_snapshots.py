@@ -137,3 +137,29 @@ def test_stream_dedup_within_watermark_bounded_variant(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "o")).count()
     batch = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     assert batch.select("event_type").distinct().count() <= got <= batch.count()
+
+
+def test_frontier_runs_until_nothing_is_new(spark):
+    from webloom.operators.links import frontier
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 24)] + [(24, 3), (50, 51)], "src long, dst long")
+    got = {r["node"]: r["depth"] for r in frontier(spark.createDataFrame([(1,)], "node long"), edges).collect()}
+    assert got == {i: i for i in range(1, 25)}
+    assert frontier(spark.createDataFrame([(1,)], "node long"), edges, max_depth=3).count() == 3
+
+
+def test_link_frontier_respects_domains_fragments_and_seen(spark):
+    from webloom.operators.links import link_frontier
+    links = spark.createDataFrame([("http://a.com/", "http://a.com/en/1"), ("http://a.com/en/1", "http://x.a.com/en/2"),
+                                   ("http://x.a.com/en/2", "http://a.com/en/3"), ("http://a.com/en/1", "http://b.com/en/4"),
+                                   ("http://a.com/en/1", "http://a.com/de/5"), ("http://a.com/en/3", "http://a.com/en/seen")],
+                                  "src_url string, url string")
+    sites = spark.createDataFrame([("s", ["http://a.com/"], ["a.com"], ["/en/"])],
+                                  "site string, start_urls array<string>, allowed_domains array<string>, fragments array<string>")
+    seen = spark.createDataFrame([("http://a.com/en/seen",), ("http://a.com/",)], "url string")
+    got = {r["url"]: r["depth"] for r in link_frontier(links, sites, seen).collect()}
+    assert got == {"http://a.com/": 1, "http://a.com/en/1": 2, "http://x.a.com/en/2": 3, "http://a.com/en/3": 4}
+
+
+def test_checkpoint_folder_is_set_without_touching_the_session_conf(spark):
+    from webloom.session import checkpoint_dir
+    assert checkpoint_dir(spark) == checkpoint_dir(spark)

@@ -71,7 +71,9 @@ def test_versioned_names(spark):
     df = spark.createDataFrame([(1, "x"), (2, "x"), (3, "x"), (4, "x-2"), (5, "x-2"), (6, "x-9.html"),
                                 (7, "x-9.html")], "id long, name string")
     got = {r["id"]: r["v"] for r in version_names(df, "name", ["id"], out="v").collect()}
-    assert got == {1: "x", 2: "x-2", 3: "x-3", 4: "x-2", 5: "x-3", 6: "x-9.html", 7: "x-10.html"}
+    # rows 4 and 5 bring a name that row 2 has taken: they count on, as a file that exists would make them
+    assert got == {1: "x", 2: "x-2", 3: "x-3", 4: "x-4", 5: "x-5", 6: "x-9.html", 7: "x-10.html"}
+    assert len(set(got.values())) == len(got)
 
 
 def test_url_find_long_match(spark):
@@ -105,3 +107,49 @@ def test_clean_markup_single_pass(spark):
     html = ('<html><body><script>var a="<!--";</script><p>kept</p><!-- <script>x</script> -->'
             '<p>also</p><style>p{}</style></body></html>')
     assert _one(spark, page_text(F.col("url")), html) == "keptalso"
+
+
+def test_resolve_against_urljoin(spark):
+    from urllib.parse import urljoin
+    base = "http://h.com/a/b/c/d/e/f.html?q=1#top"
+    refs = ["../../../../../x", "../../../../../../../x", "/q?r=/a/../b", "/q?u=http://x/./y", "./././z", "a/b/../../c/./d",
+            "..", "../", ".", "./", "a/..", "a/../", "/a/b/..", "?x=../y", "g#s/../x", "//e.com/a/../b", "https://e.com/a/b/../../../c",
+            "a/.hidden/x", "...", "a...b/../c", "g;x=1/../y"]
+    df = spark.createDataFrame([(base, r) for r in refs], "b string, h string")
+    got = {r["h"]: r["u"] for r in df.select("h", U.resolve(F.col("b"), F.col("h")).alias("u")).collect()}
+    assert got == {r: urljoin(base, r) for r in refs}
+
+
+def test_references_against_unescape(spark):
+    from html import unescape
+    from webloom.functions.text import decode_entities
+    texts = ["&#38;lt;b", "&amp;lt;", "&#00000065;&#x000041;", "&eacute;&Eacute;&hellip;&nbsp;&notin;x", "a & b &unknown; &", "&#x1F600;&#128512;",
+             "&amp;amp;#65;", "&lt;&gt;&quot;&apos;&#39;", "no reference", "&#x;&#;&;"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r["t"]: r["u"] for r in df.select("t", decode_entities("t").alias("u")).collect()}
+    assert got == {t: unescape(t) for t in texts}
+
+
+def test_page_text_keeps_comparisons_and_drops_open_scripts(spark):
+    from webloom.functions.text import page_text
+    assert _one(spark, page_text(F.col("url")), "<p>3 < 5 and 6 > 2</p>") == "3 < 5 and 6 > 2"
+    assert _one(spark, page_text(F.col("url")), "<p>a</p><script>var b = 1;") == "a"
+
+
+def test_extract_links_of_real_markup(spark):
+    from webloom.operators.links import extract_links
+    html = ("<html><head><base href='/dir/'></head><!-- <a href='/no1'> --><script>'<a href=\"/no2\">'</script>"
+            "<a href='x?a=1&amp;b=2'>1</a><a href=mailto:a@b.c>2</a><a href='javascript:void(0)'>3</a><a href='y.ZIP'>4</a>"
+            "<a href='/p/../q.html#f'>5</a><area href='ftp://f.org/z'><a href='x?a=1&#38;b=2'>again</a></html>")
+    pages = spark.createDataFrame([(1, "http://h.com/a/b.html", html)], "page_id long, url string, html string")
+    got = [r["url"] for r in extract_links(pages).orderBy("idx").collect()]
+    assert got == ["http://h.com/dir/x?a=1&b=2", "http://h.com/q.html#f", "ftp://f.org/z"]
+    assert "http://h.com/dir/y.ZIP" in [r["url"] for r in extract_links(pages, denied=[]).collect()]
+
+
+def test_seen_log_appends_only_new_urls(spark, tmp_path):
+    from webloom.sources.pages import append_seen_log, read_seen_log
+    path = str(tmp_path / "seen")
+    for urls in (["a", "b", "a"], ["b", "c"], []):
+        append_seen_log(spark.createDataFrame([(u,) for u in urls], "url string"), path)
+    assert sorted(r["url"] for r in read_seen_log(spark, path).collect()) == ["a", "b", "c"]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,18 +17,14 @@ PY_WHITESPACE_CLASS = (r"[\t\n\x{0B}\x{0C}\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x
 STRIP_CHARS = " \n\t\r"
 # XPath normalize-space() whitespace: space, tab, carriage return, newline.
 XML_NON_SPACE = r"[^ \t\r\n]"
-# Named entities decoded in extracted text; "&amp;" is decoded last.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
-# Numeric character references, decimal or hex, decoded before the named ones.
-NUMERIC_REF_RE = r"&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});"
-SCRIPT_RE = r"(?is)<script\b[^>]*>.*?</script\s*>"
-STYLE_RE = r"(?is)<style\b[^>]*>.*?</style\s*>"
-COMMENT_RE = r"(?s)<!--.*?-->"
-TAG_RE = r"<[^>]*>"
+# A character reference: decimal, hexadecimal or named.
+REFERENCE_RE = r"&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
+# A tag, end tag, declaration or instruction; "<" before anything else is text.
+TAG_RE = r"<[A-Za-z/!?][^>]*>"
 # comments, scripts and styles in one left-to-right pass (a "<!--" inside a script is
-# script text, and a "</script>" inside a comment is comment text)
-NON_TEXT_RE = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+# script text, and a "</script>" inside a comment is comment text); an unclosed script or style
+# reaches to the end of the page
+NON_TEXT_RE = r"(?is)<!--.*?-->|<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
 # -------------------------------------------------------------------------------
 
 
@@ -49,19 +48,13 @@ def non_blank(text) -> Column:
     return _c(text).rlike(XML_NON_SPACE)
 
 
-def remove_script_style(html) -> Column:
-    """H5: drop script and style elements with their content."""
-    return F.regexp_replace(F.regexp_replace(_c(html), SCRIPT_RE, ""), STYLE_RE, "")
-
-
-def remove_comments(html) -> Column:
-    return F.regexp_replace(_c(html), COMMENT_RE, "")
-
-
 def _code_point(ref: Column) -> Column:
     hexd = F.regexp_extract(ref, r"&#[xX]([0-9A-Fa-f]+);", 1)
     dec = F.regexp_extract(ref, r"&#([0-9]+);", 1)
-    return F.when(hexd != "", F.conv(hexd, 16, 10).cast("bigint")).otherwise(dec.cast("bigint"))
+    # leading zeros carry no value; more digits than the largest code point has make an invalid one
+    hexd, dec = (F.regexp_replace(x, "^0+", "") for x in (hexd, dec))
+    return (F.when((hexd != "") & (F.length(hexd) <= 6), F.conv(hexd, 16, 10).cast("bigint"))
+            .when((dec != "") & (F.length(dec) <= 7), dec.cast("bigint")))
 
 
 def _char(c: Column) -> Column:
@@ -72,31 +65,33 @@ def _char(c: Column) -> Column:
     return F.decode(F.unhex(units), "UTF-16BE")
 
 
-def decode_numeric_refs(text) -> Column:
-    """``&#NNN;`` / ``&#xHH;`` -> the character; invalid code points stay as written.
+def _named() -> Column:
+    """Name -> character of the standard library's HTML table, as one constant map."""
+    table = {name[:-1]: char for name, char in html5.items() if name.endswith(";")}
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+
 
-    The text is split around the references and re-joined with the decoded ones;
-    texts without ``&#`` skip the work."""
+def decode_entities(text) -> Column:
+    """Every character reference that ends in ';' replaced by its character, each once.
+
+    One pass: the text is split around the references and re-joined with the decoded ones, so a decoded
+    character never becomes part of another reference. Unknown names and invalid code points (0, surrogates,
+    beyond U+10FFFF) stay as written. Texts without '&' skip the work."""
     t = _c(text)
-    refs = F.regexp_extract_all(t, F.lit(NUMERIC_REF_RE), 0)
-    parts = F.split(t, NUMERIC_REF_RE, -1)
+    refs = F.regexp_extract_all(t, F.lit(REFERENCE_RE), 0)
+    parts = F.split(t, REFERENCE_RE, -1)
+    named = _named()
 
     def one(ref):
         c = _code_point(ref)
         ok = (c >= 1) & (c <= 0x10FFFF) & ~((c >= 0xD800) & (c <= 0xDFFF))
-        return F.when(ok, _char(c)).otherwise(ref)
+        numeric = F.when(F.coalesce(ok, F.lit(False)), _char(c))
+        name = F.try_element_at(named, F.substring(ref, F.lit(2), F.length(ref) - 2))
+        return F.coalesce(F.when(ref.startswith("&#"), numeric).otherwise(name), ref)
 
     decoded = F.concat(F.transform(refs, one), F.array(F.lit("")))
     joined = F.array_join(F.zip_with(parts, decoded, lambda p, d: F.concat(p, d)), "")
-    return F.when(t.contains("&#"), joined).otherwise(t)
-
-
-def decode_entities(text) -> Column:
-    """Numeric character references, then the common named entities ('&amp;' last)."""
-    t = decode_numeric_refs(text)
-    for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return t
+    return F.when(t.contains("&"), joined).otherwise(t)
 
 
 def clean_markup(html) -> Column:

@@ -26,6 +26,20 @@ RUN_TS_FORMAT = "yyyyMMdd_HHmm"  # %Y%m%d_%H%M
 # Suffixes added after the save path per record type.
 JSON_SUFFIXES = {"faq": "-FAQ.json", "production-description": "-Description.json",
                  "complex_get_data": "-Complex.json", "js": "-JS.json", "target_div": ".json"}
+# Schemes a link may have.
+LINK_SCHEMES = ["http", "https", "ftp", "file"]
+# Path endings that a link extractor ignores by default: archives, images, audio, video, office documents, other.
+DEFAULT_DENIED_EXTENSIONS = [
+    "7z", "7zip", "bz2", "rar", "tar", "tar.gz", "xz", "zip",
+    "mng", "pct", "bmp", "gif", "jpg", "jpeg", "png", "pst", "psp", "tif", "tiff", "ai", "drw", "dxf", "eps", "ps",
+    "svg", "cdr", "ico", "webp",
+    "mp3", "wma", "ogg", "wav", "ra", "aac", "mid", "au", "aiff",
+    "3gp", "asf", "asx", "avi", "mov", "mp4", "mpg", "qt", "rm", "swf", "wmv", "m4a", "m4v", "flv", "webm",
+    "xls", "xlsm", "xlsx", "xltm", "xltx", "potm", "potx", "ppt", "pptm", "pptx", "pps", "doc", "docb", "docm",
+    "docx", "dotm", "dotx", "odt", "ods", "odg", "odp",
+    "css", "pdf", "exe", "bin", "rss", "dmg", "iso", "apk", "jar", "sh", "rb", "js", "hta", "bat", "cpl", "msi",
+    "msp", "py",
+]
 # Characters left as they are when a link URL is made safe (RFC 3986 reserved set plus
 # "~"); everything else outside letters, digits and "-_." is percent-encoded as UTF-8.
 URL_SAFE_CHARS = "!#$&'()*+,/:;=?@[]~"
@@ -132,15 +146,10 @@ def has_extension(url, ext: str) -> Column:
     return F.lower(url_path(url)).endswith("." + ext.lower())
 
 
-def url_extension(url) -> Column:
-    """Lower-cased extension of the last path segment ('' when none)."""
-    return F.lower(F.regexp_extract(url_path(url), r"\.([A-Za-z0-9]+)$", 1))
-
-
-def in_allowed_domains(url, domains) -> Column:
-    """host equals a domain or is a sub-domain of one. ``domains`` is an array column."""
-    h = host(url)
-    return F.exists(_c(domains), lambda d: (h == F.lower(d)) | h.endswith(F.concat(F.lit("."), F.lower(d))))
+def denied_extension(url, denied: list[str]) -> Column:
+    """The URL path ends with one of the denied extensions, in any case."""
+    names = "|".join(x.replace(".", "[.]") for x in denied)
+    return url_path(url).rlike("(?i)[.](?:" + names + ")$") if denied else F.lit(False)
 
 
 def fragment_allowed(url, fragments) -> Column:
@@ -165,33 +174,69 @@ def versioned_parts(name) -> tuple[Column, Column, Column]:
     return base, ver, ext
 
 
+def remove_dot_segments(path) -> Column:
+    """RFC 3986 5.2.4: '.' segments go, '..' takes the segment before it along, at any depth.
+
+    One fold over the path's segments; paths without '/.' are passed through.
+    """
+    p = _c(path)
+    parts = F.split(p, "/", -1)
+    kept = F.aggregate(
+        F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(x == ".", acc).otherwise(F.array_append(acc, x)))
+    # a path that ends in a dot segment names a folder
+    tail = F.when(p.rlike(r"/\.{1,2}$") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
+    return F.when(p.startswith("/") & p.contains("/."),
+                  F.concat(F.lit("/"), F.array_join(kept, "/"), tail)).otherwise(p)
+
+
+def base_parts(base) -> Column:
+    """What references resolve against: scheme, origin, URL without fragment, without query, and its folder."""
+    b = _c(base)
+    no_frag = F.regexp_replace(b, r"#.*$", "")
+    no_query = F.regexp_replace(b, r"[?#].*$", "")
+    folder = F.regexp_extract(no_query, r"^(" + _SCHEME + r"://[^/?#]*(?:/[^?#]*/)?)", 1)
+    return F.struct(
+        url_scheme(b).alias("scheme"), F.regexp_extract(b, r"^(" + _SCHEME + r"://[^/?#]*)", 1).alias("origin"),
+        no_frag.alias("no_frag"), no_query.alias("no_query"),
+        F.regexp_replace(folder, "([^/])$", "$1/").alias("folder"))
+
+
+def join_reference(parts: Column, href) -> Column:
+    """``href`` joined to the parts of its base, dot segments not yet removed."""
+    h = F.trim(_c(href))
+    return (
+        F.when(h.rlike(r"^" + _SCHEME + r":"), h)
+        .when(h.startswith("//"), F.concat(parts["scheme"], F.lit(":"), h))
+        .when(h.startswith("/"), F.concat(parts["origin"], h))
+        .when(h.startswith("?"), F.concat(parts["no_query"], h))
+        .when(h.startswith("#"), F.concat(parts["no_frag"], h))
+        .when(h == "", parts["no_frag"])
+        .otherwise(F.concat(parts["folder"], h))
+    )
+
+
+def without_dots(joined, href) -> Column:
+    """A joined URL without the dot segments of its path; query and fragment stay as written, and so do
+    absolute and network-path references, like urljoin does."""
+    j = _c(joined)
+    path = F.regexp_extract(j, r"^" + _SCHEME + r"://[^/?#]*([^?#]*)", 1)
+    clean = F.concat(F.regexp_extract(j, r"^(" + _SCHEME + r"://[^/?#]*)", 1), remove_dot_segments(path),
+                     F.regexp_extract(j, r"^[^?#]*([?#].*)$", 1))
+    whole = F.trim(_c(href)).rlike(r"^(?:" + _SCHEME + r":|//)")
+    return F.when(j.contains("/.") & ~whole & path.contains("/."), clean).otherwise(j)
+
+
 def resolve(base, href) -> Column:
     """H6: resolve ``href`` against page URL ``base`` (RFC 3986 reference forms).
 
     absolute (has scheme) -> as is; '//x' -> base scheme; '/x' -> base origin;
     '?q' -> base without query/fragment; '#f' -> base without fragment; '' -> base
-    without fragment; otherwise relative to the base directory. './' and 'seg/../'
-    segments are collapsed.
+    without fragment; otherwise relative to the base directory. Dot segments of a relative reference are
+    removed, from the path only; query and fragment stay as written.
     """
-    b, h = _c(base), F.trim(_c(href))
-    origin = F.regexp_extract(b, r"^(" + _SCHEME + r"://[^/?#]*)", 1)
-    no_frag = F.regexp_replace(b, r"#.*$", "")
-    no_query = F.regexp_replace(no_frag, r"\?.*$", "")
-    base_dir = F.regexp_extract(no_query, r"^(" + _SCHEME + r"://[^/?#]*(?:/[^?#]*/)?)", 1)
-    base_dir = F.when(base_dir.endswith("/"), base_dir).otherwise(F.concat(base_dir, F.lit("/")))
-    joined = (
-        F.when(h.rlike(r"^" + _SCHEME + r":"), h)
-        .when(h.startswith("//"), F.concat(url_scheme(b), F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin, h))
-        .when(h.startswith("?"), F.concat(no_query, h))
-        .when(h.startswith("#"), F.concat(no_frag, h))
-        .when(h == "", no_frag)
-        .otherwise(F.concat(base_dir, h))
-    )
-    out = F.regexp_replace(joined, r"/\./", "/")
-    for _ in range(3):
-        out = F.regexp_replace(out, r"/[^/?#]+/\.\./", "/")
-    return out
+    return without_dots(join_reference(base_parts(base), href), href)
 
 
 def run_folder(save_dir: str, first_domain, ts, dashes: bool = False) -> Column:

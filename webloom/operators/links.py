@@ -10,31 +10,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions import urls as U
+from webloom.functions.text import clean_markup, decode_entities
 from webloom.operators.common import cut_lineage, maybe_broadcast
 
 # a / area start tags up to their href value (double-quoted, single-quoted or unquoted)
 HREF_PATTERN = r"""(?i)<(?:a|area)\b[^>]*?\shref\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+BASE_PATTERN = HREF_PATTERN.replace("(?:a|area)", "base")
 # the value at the end of such a match: groups 1-3, exactly one takes part
 HREF_VALUE = r"""(?i)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))$"""
 
 
-def extract_links(pages: DataFrame, unique: bool = True) -> DataFrame:
-    """H4+H6: ``links(page_id, src_url, idx, href, url)``; ``url`` is resolved and made
+def extract_links(pages: DataFrame, unique: bool = True, denied: list[str] | None = None) -> DataFrame:
+    """H4+H6+F6: ``links(page_id, src_url, idx, href, url)``; ``url`` is resolved and made
     safe (percent-encoded like a link extractor does), ``href`` is the raw value.
 
+    Links are taken from the markup without comments, scripts and styles; the attribute value's character
+    references are decoded; relative references resolve against the page's first ``<base href>`` where it has one.
+    Only links with a link scheme (U.LINK_SCHEMES) whose path does not end in a denied extension stay
+    (``denied=None``: U.DEFAULT_DENIED_EXTENSIONS).
+
     With ``unique`` a page keeps the first occurrence of every resolved URL, in
     document order. The dedup runs inside the page row (sort the link array, drop
     adjacent repeats, sort back) so it needs no shuffle and is O(n log n) per page.
     """
     # one pass over the page finds the links; the value is then cut from each short match
-    hrefs = F.transform(F.regexp_extract_all(F.col("html"), F.lit(HREF_PATTERN), 0),
-                        lambda m: F.concat(*[F.regexp_extract(m, HREF_VALUE, i) for i in (1, 2, 3)]))
-    df = pages.select("page_id", F.col("url").alias("src_url"), hrefs.alias("_h"))
-    df = df.withColumn(
-        "_l",
-        F.transform("_h", lambda h, i: F.struct(U.safe_url(U.resolve(F.col("src_url"), h)).alias("url"),
-                                                 i.alias("pos"), h.alias("href"))),
-    )
+    denied = U.DEFAULT_DENIED_EXTENSIONS if denied is None else denied
+    value = lambda m: F.concat(*[F.regexp_extract(m, HREF_VALUE, i) for i in (1, 2, 3)])
+    df = pages.select("page_id", F.col("url").alias("src_url"), clean_markup("html").alias("_m"))
+    hrefs = F.transform(F.regexp_extract_all(F.col("_m"), F.lit(HREF_PATTERN), 0), value)
+    base = value(F.regexp_extract("_m", BASE_PATTERN, 0))
+    df = df.select("page_id", "src_url", hrefs.alias("_h"), base.alias("_b"))
+    # step by step, each in a projection of its own, so no step's expression is copied into the next
+    df = df.withColumn("_b", decode_entities("_b")).withColumn("_d", F.transform("_h", decode_entities))
+    df = df.withColumn("_b", F.when(F.col("_b") == "", F.col("src_url")).otherwise(U.resolve("src_url", "_b")))
+    df = df.withColumn("_p", U.base_parts("_b"))
+    df = df.withColumn("_j", F.transform("_d", lambda h: U.join_reference(F.col("_p"), h)))
+    df = df.withColumn("_j", F.transform("_j", lambda j, i: U.without_dots(j, F.get("_d", i))))
+    df = df.withColumn("_l", F.transform("_j", lambda u, i: F.struct(
+        U.safe_url(u).alias("url"), i.alias("pos"), F.get("_h", i).alias("href"))))
+    df = df.withColumn("_l", F.filter("_l", lambda x: x["url"].rlike("(?i)^(?:" + "|".join(U.LINK_SCHEMES) + "):")
+                                      & ~U.denied_extension(x["url"], denied)))
     if unique:
         df = df.withColumn("_s", F.sort_array("_l"))  # by url, then first position
         df = df.withColumn(
@@ -113,25 +128,40 @@ def seeds(sites: DataFrame) -> DataFrame:
     return sites.select(F.explode("start_urls").alias("url")).distinct()
 
 
-def frontier(seed_ids: DataFrame, edges: DataFrame, max_depth: int = 4) -> DataFrame:
-    """J5+A9: breadth-first expansion with seen-set dedup; depth of seeds = 1.
+def frontier(seed_nodes: DataFrame, edges: DataFrame, max_depth: int | None = None, compact_every: int = 8) -> DataFrame:
+    """J5+A9: breadth-first expansion with seen-set dedup; depth of seeds = 1. Runs until a hop finds nothing new.
 
     One join + anti join per hop. Each hop's new nodes are checkpointed once to the
-    session's shared checkpoint folder (they are read three times); the visited set
-    is the union of those checkpointed hops, so its lineage is one leaf per hop and
-    nothing is recomputed. Stops on an empty frontier or at ``max_depth``. First
-    arrival wins, so depth is the minimum.
+    session's shared checkpoint folder (they are read three times). The visited set is the union of those hops,
+    rewritten as one every ``compact_every`` hops, so the plan stays short however deep the graph is. First
+    arrival wins, so depth is the minimum. ``max_depth`` is for callers who want fewer hops.
     """
-    current = cut_lineage(seed_ids.select(F.col("node"), F.lit(1).alias("depth")).distinct())
-    visited = current
-    for d in range(2, max_depth + 1):
+    current = cut_lineage(seed_nodes.select(F.col("node"), F.lit(1).alias("depth")).distinct())
+    visited, depth = current, 1
+    while max_depth is None or depth < max_depth:
+        depth += 1
         nxt = (current.join(edges, current["node"] == edges["src"])
                .select(F.col("dst").alias("node")).distinct()
                .join(visited.select("node"), "node", "left_anti")
-               .withColumn("depth", F.lit(d)))
+               .withColumn("depth", F.lit(depth)))
         nxt = cut_lineage(nxt)
         if nxt.isEmpty():
             break
         visited = visited.unionByName(nxt)
+        if depth % compact_every == 0:
+            visited = cut_lineage(visited)
         current = nxt
     return visited
+
+
+def link_frontier(links: DataFrame, sites: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """J5 on URLs: from the sites' start URLs along extracted links that the sites' domains and fragments allow,
+    each URL once, those of ``seen`` never again (the start URLs are exempt)."""
+    pairs = links.select("src_url", "url").distinct()
+    allowed = fragment_filter(bind_sites(pairs, sites), sites).select("src_url", "url").distinct()
+    if seen is not None:
+        allowed = allowed.join(seen.select("url").distinct(), "url", "left_anti")
+    # read once per hop: materialised, so a hop never extracts links again
+    edges = cut_lineage(allowed.select(F.col("src_url").alias("src"), F.col("url").alias("dst")))
+    found = frontier(seeds(sites).select(F.col("url").alias("node")), edges)
+    return found.select(F.col("node").alias("url"), "depth")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from webloom.functions import urls as U
 from webloom.functions.urls import versioned_parts
 from webloom.operators.scan import keyed_scan
 
@@ -13,10 +14,24 @@ def version_names(df: DataFrame, name: str, order: list[str], group: list[str] |
                   out: str = "versioned_name") -> DataFrame:
     """The first row of a name keeps it; the k-th (k >= 2) gets a version.
 
-    ``base-N.ext`` names become ``base-(N+k-1).ext``; other names get ``-k``
-    (the reference bumps once per existing file; repeated collisions count on).
+    ``base-N.ext`` names become ``base-(N+k-1).ext``; other names get ``-k``. A version may meet a name that
+    another row brought along; the later row of the two counts on, until all names of a group are unique.
     """
     group = group or []
+    done = _bump(df, name, order, group, out)
+    while done.groupBy(*group, out).count().where("count > 1").limit(1).count():
+        done = _bump(done.withColumnRenamed(out, "_taken"), "_taken", order, group, out).drop("_taken")
+    return done
+
+
+def html_save_names(pages: DataFrame, ts) -> DataFrame:
+    """``(page_id, domain_dir, save_name)`` of the pages' HTML files, versioned within their folder."""
+    named = pages.select("page_id", U.domain_dir("url").alias("domain_dir"), U.html_inner_name("url", ts).alias("_name"))
+    return version_names(named, "_name", ["page_id"], ["domain_dir"], "save_name").drop("_name")
+
+
+def _bump(df: DataFrame, name: str, order: list[str], group: list[str], out: str) -> DataFrame:
+    """One numbering pass: rows that share a name, in order."""
     d = keyed_scan(df, [*group, name], order, step_col="_k")
     base, ver, ext = versioned_parts(name)
     bumped = F.when(ver.isNotNull(), F.concat(base, F.lit("-"), (ver + F.col("_k") - 1).cast("string"), ext)) \

@@ -86,13 +86,14 @@ def evaluate(dom: DataFrame, page_sites: DataFrame, rules: DataFrame) -> DataFra
     ctx = (ps.join(bc(rules.select(*_KEYS, "_n")), "site")
            .withColumn("start", F.lit(-1).cast("bigint")).withColumn("end", F.lit(2 ** 62).cast("bigint"))
            .withColumn("kind", F.lit("root")))
-    nodes = _nodes(dom)
+    # a page's nodes meet the rules of its own sites only, however many sites there are
+    nodes = _nodes(dom).join(ps.select("page_id", "site"), "page_id")
     for k in range(1, max_steps + 1):
         sk = rules.filter(F.col("_n") >= k).select(*_KEYS, F.col("steps")[k - 1].alias("_st"))
         keyed = nodes.withColumn("_key", F.col("tag"))
         if k in star_at:  # '*' matches any element: add one keyed copy of the elements
             keyed = keyed.unionByName(nodes.filter(F.col("kind") == "open").withColumn("_key", F.lit("*")))
-        cand = keyed.join(bc(sk.withColumn("_key", F.col("_st.tag"))), "_key")
+        cand = keyed.join(bc(sk.withColumn("_key", F.col("_st.tag"))), ["site", "_key"])
         av = D.attr("attrs", F.col("_st.attr"))
         cand = cand.filter(F.col("_st.attr").isNull() | F.coalesce(F.array_contains(F.col("_st.values"), av), F.lit(False)))
         cand = cand.filter(F.col("_st.pos").isNull() | (F.col("sib_pos") == F.col("_st.pos")))
@@ -119,7 +120,8 @@ def evaluate(dom: DataFrame, page_sites: DataFrame, rules: DataFrame) -> DataFra
 
 
 def values(hits: DataFrame, dom: DataFrame, strip: bool | None = None) -> DataFrame:
-    """X2 value of every hit, both modes in one range join and one aggregation.
+    """X2 value of every hit, both modes in one equi join and one aggregation: a hit is
+    spread over its own token positions, so the work is the size of the output.
 
     strip mode: string-value (descendant text; a text hit's own text) with spaces,
     newlines, tabs and CRs deleted, empties kept. trim mode: element hits give their
@@ -128,9 +130,9 @@ def values(hits: DataFrame, dom: DataFrame, strip: bool | None = None) -> DataFr
     """
     mode = F.lit(strip) if strip is not None else F.coalesce(F.col("strip"), F.lit(True))
     h = hits.select("page_id", "site", "target", "start", "end", F.col("kind").alias("_hk"), mode.alias("_strip"))
-    t = dom.select(F.col("page_id").alias("_pg"), F.col("pos").alias("_tp"), F.col("kind").alias("_tk"),
+    t = dom.select("page_id", F.col("pos").alias("_tp"), F.col("kind").alias("_tk"),
                    F.col("tok").alias("_tok"), F.col("text").alias("_tt"))
-    j = h.join(t, (F.col("page_id") == F.col("_pg")) & (F.col("_tp") >= F.col("start")) & (F.col("_tp") <= F.col("end")))
+    j = h.withColumn("_tp", F.explode(F.sequence("start", "end"))).join(t, ["page_id", "_tp"])
     is_text = F.col("_tk") == "text"
     own_or_below = (F.col("_hk") == "text") | (F.col("_tp") > F.col("start"))
     sv = F.when(F.col("_strip") & is_text & own_or_below, F.struct(F.col("_tp").alias("p"), F.col("_tt").alias("s")))

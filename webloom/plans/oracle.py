@@ -6,8 +6,9 @@ code with the Spark side except fixed values (patterns, constants).
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from webloom.functions.urls import URL_FIND_PATTERN
-from webloom.operators.links import HREF_PATTERN, HREF_VALUE
 from webloom.sources.pages import HTML_MARKUP
 from webloom.functions import text as _T
 from webloom.operators import dom as _D
@@ -63,28 +64,74 @@ def resolve(b: str, h0: str) -> str:
         WHEN starts_with({h}, '#') THEN {no_frag} || {h}
         WHEN {h} = '' THEN {no_frag}
         ELSE {bdir} || {h} END)"""
-    out = f"regexp_replace({joined}, '/[.]/', '/', 'g')"
-    for _ in range(3):
-        out = f"regexp_replace({out}, '/[^/?#]+/[.][.]/', '/', 'g')"
-    return out
+    # the path is folded as a string: ".." cuts the last "/segment" off; a final dot segment leaves a "/"
+    head = f"regexp_extract(_j, {q('^(' + SCHEME + '://[^/?#]*)')}, 1)"
+    path_ = f"regexp_extract(_j, {q('^' + SCHEME + '://[^/?#]*([^?#]*)')}, 1)"
+    tail = "regexp_extract(_j, '^[^?#]*([?#].*)$', 1)"
+    folded = (f"list_reduce(string_split(_p, '/'), lambda acc, x: CASE WHEN x = '..' THEN regexp_replace(acc, '/[^/]*$', '') "
+              f"WHEN x = '.' THEN acc ELSE acc || '/' || x END)")
+    clean_path = (f"(CASE WHEN starts_with(_p, '/') AND contains(_p, '/.') THEN (SELECT CASE WHEN regexp_matches(_p, '/[.][.]?$') "
+                  f"OR _f = '' THEN _f || '/' ELSE _f END FROM (SELECT {folded} AS _f)) ELSE _p END)")
+    whole = f"regexp_matches({h}, {q('^(' + SCHEME + ':|//)')})"
+    return (f"(SELECT CASE WHEN _h = '' OR {whole} THEN _j ELSE _h || {clean_path} || _t END "
+            f"FROM (SELECT _j, {head} AS _h, {path_} AS _p, {tail} AS _t FROM (SELECT {joined} AS _j)))")
 
 
 HTML_PAGES = f"SELECT * FROM pages WHERE url IS NOT NULL AND html IS NOT NULL AND regexp_matches(html, {q(HTML_MARKUP)})"
 
-LINKS = f"""
-WITH hp AS ({HTML_PAGES}),
+_QUOTED = """(?:"[^"]*"|'[^']*'|[^\\s"'>]+)"""
+_DENIED = ("7z 7zip bz2 rar tar tar.gz xz zip mng pct bmp gif jpg jpeg png pst psp tif tiff ai drw dxf eps ps svg cdr ico webp "
+           "mp3 wma ogg wav ra aac mid au aiff 3gp asf asx avi mov mp4 mpg qt rm swf wmv m4a m4v flv webm "
+           "xls xlsm xlsx xltm xltx potm potx ppt pptm pptx pps doc docb docm docx dotm dotx odt ods odg odp "
+           "css pdf exe bin rss dmg iso apk jar sh rb js hta bat cpl msi msp py")
+_NOT_TEXT = "(?is)<!--.*?-->|<script\\b[^>]*>.*?(?:</script\\s*>|\\z)|<style\\b[^>]*>.*?(?:</style\\s*>|\\z)"
+_NAMES = "MAP {" + ", ".join(f"{q(k[:-1])}: {q(v)}" for k, v in html5.items() if k.endswith(";")) + "}"
+
+
+def decode(s: str) -> str:
+    """Each reference replaced once: the text cut at the references, the pieces and the characters joined again."""
+    ref = q("&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);")
+    digits = "ltrim(regexp_extract(e, '^&#[xX]?([0-9A-Fa-f]+);$', 1), '0')"
+    code = (f"(CASE WHEN regexp_matches(e, '^&#[xX]') AND length({digits}) BETWEEN 1 AND 6 THEN ('0x' || {digits})::BIGINT "
+            f"WHEN regexp_matches(e, '^&#[0-9]') AND length({digits}) BETWEEN 1 AND 7 THEN {digits}::BIGINT END)")
+    one = (f"(CASE WHEN {code} BETWEEN 1 AND 1114111 AND NOT ({code} BETWEEN 55296 AND 57343) THEN chr({code}::INTEGER) "
+           f"WHEN starts_with(e, '&#') THEN e ELSE coalesce({_NAMES}[e[2:-2]], e) END)")
+    return (f"(CASE WHEN contains({s}, '&') THEN list_reduce(list_concat([''], list_transform(list_zip("
+            f"string_split_regex({s}, {ref}), list_concat(list_transform(regexp_extract_all({s}, {ref}, 0), lambda e: {one}), [''])), "
+            f"lambda x: x[1] || x[2])), lambda a, b: a || b) ELSE {s} END)")
+
+
+def _value(m: str) -> str:
+    """The attribute value at the end of a matched start tag, without its quotes."""
+    v = f"regexp_extract({m}, {q('(?i)[[:space:]]href[[:space:]]*=[[:space:]]*(' + _QUOTED + ')$')}, 1)"
+    return f"(CASE WHEN {v} <> '' AND {v}[1] IN (chr(34), chr(39)) THEN {v}[2:-2] ELSE {v} END)"
+
+
+def _start_tag(names: str) -> str:
+    return q("(?i)<(?:" + names + ")\\b[^>]*?\\shref\\s*=\\s*" + _QUOTED)
+
+
+def links_sql(pages: str) -> str:
+    return f"""
+WITH hp AS (SELECT page_id, url, regexp_replace(html, {q(_NOT_TEXT)}, '', 'g') AS m FROM ({pages})),
+based AS (SELECT page_id, url, m, {_value(f"regexp_extract(m, {_start_tag('base')}, 0)")} AS b FROM hp),
 raw AS (
-  SELECT page_id, url AS src_url, unnest(h) AS href, generate_subscripts(h, 1) - 1 AS pos
-  FROM (SELECT page_id, url, list_transform(regexp_extract_all(html, {q(HREF_PATTERN)}, 0),
-          lambda m: coalesce(regexp_extract(m, {q(HREF_VALUE)}, 1), '') || coalesce(regexp_extract(m, {q(HREF_VALUE)}, 2), '')
-                    || coalesce(regexp_extract(m, {q(HREF_VALUE)}, 3), '')) AS h FROM hp)
+  SELECT page_id, url AS src_url, b, {_value('unnest(h)')} AS href, generate_subscripts(h, 1) - 1 AS pos
+  FROM (SELECT page_id, url, b, regexp_extract_all(m, {_start_tag('a|area')}, 0) AS h FROM based)
 ),
-res AS (SELECT page_id, src_url, pos, href, {safe_url(resolve('src_url', 'href'))} AS url FROM raw),
+decoded AS (SELECT page_id, src_url, pos, href, {decode('b')} AS bd, {decode('href')} AS d FROM raw),
+plain AS (SELECT page_id, src_url, pos, href, d, CASE WHEN bd = '' THEN src_url ELSE {resolve('src_url', 'bd')} END AS b FROM decoded),
+every AS (SELECT page_id, src_url, pos, href, {safe_url(resolve('b', 'd'))} AS url FROM plain),
+res AS (SELECT * FROM every WHERE regexp_matches(url, '(?i)^(http|https|ftp|file):')
+        AND NOT regexp_matches({path('url')}, '(?i)[.]({_DENIED.replace(".", "[.]").replace(" ", "|")})$')),
 firsts AS (SELECT page_id, src_url, url, min(pos) AS pos, arg_min(href, pos) AS href FROM res GROUP BY ALL)
 SELECT page_id, src_url, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS BIGINT) AS idx,
        href, url FROM firsts
 """
 
+
+LINKS = links_sql(HTML_PAGES)
+
 CORPUS_SITES_SQL = """
 SELECT * FROM (VALUES
   ('news_com', ['example.com'], NULL::VARCHAR[]),
@@ -135,10 +182,21 @@ def _file_inner(u: str, ext: str) -> str:
     return quote(p4)
 
 
+def _versioned(name: str, k: str) -> str:
+    return (f"CASE WHEN {k} = 1 THEN {name} WHEN regexp_matches({name}, {q(_VP)}) THEN "
+            f"regexp_extract({name}, {q(_VP)}, 1) || '-' || CAST(CAST(regexp_extract({name}, {q(_VP)}, 2) AS BIGINT) + {k} - 1 AS VARCHAR)"
+            f" || regexp_extract({name}, {q(_VP)}, 3) ELSE {name} || '-' || CAST({k} AS VARCHAR) END")
+
+
+def _save_names(pages: str) -> str:
+    """(page_id, url, domain_dir, save_name): the k-th page of a folder with a name gets version k."""
+    return f"""(SELECT page_id, url, domain_dir, {_versioned('_n', '_k')} AS save_name FROM (
+  SELECT *, row_number() OVER (PARTITION BY domain_dir, _n ORDER BY page_id) AS _k FROM (
+    SELECT page_id, url, replace({authority('url')}, ':', '_') AS domain_dir, {_html_inner('url')} AS _n FROM ({pages}))))"""
+
+
 SQL["save_path_html"] = f"""
-SELECT page_id, 'out/html/' || replace({authority('url')}, ':', '_') || '/' || {_html_inner('url')} AS save_path
-FROM pages
-"""
+SELECT page_id, 'out/html/' || domain_dir || '/' || save_name AS save_path FROM {_save_names("SELECT * FROM pages")}"""
 
 SQL["save_path_file"] = f"""
 WITH u AS (SELECT url FROM ({LINKS}) UNION SELECT url FROM pages)
@@ -189,12 +247,37 @@ edges AS (SELECT page_id AS src, (page_id * 7 + 3) % n.n AS dst FROM pages, n
 seeds AS (SELECT min(page_id) AS node FROM pages GROUP BY {host('url')}),
 walk(node, depth) AS (
   SELECT node, 1 FROM seeds
-  UNION SELECT e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.node WHERE w.depth < {4}
+  UNION SELECT e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.node, n WHERE w.depth < n.n
 )
 SELECT node AS page_id, CAST(min(depth) AS BIGINT) AS depth FROM walk GROUP BY node
 """
 
 
+SQL["link_forms"] = f"""
+SELECT page_id, idx, url FROM ({links_sql(f"""
+  SELECT page_id, url, replace(concat({", ".join(q(a + "@@" + b) for a, b in [
+      ('<a href="../../../../../../', '/x.html">'), ("<a href='/q?r=/a/../", "/./b#/../c'>"),
+      ("<A class=k href=/s?a=1&amp;b=", "&#38;lt;>"), ("<!-- <a href='/comment", "'> -->"),
+      ('<script>var s = "<a href=\'/script', '\'>";</script>'), ("<a href='mailto:", "'>"), ("<a href='JAVASCRIPT:", "'>"),
+      ("<area href='HTTPS://e.com/a/./b/../", "/'>"), ("<a href='/file/", ".PDF?x'>"), ("<a href='a/b/../", "/..'>"),
+      ("<a href='/dir/", "/.'>"), ("<a href='&#x2F;&#0000000047;h.org/", "&eacute;'>"), ("<a href='.", "'>")])}),
+    '@@', 'p' || page_id) AS html FROM ({HTML_PAGES})""")})"""
+
+SQL["frontier_links"] = f"""
+WITH RECURSIVE s AS ({CORPUS_SITES_SQL}),
+lk AS MATERIALIZED (SELECT DISTINCT src_url, url FROM ({LINKS})),
+edges AS MATERIALIZED (
+  SELECT DISTINCT lk.src_url AS src, lk.url AS dst FROM lk JOIN s
+  ON list_bool_or(list_transform(s.allowed_domains, lambda d: {host('lk.url')} = d OR ends_with({host('lk.url')}, '.' || d)))
+  WHERE s.fragments IS NULL OR list_bool_or(list_transform(s.fragments, lambda f: contains(lk.url, f)))),
+top AS (SELECT count(*) AS n FROM edges),
+walk(url, depth) AS (
+  SELECT DISTINCT b.url, 1 FROM ({BOUND_PAGES}) b JOIN ({HTML_PAGES}) p ON p.page_id = b.page_id
+  UNION SELECT e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.url, top WHERE w.depth <= top.n)
+SELECT url, CAST(min(depth) AS BIGINT) AS depth FROM walk GROUP BY url
+"""
+
+
 # ---- DOM: the same interval encoding, written as a DuckDB CTE chain ------------------
 
 
@@ -202,32 +285,12 @@ def _inlist(xs) -> str:
     return "(" + ", ".join(q(x) for x in xs) + ")"
 
 
-def decode_numeric(s: str) -> str:
-    re_ = q(_T.NUMERIC_REF_RE)
-    hexd = "regexp_extract(e, '&#[xX]([0-9A-Fa-f]+);', 1)"
-    code = (f"(CASE WHEN {hexd} <> '' THEN ('0x' || {hexd})::BIGINT "
-            f"ELSE TRY_CAST(regexp_extract(e, '&#([0-9]+);', 1) AS BIGINT) END)")
-    one = (f"(CASE WHEN {code} BETWEEN 1 AND 1114111 AND NOT ({code} BETWEEN 55296 AND 57343) "
-           f"THEN chr(CAST({code} AS INTEGER)) ELSE e END)")
-    joined = (f"array_to_string(list_transform(list_zip(string_split_regex({s}, {re_}), "
-              f"list_concat(list_transform(regexp_extract_all({s}, {re_}, 0), lambda e: {one}), [''])), "
-              f"lambda x: x[1] || x[2]), '')")
-    return f"(CASE WHEN contains({s}, '&#') THEN {joined} ELSE {s} END)"
-
-
-def decode(s: str) -> str:
-    s = decode_numeric(s)
-    for ent, ch in _T.ENTITIES:
-        s = f"replace({s}, {q(ent)}, {q(ch)})"
-    return s
-
-
 def clean(h: str) -> str:
-    return f"regexp_replace({h}, {q(_T.NON_TEXT_RE)}, '', 'g')"
+    return f"regexp_replace({h}, {q(_NOT_TEXT)}, '', 'g')"
 
 
 def page_text(h: str) -> str:
-    return decode(f"regexp_replace({clean(h)}, {q(_T.TAG_RE)}, '', 'g')")
+    return decode(f"regexp_replace({clean(h)}, '<[A-Za-z/!?][^>]*>', '', 'g')")
 
 
 def py_strip(s: str) -> str:
@@ -463,12 +526,6 @@ def _html_base(u: str) -> str:
     return f"(CASE WHEN ends_with(lower({p3}), '.html') OR ends_with(lower({p3}), '.htm') THEN {p3} ELSE {p3} || '.html' END)"
 
 
-def _versioned(name: str, k: str) -> str:
-    return (f"CASE WHEN {k} = 1 THEN {name} WHEN regexp_matches({name}, {q(_VP)}) THEN "
-            f"regexp_extract({name}, {q(_VP)}, 1) || '-' || CAST(CAST(regexp_extract({name}, {q(_VP)}, 2) AS BIGINT) + {k} - 1 AS VARCHAR)"
-            f" || regexp_extract({name}, {q(_VP)}, 3) ELSE {name} || '-' || CAST({k} AS VARCHAR) END")
-
-
 SQL["versioned_names"] = f"""
 WITH n AS (SELECT page_id, replace({authority('url')}, ':', '_') AS domain_dir, {_html_inner('url')} AS html_name FROM pages),
 n2 AS (SELECT *, html_name || '-FAQ.json' AS json_name FROM n),
@@ -557,8 +614,7 @@ SELECT p.page_id, l.bs_target_div, CAST(coalesce(b.n, 0) AS BIGINT) AS n_all_tex
 FROM pages p LEFT JOIN last l USING (page_id) LEFT JOIN body b USING (page_id) LEFT JOIN divt v USING (page_id)"""
 
 SQL["preset_web"] = f"""
-SELECT page_id, url, 'out/html/' || replace({authority('url')}, ':', '_') || '/' || {_html_inner('url')} AS save_path
-FROM ({HTML_PAGES})"""
+SELECT page_id, url, 'out/html/' || domain_dir || '/' || save_name AS save_path FROM {_save_names(HTML_PAGES)}"""
 
 
 # ---- sinks and streams: the read-back equals the data written ---------------------------
@@ -566,8 +622,7 @@ SQL["sink_json"] = SQL["preset_union"]
 SQL["sink_urls"] = SQL["url_scan"]
 SQL["sink_seen"] = f"SELECT DISTINCT url FROM ({LINKS})"
 SQL["archive"] = SQL["page_text"]
-SQL["sink_html"] = f"""
-SELECT page_id, replace({authority('url')}, ':', '_') AS domain_dir, {_html_inner('url')} AS save_name FROM ({HTML_PAGES})"""
+SQL["sink_html"] = f"SELECT page_id, domain_dir, save_name FROM {_save_names(HTML_PAGES)}"
 SQL["sink_snapshot"] = """
 SELECT snapshot_key, max(page_id) AS page_id, arg_max(url, page_id) AS url FROM (
   SELECT translate(url, ':/', '') || '.html' AS snapshot_key, page_id, url FROM pages) GROUP BY snapshot_key"""

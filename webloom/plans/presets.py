@@ -14,6 +14,7 @@ from webloom.functions import urls as U
 from webloom.functions.text import add_page_text
 from webloom.operators import extract as X
 from webloom.operators import links as L
+from webloom.operators import naming as N
 from webloom.operators import rules as R
 from webloom.operators import summary as SM
 from webloom.operators.common import cut_lineage
@@ -27,11 +28,16 @@ def stages(df: DataFrame, steps: list[tuple[int, Callable[[DataFrame], DataFrame
     return df
 
 
+def default_strip(strip: str, kind: str) -> F.Column:
+    """A site without the flag strips if its kind is faq and trims if it is any other."""
+    return F.coalesce(F.col(strip), F.col(kind) == "faq")
+
+
 def bound_pages(pages: DataFrame, sites: DataFrame) -> DataFrame:
     """F1/F2 + J1: HTML pages with the site(s) whose domains cover them."""
     p = html_only(pages).select("page_id", "url")
     return L.bind_sites(p, sites.select("site", "allowed_domains")).join(
-        sites.select("site", "kind", "strip"), "site")
+        sites.select("site", "kind", default_strip("strip", "kind").alias("strip")), "site")
 
 
 def extraction(dom: DataFrame, pages: DataFrame, sites: DataFrame, rules: DataFrame) -> DataFrame:
@@ -62,29 +68,18 @@ def target_div(dom: DataFrame, pages: DataFrame, attr: str, value: str) -> DataF
 
 
 def web(pages: DataFrame, base_dir: str, ts) -> DataFrame:
-    """Crawl summary + HTML save path of every HTML page, bulky columns dropped."""
+    """Crawl summary + versioned HTML save path of every HTML page, bulky columns dropped."""
     p = html_only(pages)
-    return SM.drop_bulky(p.withColumn("save_path", U.html_save_path(base_dir, "url", ts)))
-
-
-# Link extensions skipped by default (our list: archives, media, office documents,
-# images, executables); the preset's own extension is always allowed.
-DEFAULT_DENIED_EXTENSIONS = [
-    "7z", "apk", "avi", "bin", "bmp", "bz2", "css", "csv", "deb", "dmg", "doc", "docx", "exe",
-    "flac", "flv", "gif", "gz", "ico", "iso", "jar", "jpeg", "jpg", "js", "m4a", "m4v", "mkv",
-    "mov", "mp3", "mp4", "mpeg", "mpg", "msi", "odp", "ods", "odt", "ogg", "pdf", "png", "ppt",
-    "pptx", "psd", "rar", "rpm", "rtf", "svg", "tar", "tgz", "tif", "tiff", "wav", "webm", "webp",
-    "wma", "wmv", "xls", "xlsx", "xz", "zip",
-]
+    names = N.html_save_names(p.select("page_id", "url"), ts).select(
+        "page_id", F.concat_ws("/", F.lit(base_dir.rstrip("/")), "domain_dir", "save_name").alias("save_path"))
+    return SM.drop_bulky(p).join(names, "page_id")
 
 
 def file_links(pages: DataFrame, ext: str, denied: list[str] | None, base_dir: str) -> DataFrame:
     """Links of HTML pages, deny-listed extensions removed except the preset's own
     (F6/U2), the ones with the preset's extension (F5) and their save path (H11)."""
-    lk = L.extract_links(html_only(pages))
-    denied = DEFAULT_DENIED_EXTENSIONS if denied is None else denied
-    deny = [d.lower() for d in denied if d.lower() != ext.lower()]
-    lk = lk.filter(~U.url_extension("url").isin(deny))
+    denied = U.DEFAULT_DENIED_EXTENSIONS if denied is None else denied
+    lk = L.extract_links(html_only(pages), denied=[d for d in denied if d.lower() != ext.lower()])
     return lk.filter(U.has_extension("url", ext)).select(
         "page_id", "url", U.file_save_path(base_dir, "url", ext).alias("save_path"))
 

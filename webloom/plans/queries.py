@@ -32,7 +32,16 @@ from webloom.streaming import stream as ST
 
 # fixed run timestamp used in names (never the wall clock, so results are stable)
 RUN_TS = "2024-01-02 03:04:05"
-FRONTIER_MAX_DEPTH = 4
+
+# what stands before and after the page's own name in each form of link
+LINK_FORMS = [
+    ('<a href="../../../../../../', '/x.html">'), ("<a href='/q?r=/a/../", "/./b#/../c'>"),
+    ("<A class=k href=/s?a=1&amp;b=", "&#38;lt;>"), ("<!-- <a href='/comment", "'> -->"),
+    ("<script>var s = \"<a href='/script", "'>\";</script>"), ("<a href='mailto:", "'>"),
+    ("<a href='JAVASCRIPT:", "'>"), ("<area href='HTTPS://e.com/a/./b/../", "/'>"), ("<a href='/file/", ".PDF?x'>"),
+    ("<a href='a/b/../", "/..'>"), ("<a href='/dir/", "/.'>"), ("<a href='&#x2F;&#0000000047;h.org/", "&eacute;'>"),
+    ("<a href='.", "'>"),
+]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -85,8 +94,8 @@ def q_url_parts(spark, d):
 @register("save_path_html")
 def q_save_path_html(spark, d):
     p = read_pages(spark, d).select("page_id", "url")
-    ts = F.lit(RUN_TS).cast("timestamp")
-    return p.select("page_id", U.html_save_path("out/html", "url", ts).alias("save_path"))
+    names = N.html_save_names(p, F.lit(RUN_TS).cast("timestamp"))
+    return names.select("page_id", F.concat_ws("/", F.lit("out/html"), "domain_dir", "save_name").alias("save_path"))
 
 
 @register("save_path_file")
@@ -159,10 +168,31 @@ def q_frontier(spark, d):
     e2 = p.select(F.col("page_id").alias("src"), ((F.col("page_id") * 3 + 1) % n).alias("dst"))
     edges = e1.union(e2).distinct()
     seeds = p.groupBy(U.host("url").alias("h")).agg(F.min("page_id").alias("node"))
-    out = L.frontier(seeds, edges, FRONTIER_MAX_DEPTH)
+    out = L.frontier(seeds, edges)
     return out.select(F.col("node").alias("page_id"), F.col("depth").cast("bigint").alias("depth"))
 
 
+@register("frontier_links")
+def q_frontier_links(spark, d):
+    """J5/A9/U3 on the corpus' own links: start URLs are the pages of a site, the edges its extracted links."""
+    pages = html_only(read_pages(spark, d))
+    sites = corpus_sites(spark).select("site", "allowed_domains", "fragments")
+    starts = L.bind_sites(pages.select("page_id", "url"), sites).select("site", "url")
+    starts = starts.groupBy("site").agg(F.sort_array(F.collect_set("url")).alias("start_urls"))
+    out = L.link_frontier(L.extract_links(pages), sites.join(starts, "site"))
+    return out.select("url", F.col("depth").cast("bigint").alias("depth"))
+
+
+@register("link_forms")
+def q_link_forms(spark, d):
+    """For every page, links in the forms a page can hold (deep dot segments, dots in queries,
+    character references, comments, scripts, other schemes, denied extensions), extracted."""
+    p = html_only(read_pages(spark, d)).select("page_id", "url")
+    page = F.concat(F.lit("p"), F.col("page_id").cast("string"))
+    html = F.concat(*[x for before, after in LINK_FORMS for x in (F.lit(before), page, F.lit(after))])
+    return L.extract_links(p.withColumn("html", html)).select("page_id", "idx", "url")
+
+
 # ---- text and DOM ---------------------------------------------------------------------
 
 
@@ -449,8 +479,8 @@ def q_sink_seen(spark, d):
     path = scratch_path(spark, "seen")
     lk = _links(spark, d).select("url")
     append_seen_log(lk, path)      # first run
-    append_seen_log(lk, path)      # the same URLs seen again in a later run
-    return read_seen_log(spark, path).distinct()
+    append_seen_log(lk, path)      # the same URLs seen again in a later run add nothing
+    return read_seen_log(spark, path)
 
 
 @register("archive")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,5 +46,11 @@ def read_seen_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_seen_log(urls: DataFrame, path: str) -> None:
-    """Append newly seen URLs (one per line)."""
-    urls.select("url").write.mode("append").text(path)
+    """Append the URLs the log does not hold yet, each once (one per line). A missing log is empty."""
+    new = urls.select("url").where("url != ''").distinct()
+    try:
+        new = new.join(read_seen_log(urls.sparkSession, path), "url", "left_anti")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    new.write.mode("append").text(path)

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.functions import urls as U
-from webloom.operators.naming import latest_per_key
+from webloom.operators.naming import html_save_names, latest_per_key
+
+FILES_PER_DOMAIN = 8
 
 
 def write_records_json(records: DataFrame, path: str, partition_by: list[str] | None = None,
@@ -31,9 +33,12 @@ def write_snapshots(pages: DataFrame, path: str, order: list[str] | None = None)
 
 
 def write_html(pages: DataFrame, path: str, ts) -> None:
-    """Raw HTML of every HTML page with its save path, partitioned by domain dir."""
-    out = pages.select("page_id", "url", "html", U.domain_dir("url").alias("domain_dir"),
-                       U.html_inner_name("url", ts).alias("save_name"))
+    """Raw HTML of every HTML page under its versioned save path (no two pages share one),
+    partitioned by domain dir. Names are versioned on narrow rows; the pages are clustered by domain and a
+    salt, so a domain's folder gets a bounded number of files and a large domain several tasks."""
+    names = html_save_names(pages, ts).select("page_id", "domain_dir", "save_name")
+    out = pages.select("page_id", "url", "html").join(names, "page_id")
+    out = out.repartition("domain_dir", F.pmod(F.xxhash64("page_id"), F.lit(FILES_PER_DOMAIN)))
     out.write.mode("append").partitionBy("domain_dir").parquet(path)
 
 
