@@ -12,7 +12,9 @@ counts over all documents; the order only has to be the same everywhere, the res
    pairs that pass the size and reach bounds are verified. A group of near copies becomes one component this way,
    with as many pairs as members.
 3. Rest. Pairs of a bucket whose members are in different components after step 2 are verified too, so no link
-   between components is lost; pairs inside one component need no test, as they change nothing.
+   between components is lost; pairs inside one component need no test, as they change nothing. Each set carries 128
+   cells, one byte of its n-grams' hashes each: every cell in which two sets differ holds an n-gram that only one of
+   them has, and a pair with more such cells than linked sets of these sizes can have is no candidate.
 4. Verification. The global order is cut into fragments. For each candidate pair the partial overlap is counted in
    every fragment separately, and the counts are summed per pair.
 
@@ -42,6 +44,7 @@ PERCENT = 90
 COUNTERS = 1 << 18
 FRAGMENTS = 8
 SLOTS = 1 << 24
+WORDS = 16
 
 
 def shingle_sets(column: pa.Array, n: int = N) -> tuple[np.ndarray, np.ndarray]:
@@ -116,18 +119,38 @@ def prefixes(docs: DataFrame, shared, n: int = N, percent: int = PERCENT) -> Dat
             for first, last in ta.slices(batch.column("text")):
                 row, hashes = shingle_sets(batch.column("text")[first:last], n)
                 order = np.lexsort((hashes, order_keys(hashes, shared.value), row))
-                hashes = hashes[order]
+                hashes = hashes[order]  # row keeps its order: it is the last key
                 at = np.searchsorted(row, np.arange(last - first + 1))
                 size = np.diff(at)
                 length = np.where(size > 0, size + (-size * percent // 100) + 1, 0)  # n - ceil(n * percent / 100) + 1
                 index = np.arange(len(row)) - at[row] < length[row]
                 ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+                cell = cells(row, hashes, last - first)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id")[first:last].cast(pa.int64()), pa.array(size.astype(np.int32)),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[index].view(np.int64)))],
-                    names=["doc", "n", "prefix"])
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[index].view(np.int64))),
+                     pa.ListArray.from_arrays(pa.array(np.arange(0, cell.size + 1, WORDS, dtype=np.int32)), pa.array(cell.ravel()))],
+                    names=["doc", "n", "prefix", "cells"])
 
-    return docs.mapInArrow(run, "doc bigint, n int, prefix array<bigint>")
+    return docs.mapInArrow(run, "doc bigint, n int, prefix array<bigint>, cells array<bigint>")
+
+
+def cells(row: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
+    """For each set, one byte for each of 8 * WORDS cells of the n-grams: the sum of their hashes' bytes."""
+    place = row * (8 * WORDS) + (hashes & np.uint64(8 * WORDS - 1)).astype(np.int64)
+    sums = np.bincount(place, ((hashes >> np.uint64(7)) & np.uint64(255)).astype(np.float64), n * 8 * WORDS)
+    return np.fmod(sums, 256).astype(np.uint8).reshape(n, 8 * WORDS).view(np.int64)
+
+
+def _unequal_cells(a: str, b: str) -> Column:
+    """How many cells of two sets differ: a lower bound of the n-grams that only one of them has."""
+    total = F.lit(0)
+    for k in range(WORDS):
+        x = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
+        for shift in (4, 2, 1):  # the lowest bit of each byte becomes the OR of its bits
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+        total = total + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+    return total
 
 
 def slot(doc: str) -> Column:
@@ -236,18 +259,21 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, id_c
     # members with their component; in a bucket, those outside the leader's component meet all the others
     placed = members.join(after.select(F.col("u").alias("doc"), F.col("v").alias("comp")), "doc", "left")
     placed = placed.withColumn("comp", F.coalesce("comp", "doc"))
-    spread = placed.select("doc", "n", "reach", "comp", F.explode("grams").alias("gram"))
+    placed = placed.join(short.select("doc", "cells").hint("merge"), "doc")
+    spread = placed.select("doc", "n", "reach", "comp", "cells", F.explode("grams").alias("gram"))
     top = spread.groupBy("gram").agg(
         F.max(F.struct("reach", -F.col("doc"), "comp")).alias("l"), F.min("comp").alias("least"), F.max("comp").alias("most"))
     top = top.where("least != most").select("gram", (-F.col("l.col2")).alias("leader"), F.col("l.comp").alias("main"))
     spread = spread.join(top.hint("merge"), "gram").where("doc != leader")
     left = spread.where("comp != main").select(
-        "gram", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("reach").alias("reach_a"), F.col("comp").alias("comp_a"))
+        "gram", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("reach").alias("reach_a"), F.col("comp").alias("comp_a"),
+        F.col("cells").alias("cells_a"))
     right = spread.select("gram", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("reach").alias("reach_b"),
-                          F.col("comp").alias("comp_b"), "main")
+                          F.col("comp").alias("comp_b"), "main", F.col("cells").alias("cells_b"))
     met = left.join(right.hint("merge"), (left["gram"] == right["gram"]) & (F.col("comp_a") != F.col("comp_b"))
                     & ((F.col("comp_b") == F.col("main")) | (F.col("a") < F.col("b")))
-                    & (F.least("reach_a", "reach_b", "n_a", "n_b") >= _needed("n_a", "n_b", percent)))
+                    & (F.least("reach_a", "reach_b", "n_a", "n_b") >= _needed("n_a", "n_b", percent))
+                    & (_unequal_cells("cells_a", "cells_b") <= F.col("n_a") + F.col("n_b") - 2 * _needed("n_a", "n_b", percent)))
     rest = verified(met.select("a", "n_a", "b", "n_b").distinct(), texts, shared, f"{path}/rest", n, percent)
     final = components(after.unionByName(rest))
 
