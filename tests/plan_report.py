@@ -2,7 +2,7 @@
 
 Usage: python tests/plan_report.py [sf_dir] > PLANS.md
 Counts shuffles, broadcasts, join strategies, windows and Python evaluation in the
-final adaptive plan, and lists what each parquet scan reads.
+plan before adaptive re-planning, and lists what each parquet scan reads.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def main() -> None:
     from webloom.session import get_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session()
-    print(f"# Physical plans ({sf}, final adaptive plans; cached index bodies omitted)\n")
+    print(f"# Physical plans ({sf}, as planned before adaptive re-planning; cached index bodies omitted)\n")
     print("| query | " + " | ".join(n.replace("Exchange ", "X ") for n in NODES) + " | scans (ReadSchema) |")
     print("|" + "---|" * (len(NODES) + 2))
     for name, q in E.queries().items():
