@@ -12,17 +12,21 @@ from pyspark.sql import functions as F
 from webloom.operators.links import extract_links
 from webloom.sources.pages import html_only
 
+# files of one micro-batch: a large default, since every micro-batch runs after the one before
+FILES_PER_TRIGGER = 1000
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PAGES_SCHEMA = "page_id BIGINT, url STRING, html STRING"
 
 
-def page_stream(spark: SparkSession, directory: str, glob: str = "*.parquet", files_per_trigger: int = 1) -> DataFrame:
+def page_stream(spark: SparkSession, directory: str, glob: str = "*.parquet",
+                files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """New page files in ``directory`` as a stream of ``pages`` rows."""
     return (spark.readStream.schema(PAGES_SCHEMA).option("pathGlobFilter", glob)
             .option("maxFilesPerTrigger", files_per_trigger).parquet(directory))
 
 
 def dedup_urls(links: DataFrame, watermark_col: str | None = None, delay: str | None = None) -> DataFrame:
-    """Each URL once, ever. Unbounded state by design (RocksDB store recommended);
+    """Each URL once, ever. Unbounded state by design, so the starters keep it in RocksDB;
     with a watermark the state is bounded but duplicates older than it pass again."""
     if watermark_col:
         links = links.withColumn(watermark_col, F.col(watermark_col).cast("timestamp"))  # NTZ -> event time
@@ -30,14 +34,17 @@ def dedup_urls(links: DataFrame, watermark_col: str | None = None, delay: str |
     return links.dropDuplicates(["url"])
 
 
-def start_dedup(spark: SparkSession, source_dir: str, glob: str, sink: str, checkpoint: str):
+def start_dedup(spark: SparkSession, source_dir: str, glob: str, sink: str, checkpoint: str,
+                files_per_trigger: int = FILES_PER_TRIGGER):
     """T1 end to end: page files -> links -> dedup -> parquet sink (append)."""
-    links = extract_links(html_only(page_stream(spark, source_dir, glob))).select("url")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    links = extract_links(html_only(page_stream(spark, source_dir, glob, files_per_trigger))).select("url")
     return (dedup_urls(links).writeStream.format("parquet").option("path", sink)
             .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
 
 
-def start_extract(spark: SparkSession, source_dir: str, glob: str, sink: str, checkpoint: str, transform):
+def start_extract(spark: SparkSession, source_dir: str, glob: str, sink: str, checkpoint: str, transform,
+                  files_per_trigger: int = FILES_PER_TRIGGER):
     """New pages only -> ``transform`` (any batch DataFrame function) -> append.
 
     "New" is exact-string on the URL (J3) and lives in the stream's dedup state, so
@@ -50,6 +57,7 @@ def start_extract(spark: SparkSession, source_dir: str, glob: str, sink: str, ch
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(sink))
 
-    new_pages = dedup_urls(page_stream(spark, source_dir, glob))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    new_pages = dedup_urls(page_stream(spark, source_dir, glob, files_per_trigger))
     return (new_pages.writeStream.foreachBatch(per_batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
