@@ -137,3 +137,23 @@ def test_attribute_quoting_styles(spark):
     assert ("div", (("class", "q s"), ("id", "u1"))) in got
     links = [r["url"] for r in extract_links(pages).orderBy("idx").collect()]
     assert links == ["http://h.com/one", "http://h.com/two", "http://h.com/three"]
+
+
+def test_unbound_sites_add_no_hits_and_no_candidates(spark):
+    html = "<html><body>" + "".join(f"<p>{i}</p>" for i in range(50)) + "</body></html>"
+    dom = D.build_dom(spark.createDataFrame([(1, "http://a.com/", html)], "page_id long, url string, html string"))
+    every = R.rules_df(spark, {f"s{k}": {"t": [[step("desc", "p")]]} for k in range(200)})
+    bound = spark.createDataFrame([(1, "s7", True)], "page_id long, site string, strip boolean")
+    hits = R.evaluate(dom, bound, every)
+    assert hits.count() == 50 and {r["site"] for r in hits.select("site").distinct().collect()} == {"s7"}
+    # the rules meet the nodes on site and tag
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert any("site" in line and "_key" in line for line in plan.splitlines() if "Join" in line)
+
+
+def test_unset_flag_strips_faq_and_trims_the_others(spark):
+    from webloom.plans.presets import default_strip
+    kinds = spark.createDataFrame([("faq", None), ("product", None), ("complex", None), ("faq", False), ("product", True)],
+                                  "kind string, strip boolean")
+    got = [r["s"] for r in kinds.select(default_strip("strip", "kind").alias("s")).collect()]
+    assert got == [True, False, False, False, True]
