@@ -153,6 +153,23 @@ def test_jaccard_components(spark):
     assert {r[0]: (r[1], r[2]) for r in done.collect()} == sets_brute(rows)
 
 
+def test_jaccard_links_sets_of_different_sizes(spark):
+    """Rare words appended or inserted push common n-grams out of the larger set's prefix."""
+    rng = random.Random(7)
+    rows = []
+    for k in range(40):
+        base = [f"b{k}x{i}" for i in range(rng.randint(40, 200))]
+        more = list(base)
+        for i in range(rng.randint(1, 12)):
+            more.insert(len(more) if k % 2 else rng.randrange(len(more)), f"m{k}x{i}")
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(more))]
+    rows += [(100, " ".join(f"w{i}" for i in range(102))), (101, " ".join(f"w{i}" for i in range(109)))]
+    want = sets_brute(rows)
+    assert want[101] == (107, 100) and sum(i != c for i, (_, c) in want.items()) > 15
+    done = jaccard.jaccard_components(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert {r[0]: (r[1], r[2]) for r in done.collect()} == want
+
+
 def test_components(spark):
     rng = random.Random(6)
     links = [(i, i + 1) for i in range(0, 30)] + [(rng.randrange(100, 160), rng.randrange(100, 160)) for _ in range(30)] + [(5, 5)]

@@ -6,8 +6,9 @@ Documents are sets of distinct three-word shingles (64-bit hashes). Two document
 The global n-gram order is by approximate document frequency, then hash. Frequencies come from one fixed-size array of
 counts over all documents; the order only has to be the same everywhere, the result does not depend on it.
 
-1. Prefixes. Linked sets share one of their ``n - ceil(0.9 n) + 1`` first n-grams in the global order. Prefix
-   n-grams nobody else's prefix holds cannot be common, so they lower the overlap a set can reach (``reach``).
+1. Prefixes. Linked sets share one of their ``n - ceil(0.9 n) + 1`` first n-grams in the global order. Of two sets,
+   take the one whose prefix ends first: what they have in common is in both prefixes, or behind that end and so in
+   that set's suffix. The overlap is at most the fewer prefix n-grams that other prefixes hold, and the longer suffix.
 2. Stars. In each bucket of a shared prefix n-gram all members meet the one with the largest reach, and the
    pairs that pass the size and reach bounds are verified. A group of near copies becomes one component this way,
    with as many pairs as members.
@@ -200,8 +201,23 @@ def _needed(a: str, b: str, percent: int) -> Column:
     return F.ceil(F.lit(percent) * (F.col(a) + F.col(b)) / F.lit(100 + percent) - F.lit(1e-9))
 
 
+def _suffix(n: str, percent: int) -> Column:
+    """n-grams behind the prefix of a set of n: ceil(percent * n / 100) - 1."""
+    return F.ceil(F.lit(percent) * F.col(n) / F.lit(100) - F.lit(1e-9)) - 1
+
+
+def _bound(percent: int) -> Column:
+    """Whether sets of these sizes and reaches (suffix and shared prefix n-grams) can be linked.
+
+    A prefix n-gram of one set may stand in the suffix of the other, so neither reach alone bounds the overlap.
+    """
+    a, b = _suffix("n_a", percent), _suffix("n_b", percent)
+    most = F.least(F.col("reach_a") - a, F.col("reach_b") - b) + F.greatest(a, b)
+    return F.least(most, F.col("n_a"), F.col("n_b")) >= _needed("n_a", "n_b", percent)
+
+
 def _bounded(pairs: DataFrame, percent: int) -> DataFrame:
-    return pairs.where(F.least("reach_a", "reach_b", "n_a", "n_b") >= _needed("n_a", "n_b", percent))
+    return pairs.where(_bound(percent))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, shared, path: str, n: int, percent: int) -> DataFrame:
@@ -272,7 +288,7 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, id_c
                           F.col("comp").alias("comp_b"), "main", F.col("cells").alias("cells_b"))
     met = left.join(right.hint("merge"), (left["gram"] == right["gram"]) & (F.col("comp_a") != F.col("comp_b"))
                     & ((F.col("comp_b") == F.col("main")) | (F.col("a") < F.col("b")))
-                    & (F.least("reach_a", "reach_b", "n_a", "n_b") >= _needed("n_a", "n_b", percent))
+                    & _bound(percent)
                     & (_unequal_cells("cells_a", "cells_b") <= F.col("n_a") + F.col("n_b") - 2 * _needed("n_a", "n_b", percent)))
     rest = verified(met.select("a", "n_a", "b", "n_b").distinct(), texts, shared, f"{path}/rest", n, percent)
     final = components(after.unionByName(rest))
