@@ -239,6 +239,16 @@ def test_first_holder_keeps_the_boilerplate(spark):
     assert lost == set(range(1, 10))
 
 
+def test_triples_of_a_long_text_are_told_apart(spark):
+    """Triples whose xxhash64 values agree in their upper 47 bits, in a text whose positions take 17 bits."""
+    pairs = [(5660448, 22427805), (3517263, 15057237), (17206723, 30913130), (11561070, 24801857)]
+    words = [w for j, k in pairs for w in ("a", "b", str(j), f"x{j}", "a", "b", str(k), f"x{k}")]
+    words += [f"w{i}" for i in range(70_000)]
+    docs = spark.createDataFrame([(1, " ".join(words), "h"), (2, " ".join([*words, "w5", "w6", "w7"]), "h")], DOCS)
+    got = {r["doc_id"]: (r["n_words"], r["n_repeat_words"]) for r in quality.base_columns(docs).collect()}
+    assert got == {1: (70_032, 0), 2: (70_035, 6)}
+
+
 # pipeline
 
 def test_pipeline_against_brute_force(spark, tmp_path):

@@ -44,20 +44,17 @@ def base_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.size("w").cast("long").alias("n_words"),
         F.char_length(F.array_join("w", "")).cast("long").alias("word_chars"),
         (F.size("worded") - F.size(F.array_distinct("worded"))).cast("long").alias("n_dup_lines"),
-        # bits that hold a position in this document; the rest of a long holds the triple's hash
-        F.length(F.bin(F.size("w").cast("long"))).alias("bits"),
     )
-    # a triple's hash and its start packed into one long: one primitive sort brings equal triples together
-    step = step.withColumn("packed", F.sort_array(F.coalesce(F.transform(
+    # a triple's whole hash beside its start: one sort brings equal triples together, in a text of any length
+    step = step.withColumn("triples", F.sort_array(F.coalesce(F.transform(
         F.when(F.col("n_words") >= 3, F.sequence(F.lit(0), F.size("w") - 3)),
-        lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).bitwiseAND(
-            F.bitwise_not(_mask())).bitwiseOR(i.cast("long")),
-    ), F.array().cast("array<bigint>"))))
-    step = step.drop("w").withColumn("mask", _mask())
-    same = lambda x, y: F.coalesce(x.bitwiseXOR(y).bitwiseAND(F.bitwise_not(F.col("mask"))) == 0, F.lit(False))
+        lambda i: F.struct(F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("h"), i.alias("at")),
+    ), F.array().cast("array<struct<h:bigint,at:int>>"))))
+    step = step.drop("w")
+    same = lambda x, y: F.coalesce(x["h"] == y["h"], F.lit(False))
     step = step.withColumn("again", F.transform(
-        F.filter("packed", lambda x, i: same(x, F.get("packed", i - 1)) | same(x, F.get("packed", i + 1))),
-        lambda x: x.bitwiseAND(F.col("mask"))))
+        F.filter("triples", lambda x, i: same(x, F.get("triples", i - 1)) | same(x, F.get("triples", i + 1))),
+        lambda x: x["at"]))
     covered = F.array_distinct(F.concat("again", F.transform("again", lambda x: x + 1), F.transform("again", lambda x: x + 2)))
     return step.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -65,10 +62,6 @@ def base_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def _mask():
-    return F.expr("shiftleft(1L, bits) - 1L")
-
-
 def line_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """Narrow rows (host, key, doc_id, n_words): one per distinct worded line of a document."""
     lines = docs.where(F.col(id_col).isNotNull()).select(
