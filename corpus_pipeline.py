@@ -21,11 +21,9 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or are depleted by cross-document line removal go."""
-    path = shared_path(spark, "verdicts")
-    quality.quality_rules(docs).select("doc_id", "kept").write.parquet(path)
-    verdicts = spark.read.parquet(path).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    return _without(docs, verdicts.where(~F.col("kept")))
+    """Documents that fail the base rules or are depleted go, the others lose the boilerplate lines of their host."""
+    cut = quality.clean_texts(docs, shared_path(spark, "verdicts"))
+    return cut.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

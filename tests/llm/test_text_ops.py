@@ -239,6 +239,21 @@ def test_first_holder_keeps_the_boilerplate(spark):
     assert lost == set(range(1, 10))
 
 
+def test_boilerplate_lines_leave_the_texts(spark, tmp_path):
+    rng = random.Random(10)
+    body = {i: " ".join(prose(rng, 60)) for i in range(130)}
+    rows = [(i, f"  HOME | Menu\n{body[i]}\n\nown line {i}\nhome | menu\n", "h") for i in range(120)]
+    rows += [(i, f"{body[i]}\nhome | menu", "other" if i % 2 else None) for i in range(120, 129)]
+    rows += [(129, "home | menu\n" * 99, "h"), (None, f"{body[129]}\nhome | menu", "h"), (200, None, "h")]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], DOCS + ", n_chars long")
+    want = {i: t for i, t, _ in rows if i not in (129, 200)}
+    want |= {i: f"{body[i]}\n\nown line {i}\n" for i in range(1, 120)}
+    got = {r["doc_id"]: r["text"] for r in quality.clean_texts(docs, str(tmp_path / "verdicts")).collect()}
+    assert got == want
+    staged = corpus_pipeline.quality_rules(spark, docs, "").collect()
+    assert {r["doc_id"]: r["text"] for r in staged} == want and all(r["n_chars"] == len(r["text"]) for r in staged)
+
+
 def test_triples_of_a_long_text_are_told_apart(spark):
     """Triples whose xxhash64 values agree in their upper 47 bits, in a text whose positions take 17 bits."""
     pairs = [(5660448, 22427805), (3517263, 15057237), (17206723, 30913130), (11561070, 24801857)]

@@ -5,7 +5,7 @@ up again. The second rule looks across documents: a line is hashed in normalised
 lower-cased), the distinct documents of one host that hold it are counted, and a line in more than ``max_docs`` of
 them is boilerplate of that host. Boilerplate lines are removed, except in the smallest doc_id of the host holding
 them, so one copy of every text stays. A document that loses so much that less than ``min_share`` of its words remain
-is rejected as depleted.
+is rejected as depleted. ``quality_rules`` gives the verdicts, ``clean_texts`` the kept documents without those lines.
 
 Hot lines and hosts: (host, line, document) triples are made distinct by partial aggregation, counted per
 (host, line) by partial aggregation, and only lines above the limit come back, to be joined to the narrow triples
@@ -76,25 +76,64 @@ def line_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     return lines.groupBy("host", "key", "doc_id").agg(F.sum("n").alias("n"))
 
 
-def depleted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-             max_docs: int = MAX_LINE_DOCS, min_share: int = MIN_SHARE_PERCENT) -> DataFrame:
-    """(doc_id, n_cut): documents left with less than ``min_share`` percent of their words, and the words they lost."""
+def line_losses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+                max_docs: int = MAX_LINE_DOCS) -> DataFrame:
+    """(doc_id, n_all, n_cut, gone) of the documents that lose lines: words in all and lost, the lost (host, key)."""
     rows = line_rows(docs, id_col, text_col, host_col)
     hot = (rows.groupBy("host", "key").agg(F.count("*").alias("docs"), F.min("doc_id").alias("holder"))
            .where(F.col("docs") > max_docs).select("host", "key", "holder"))
     flagged = rows.join(hot, ["host", "key"], "left")
+    lost = F.col("doc_id") != F.col("holder")
     per_doc = flagged.groupBy("doc_id").agg(
-        F.sum("n").alias("n_all"),
-        F.sum(F.when(F.col("doc_id") != F.col("holder"), F.col("n")).otherwise(0)).alias("n_cut"))
+        F.sum("n").alias("n_all"), F.sum(F.when(lost, F.col("n")).otherwise(0)).alias("n_cut"),
+        F.collect_list(F.when(lost, F.struct("host", "key"))).alias("gone"))
+    return per_doc.where("n_cut > 0")
+
+
+def depleted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+             max_docs: int = MAX_LINE_DOCS, min_share: int = MIN_SHARE_PERCENT) -> DataFrame:
+    """(doc_id, n_cut): documents left with less than ``min_share`` percent of their words, and the words they lost."""
+    per_doc = line_losses(docs, id_col, text_col, host_col, max_docs)
     return per_doc.where(100 * (F.col("n_all") - F.col("n_cut")) < min_share * F.col("n_all")).select("doc_id", "n_cut")
 
 
+def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+             max_docs: int = MAX_LINE_DOCS, min_share: int = MIN_SHARE_PERCENT) -> DataFrame:
+    """Base columns of every row, ``kept`` and ``gone``, the (host, key) of the lines its document loses (or null)."""
+    base = base_columns(docs, id_col, text_col)
+    out = base.join(line_losses(docs, id_col, text_col, host_col, max_docs), "doc_id", "left")
+    short = F.coalesce(100 * (F.col("n_all") - F.col("n_cut")) < min_share * F.col("n_all"), F.lit(False))
+    return out.select(*base.columns, (~F.col("base_failed") & ~short).alias("kept"), "gone")
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                   max_docs: int = MAX_LINE_DOCS, min_share: int = MIN_SHARE_PERCENT) -> DataFrame:
     """Base columns of every row and ``kept``: base rules passed and not depleted by cross-document line removal."""
-    base = base_columns(docs, id_col, text_col)
-    lost = depleted(docs, id_col, text_col, host_col, max_docs, min_share)
-    out = base.join(lost, "doc_id", "left")
-    return out.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & F.col("n_cut").isNull()).alias("kept"))
+    return verdicts(docs, id_col, text_col, host_col, max_docs, min_share).drop("gone")
+
+
+def cut_lines(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              host_col: str = "source") -> DataFrame:
+    """``docs`` without the lines of ``gone`` (doc_id, gone); texts that lose no line are unchanged."""
+    host = F.coalesce(F.col(host_col).cast("string"), F.lit(""))
+    keys = F.transform(F.filter("_gone", lambda g: g["host"] == host), lambda g: g["key"])
+    # a blank line has no key in line_rows and stays
+    stays = lambda x: (trimmed(x) == "") | ~F.array_contains("_keys", F.xxhash64(ascii_lower(trimmed(x))))
+    cut = docs.join(gone.select(F.col("doc_id").alias(id_col), F.col("gone").alias("_gone")).hint("merge"), id_col, "left")
+    cut = cut.withColumn("_keys", keys)
+    text = F.when(F.size("_keys") > 0, F.array_join(F.filter(lines_of(F.col(text_col)), stays), "\n")).otherwise(F.col(text_col))
+    return cut.withColumn(text_col, text).select(*docs.columns)
+
+
+def clean_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+                max_docs: int = MAX_LINE_DOCS, min_share: int = MIN_SHARE_PERCENT) -> DataFrame:
+    """The kept documents without their boilerplate lines. The verdicts are written to ``path`` and read from there.
+
+    Rows without doc_id pass as they are; a doc_id that repeats goes when none of its rows is to be kept.
+    """
+    found = verdicts(docs, id_col, text_col, host_col, max_docs, min_share).where("doc_id is not null")
+    found.select("doc_id", "kept", "gone").write.parquet(path)
+    per_id = docs.sparkSession.read.parquet(path).groupBy("doc_id").agg(
+        F.max("kept").alias("kept"), F.first("gone", ignorenulls=True).alias("gone"))
+    left = docs.join(per_id.where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).hint("merge"), id_col, "left_anti")
+    return cut_lines(left.select(*docs.columns), per_id.where("gone is not null"), id_col, text_col, host_col)
