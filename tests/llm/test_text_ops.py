@@ -88,6 +88,23 @@ def test_hamming_blocks_reach_every_print_within_radius(spark):
     assert pairs.where(met).count() == 300
 
 
+def test_changed_passages_are_found_whatever_their_prints(spark):
+    """Passages near the threshold, some of whose prints are more than 15 bits from the item's."""
+    rng = random.Random(3)
+    items, docs = [], []
+    for j in range(1200):
+        w = [f"{rng.choice('abcdefgh')}{rng.randrange(10 ** 6)}" for _ in range(rng.choice((40, 50, 104)))]
+        items.append((j, " ".join(w)))
+        w[0] = "changed"
+        for _ in range(len(w) // 50):
+            w[rng.randrange(len(w))] = f"new{rng.randrange(100)}"
+        docs.append((j, " ".join(w), "s"))
+    want = {(j, j) for (j, t, _), (_, q) in zip(docs, items) if leaks_brute([(j, t)], [(j, q)])}
+    schema = "item_id long, text string"
+    rows = decontaminate.find_leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, schema)).collect()
+    assert len(want) > 600 and {(r["doc_id"], r["item_id"]) for r in rows} == want
+
+
 # WARC
 
 def test_warc_round_trip_over_small_ranges(spark, tmp_path):

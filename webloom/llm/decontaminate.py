@@ -9,10 +9,11 @@ code points, and the similarity is the sum of the smaller weights over the sum o
    proposes the window that lines it up with the item. Items whose shared shingles in the document weigh less
    than ``MIN_SIMILARITY`` of the item's weight cannot reach the threshold and propose nothing.
 2. Fingerprints: 64-bit SimHash of each proposed window and of each item.
-3. Candidates: fingerprints are cut into 8 blocks of 8 bits. Two within ``RADIUS`` = 15 bits differ by at most
-   one bit in some block (8 blocks times 2 bits would be 16), so the item side lists every block with its 8
-   one-bit neighbours, the window side its 8 blocks, and an equality join on (window size, block number, value)
-   finds every pair within the radius; the exact bit count removes the rest.
+3. Candidates: fingerprints are cut into 8 blocks of 8 bits. Two within ``RADIUS`` = 23 bits differ by at most
+   two bits in some block (8 blocks times 3 bits would be 24), so the item side lists every block with its 36
+   neighbours of one or two bits, the window side its 8 blocks, and an equality join on (window size, block number,
+   value) finds every pair within the radius; the exact bit count removes the rest. A pair of similarity 0.8 or
+   more can still be further apart, see the README for how often.
 4. The exact similarity decides.
 
 Only the benchmark is broadcast, after a count of its shingles; a larger one is joined by shuffle. The groups are
@@ -37,7 +38,7 @@ from webloom.operators.common import maybe_broadcast
 SHINGLE = 5
 MIN_SIMILARITY = 0.8
 BLOCKS, BLOCK_BITS = 8, 8
-RADIUS = 15
+RADIUS = 23
 MAX_BROADCAST_ROWS = 500_000
 
 
@@ -69,12 +70,14 @@ def simhash(features: str) -> Column:
 
 
 def blocks(print_col: str, neighbours: bool) -> Column:
-    """Array of (block, value): the fingerprint's blocks, with their one-bit neighbours on demand."""
+    """Array of (block, value): the fingerprint's blocks, with their neighbours of one or two bits on demand."""
     mask = (1 << BLOCK_BITS) - 1
     out = []
     for k in range(BLOCKS):
         value = F.shiftrightunsigned(print_col, k * BLOCK_BITS).bitwiseAND(F.lit(mask)).cast("int")
-        flips = [0, *(1 << b for b in range(BLOCK_BITS))] if neighbours else [0]
+        # a bit twice is no flip, once is one bit
+        flips = sorted({(1 << a) ^ (1 << b) for a in range(BLOCK_BITS) for b in range(BLOCK_BITS)}
+                       | {1 << b for b in range(BLOCK_BITS)}) if neighbours else [0]
         out += [F.struct(F.lit(k).alias("block"), value.bitwiseXOR(F.lit(f)).alias("value")) for f in flips]
     return F.array(*out)
 
