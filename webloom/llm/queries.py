@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import decontaminate, jaccard, licenses, linededup, pieces, quality, substring, suffixdedup, toxicity, warc
+from webloom.llm import (
+    decontaminate, hardnegatives, jaccard, licenses, linededup, pieces, quality, spelling, substring, suffixdedup, toxicity,
+    vectordedup, warc)
 from webloom.llm.tables import documents
 
 
@@ -69,6 +71,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir))
 
 
+def op11_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectordedup.link_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = rows.where(F.col("label").isNotNull() & hardnegatives.usable("embedding"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    return hardnegatives.mine(rows.select("vec_id", label.alias("label"), whole.alias("vector")), F.col("id") % 100 == 0)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(documents(spark, sf_dir), plant_every=199))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_line_dedup": op2_line_dedup,
@@ -80,4 +99,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_licenses": op9_licenses,
     "op10_quality_rules": op10_quality_rules,
+    "op11_vector_dedup": op11_vector_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_spelling_variants": op13_spelling_variants,
 }

@@ -183,4 +183,80 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT depleted AS kept
 FROM base""",
+    "op11_vector_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+u AS (
+  SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+reach(vec_id, other) AS (
+  SELECT a, b FROM links UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.other = links.a),
+lowest AS (SELECT vec_id, min(other) AS low FROM reach GROUP BY vec_id),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, coalesce(low, v.vec_id)) AS component_id,
+       v.vec_id <= coalesce(low, v.vec_id) AS kept
+FROM v LEFT JOIN lowest USING (vec_id) LEFT JOIN counted ON v.vec_id = counted.a""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(CASE WHEN len(a.e) = 0 THEN 0 ELSE list_dot_product(a.e, b.e) END AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) <= 5""",
+    "op13_spelling_variants": f"""
+WITH RECURSIVE bits(byte, k, c) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL
+  SELECT byte, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY byte) AS t FROM bits WHERE k = 8),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')), {_LOWER}) AS w FROM documents),
+per_doc AS (
+  SELECT w, count(*) AS times, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)) AS x
+  FROM runs WHERE length(w) >= 6 GROUP BY doc_id, w),
+hashed AS (
+  SELECT w, times, xor(list_reduce(
+      list_transform(range(0, length(x) // 2), lambda i: CAST(('0x' || substr(x, 2 * i + 1, 2)) AS BIGINT)),
+      lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295), 4294967295) AS h
+  FROM per_doc, crc_table),
+planted AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, times
+  FROM hashed),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM planted WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+gaps AS (
+  SELECT word, n, length(word) AS size, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM words, unnest(range(1, length(word) + 1)) AS g(i)),
+near AS (
+  SELECT a.word AS word, b.word AS other FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.i = b.i AND a.size = b.size AND a.word <> b.word
+  UNION SELECT a.word, b.word FROM gaps a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM gaps a JOIN words b ON a.rest = b.word),
+forms AS (
+  SELECT near.word, count(*) AS n_near, max(o.n) AS top, arg_min(other, struct_pack(n := -o.n, w := other)) AS best
+  FROM near JOIN words o ON o.word = near.other GROUP BY near.word),
+pointed AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 5 * words.n THEN best END AS form,
+         CASE WHEN top >= 5 * words.n THEN top END AS form_n
+  FROM words LEFT JOIN forms ON words.word = forms.word),
+climb(word, step, depth) AS (
+  SELECT word, word, 0 FROM pointed
+  UNION ALL
+  SELECT climb.word, pointed.form, depth + 1 FROM climb JOIN pointed ON pointed.word = climb.step WHERE pointed.form IS NOT NULL)
+SELECT pointed.word, form, root, n, n_near, form_n
+FROM pointed JOIN (SELECT word, arg_max(step, depth) AS root FROM climb GROUP BY word) USING (word)""",
 }
