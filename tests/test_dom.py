@@ -26,7 +26,7 @@ def test_script_comment_removed_and_implied_ends(spark):
     dom = _dom(spark)
     el = {(r["page_id"], r["start"]): r for r in D.elements(dom).collect()}
     tags = [r["tag"] for k, r in sorted(el.items()) if k[0] == 1]
-    assert "script" not in tags and "style" not in tags
+    assert tags.count("script") == tags.count("style") == 1
     texts = [r["text"] for r in D.text_nodes(dom).filter("page_id = 1").orderBy("pos").collect()]
     assert "hidden" not in texts and 'var t="' not in "".join(texts)
     assert texts[0] == "T & U"  # entity decoded
@@ -157,3 +157,49 @@ def test_unset_flag_strips_faq_and_trims_the_others(spark):
                                   "kind string, strip boolean")
     got = [r["s"] for r in kinds.select(default_strip("strip", "kind").alias("s")).collect()]
     assert got == [True, False, False, False, True]
+
+
+RAW_PAGES = [
+    (1, "<html><head><title>a <b>&amp;</title><script type='x'>if (a</p>b) \"<!-- no\"</script><style></style></head>"
+        "<body><div>x<SCRIPT>s1</Script >y<textarea><p>t &lt;</textarea></div><!-- <script>gone</script> --></body></html>"),
+    (2, "<body><p>one<title-card>two</title-card><script src=a /></p><p>three"),   # a script never closed takes the rest
+    (3, "<body><style>p{}</style >z<title>open <p>to the end</title"),
+    (4, None),
+    (5, ""),
+]
+
+
+def test_raw_text_bodies_are_one_token(spark):
+    dom = D.build_dom(spark.createDataFrame(RAW_PAGES, "page_id long, html string")).cache()
+    raw = {(r["page_id"], r["text"]) for r in dom.filter("kind = 'raw'").collect()}
+    assert raw == {(1, 'if (a</p>b) "<!-- no"'), (1, "s1"), (2, "</p><p>three"), (3, "p{}")}
+    texts = {(r["page_id"], r["text"]) for r in D.text_nodes(dom).collect()}
+    assert texts == {(1, "a <b>&"), (1, "x"), (1, "y"), (1, "<p>t <"), (2, "one"), (2, "two"), (3, "z"), (3, "open <p>to the end</title")}
+    assert {r["tag"] for r in D.elements(dom).filter("page_id = 1").collect()} == {
+        "html", "head", "title", "script", "style", "body", "div", "textarea"}
+    assert not {"s1", "p{}"} & {r["text"] for r in X.body_texts(dom).collect()}
+
+
+def test_rules_see_raw_text(spark):
+    dom = D.build_dom(spark.createDataFrame(RAW_PAGES, "page_id long, html string")).cache()
+    ps = spark.createDataFrame([(1, "s"), (2, "s"), (3, "s")], "page_id long, site string")
+    rules = R.rules_df(spark, {"s": {"div": [[step("desc", "div")]], "all": [[step("desc", "script"), step("child", "text()")]],
+                                     "second": [[step("desc", "div"), step("child", "text()", pos=2)]]}})
+    strip = {(r["page_id"], r["target"], r["idx"]): r["value"] for r in R.extract(dom, ps, rules, True).collect()}
+    assert strip == {(1, "div", 0): "xs1y<p>t<", (1, "second", 0): "y", (1, "all", 0): 'if(a</p>b)"<!--no"', (1, "all", 1): "s1",
+                     (2, "all", 0): "</p><p>three"}
+    trim = {(r["page_id"], r["target"], r["idx"]): r["value"] for r in R.extract(dom, ps, rules, False).collect()}
+    assert trim[(1, "div", 0)] == "<div>x<SCRIPT>s1</Script >y<textarea><p>t &lt;</textarea></div>" and trim[(1, "all", 1)] == "s1"
+
+
+def test_markup_is_never_sorted(spark):
+    """The windows sort positions, kinds and tags; markup, attributes and text meet them in a hash join."""
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    dom = D.build_dom(pages.select("page_id", "html"))
+    dom.write.format("noop").mode("overwrite").save()
+    plan = dom._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if " Sort " in line or "- Sort" in line]
+    assert sorts and not any(c + "#" in line for line in sorts for c in ("tok", "attrs", "text", "_m", "_t"))
+    windows = [line for line in plan.splitlines() if "Window " in line]
+    assert windows and not any(c + "#" in line for line in windows for c in ("tok", "attrs", "text"))
+    assert plan.count("ShuffledHashJoin") >= 1 and "SortMergeJoin" not in plan

@@ -95,8 +95,7 @@ def decode_entities(text) -> Column:
 
 
 def clean_markup(html) -> Column:
-    """Comments, scripts and styles removed in one pass: the input of the tokenizer and
-    of page text."""
+    """Comments, scripts and styles removed in one pass: the input of links and page text."""
     return F.regexp_replace(_c(html), NON_TEXT_RE, "")
 
 

@@ -13,22 +13,35 @@ ends before the first later opener of its closing group in the same container (`
 tags: block openers; ``li``: ``li``; ``dt``/``dd``; ``tr``; ``td``/``th``; ``option``),
 before the close of its nearest matched ancestor, or at the page end, whichever is
 first. This is a documented simplification of browser error recovery; attribute
-values containing ``>`` are outside it. Comments, scripts and styles are removed
-before tokenizing (their text is never extracted).
+values containing ``>`` are outside it.
+
+Raw text. Comments are removed before tokenizing. The body of a script, style, textarea or title is one token,
+whatever it looks like, up to its own end tag or the page's end. Bodies of scripts and styles have the kind ``raw``:
+they belong to string values, markup and the ``text()`` step of a rule, but not to the text lists. Bodies of textareas
+and titles are text, with character references.
 
 Every window is partitioned by ``page_id`` first; pages are hash-partitioned on
-``page_id`` once, so all windows and the later structural joins reuse that exchange.
+``page_id`` once, so all windows and the later structural joins reuse that exchange. The windows see positions, kinds
+and tags only; markup, attributes and text join their rows by position, on the same partitioning, at the end.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from webloom.functions.text import clean_markup, decode_entities
+from webloom.functions.text import decode_entities
 
 # ---- fixed values ------------------------------------------------------------------
-TOKEN_RE = r"<[A-Za-z/!?][^>]*>|[^<]+|<"
+RAW_TEXT_TAGS = ["script", "style"]
+ESCAPABLE_TEXT_TAGS = ["textarea", "title"]
+# a start tag of these and all up to the end tag or the page's end
+_RAW_ELEMENTS = "|".join(rf"<{t}(?:[\s/][^>]*)?>.*?(?:</{t}\s*>|\z)" for t in RAW_TEXT_TAGS + ESCAPABLE_TEXT_TAGS)
+# comments outside such elements; the group keeps the elements
+COMMENT_RE = rf"(?is)<!--.*?-->|({_RAW_ELEMENTS})"
+TOKEN_RE = rf"(?is){_RAW_ELEMENTS}|<[A-Za-z/!?][^>]*>|[^<]+|<"
+RAW_START_RE = rf"(?i)^<({'|'.join(RAW_TEXT_TAGS + ESCAPABLE_TEXT_TAGS)})(?:[\s/][^>]*)?>"
+RAW_END_RE = rf"(?i)</(?:{'|'.join(RAW_TEXT_TAGS + ESCAPABLE_TEXT_TAGS)})\s*>\z"
 TAG_NAME_RE = r"^</?([A-Za-z][A-Za-z0-9:-]*)"
 # attribute name, then a double-quoted, single-quoted or unquoted value (groups 2-4)
 ATTR_RE = r"""\s([A-Za-z_:][-A-Za-z0-9_:.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+))"""
@@ -55,39 +68,57 @@ TEXT_TAG = "text()"
 _UNB = Window.unboundedPreceding
 
 
+def _pieces(match: Column) -> Column:
+    """The tokens of one match as (tok, body): an element with a raw body becomes its start tag, body and end tag.
+
+    ``body`` is the element's tag at its body, empty elsewhere.
+    """
+    start = F.regexp_extract(match, RAW_START_RE, 0)
+    end = F.regexp_extract(match, RAW_END_RE, 0)
+    inner = F.substring(match, F.length(start) + 1, F.length(match) - F.length(start) - F.length(end))
+    tag = F.lower(F.regexp_extract(match, RAW_START_RE, 1))
+    piece = lambda tok, body: F.struct(tok.alias("tok"), body.alias("body"))
+    three = F.filter(F.array(piece(start, F.lit("")), piece(inner, tag), piece(end, F.lit(""))), lambda x: x["tok"] != "")
+    return F.when(match.rlike(RAW_START_RE), three).otherwise(F.array(piece(match, F.lit(""))))
+
+
 def tokenize(pages: DataFrame, repartition: bool = True) -> DataFrame:
-    """``tokens(page_id, pos, last_pos, kind, tag, void, tok, attrs, text)``.
+    """``tokens(page_id, pos, last_pos, kind, tag, void, tok)``.
 
-    kind: open / close / text / other (doctype, processing instructions).
+    kind: open / close / text / raw (script and style bodies); declarations and instructions only count as positions.
     """
-    df = pages.select("page_id", clean_markup("html").alias("_m"))
+    df = pages.select("page_id", F.regexp_replace("html", COMMENT_RE, "$1").alias("_m"))
     if repartition:
         df = df.repartition("page_id")
-    df = df.select("page_id", F.regexp_extract_all("_m", F.lit(TOKEN_RE), 0).alias("_t"))
+    df = df.select("page_id", F.flatten(F.transform(F.regexp_extract_all("_m", F.lit(TOKEN_RE), 0), _pieces)).alias("_t"))
     df = df.select("page_id", (F.size("_t") - 1).cast("bigint").alias("last_pos"),
-                   F.posexplode_outer("_t").alias("pos", "tok")).filter(F.col("pos").isNotNull())
+                   F.posexplode_outer("_t").alias("pos", "_x")).filter(F.col("pos").isNotNull())
+    df = df.select("page_id", "last_pos", F.col("pos").cast("bigint").alias("pos"), F.col("_x.tok").alias("tok"), F.col("_x.body").alias("body"))
     tok = F.col("tok")
-    kind = (F.when(tok.startswith("</"), "close")
+    kind = (F.when(F.col("body").isin(RAW_TEXT_TAGS), "raw")
+            .when(F.col("body") != "", "text")
+            .when(tok.startswith("</"), "close")
             .when(tok.rlike(r"^<[A-Za-z]"), "open")
             .when(tok.startswith("<") & (F.length(tok) > 1), "other")
             .otherwise("text"))
-    df = df.withColumn("pos", F.col("pos").cast("bigint")).withColumn("kind", kind)
-    tag = F.when(F.col("kind") == "text", F.lit(TEXT_TAG)).otherwise(
+    df = df.withColumn("kind", kind)
+    tag = F.when(F.col("kind").isin("text", "raw"), F.lit(TEXT_TAG)).otherwise(
         F.lower(F.regexp_extract(tok, TAG_NAME_RE, 1)))
     df = df.withColumn("tag", tag)
     df = df.withColumn("void", (F.col("kind") == "open") & (
-        F.col("tag").isin(VOID_TAGS) | tok.rlike(r"/\s*>$")))
+        F.col("tag").isin(VOID_TAGS) | (tok.rlike(r"/\s*>$") & ~F.col("tag").isin(RAW_TEXT_TAGS + ESCAPABLE_TEXT_TAGS))))
+    return df.filter(F.col("kind") != "other").select("page_id", "pos", "last_pos", "kind", "tag", "void", "tok")
+
+
+def attributes(tok: Column) -> Column:
+    """(k, v) of a start tag's attributes in order; tags without "=" skip the work."""
     names = F.regexp_extract_all(tok, F.lit(ATTR_RE), 1)
     # exactly one value group takes part; the others extract as ''
     vals = F.zip_with(F.zip_with(F.regexp_extract_all(tok, F.lit(ATTR_RE), 2),
                                  F.regexp_extract_all(tok, F.lit(ATTR_RE), 3), lambda a, b: F.concat(a, b)),
                       F.regexp_extract_all(tok, F.lit(ATTR_RE), 4), lambda a, b: F.concat(a, b))
-    attrs = F.when(F.col("kind") == "open", F.zip_with(
-        names, vals, lambda k, v: F.struct(F.lower(k).alias("k"), v.alias("v"))))
-    df = df.withColumn("attrs", attrs)
-    df = df.withColumn("text", F.when(F.col("kind") == "text", decode_entities(tok)))
-    return df.filter(F.col("kind") != "other").select(
-        "page_id", "pos", "last_pos", "kind", "tag", "void", "tok", "attrs", "text")
+    pairs = F.zip_with(names, vals, lambda k, v: F.struct(F.lower(k).alias("k"), v.alias("v")))
+    return F.when(tok.contains("="), pairs).otherwise(F.array().cast("array<struct<k:string,v:string>>"))
 
 
 def attr(attrs_col, name) -> F.Column:
@@ -99,7 +130,7 @@ def attr(attrs_col, name) -> F.Column:
 
 def element_extents(tokens: DataFrame) -> DataFrame:
     """Adds ``end`` (inclusive last token position) to every open token; text, void
-    and other tokens end where they start. Close tokens are kept (markup slices)."""
+    and other tokens end where they start. Close tokens are kept (markup slices). Columns pass through."""
     kind = F.col("kind")
     paired_open = (kind == "open") & ~F.col("void")
     ptype = F.when(paired_open, "O").when(kind == "close", "C")
@@ -134,8 +165,7 @@ def element_extents(tokens: DataFrame) -> DataFrame:
            .when(unclosed, unclosed_end)
            .otherwise(F.col("pos")))
     df = df.withColumn("end", end.cast("bigint"))
-    return df.select("page_id", "pos", "last_pos", "kind", "tag", "void", "tok", "attrs", "text", "end",
-                     F.col("_mclose").alias("matched_close"))
+    return df.select(*tokens.columns, "end", F.col("_mclose").alias("matched_close"))
 
 
 def nest(ext: DataFrame) -> DataFrame:
@@ -143,7 +173,7 @@ def nest(ext: DataFrame) -> DataFrame:
     plus ``sib_pos``: 1-based position among same-tag siblings (W1)."""
     # Events are generated from each row (explode, not union) so the token lineage is
     # computed once: the row itself (ord 0), its start (+1 after it) and its end (-1).
-    # Only the ord-0 event carries the wide row; start/end events stay narrow.
+    # Only the ord-0 event carries the row; start/end events stay narrow.
     is_elem = F.col("kind") == "open"
     cols = [c for c in ext.columns if c not in ("page_id",)]
     row = F.struct(*cols)
@@ -175,14 +205,25 @@ def nest(ext: DataFrame) -> DataFrame:
     u = u.withColumn("parent", F.coalesce(F.max("_e._c").over(wk), F.lit(-1).cast("bigint")))
     u = u.filter(F.col("_e._o") == 0).select("page_id", "_e._r.*", "parent")
     ws = Window.partitionBy("page_id", "parent", "tag").orderBy("pos")
-    node = (F.col("kind") == "open") | (F.col("kind") == "text")
+    node = F.col("kind").isin("open", "text", "raw")
     u = u.withColumn("sib_pos", F.when(node, F.row_number().over(ws)).cast("bigint"))
     return u.withColumn("depth", F.col("depth").cast("bigint"))
 
 
 def build_dom(pages: DataFrame, repartition: bool = True) -> DataFrame:
-    """Token table with ``end``, ``depth``, ``parent``, ``sib_pos`` (html_elements)."""
-    return nest(element_extents(tokenize(pages, repartition)))
+    """Token table with ``end``, ``depth``, ``parent``, ``sib_pos`` (html_elements).
+
+    The structure is computed on narrow rows. The tokens meet it by position in a hash join whose build side is the
+    structure of one partition of pages; so markup is never sorted, and pages are shuffled once for both sides.
+    """
+    tokens = tokenize(pages, repartition)
+    shape = nest(element_extents(tokens.drop("tok"))).drop("last_pos", "kind", "tag", "void")
+    wide = tokens.join(shape.hint("shuffle_hash"), ["page_id", "pos"])
+    tok = F.col("tok")
+    wide = wide.withColumn("attrs", F.when(F.col("kind") == "open", attributes(tok)))
+    wide = wide.withColumn("text", F.when(F.col("kind") == "text", decode_entities(tok)).when(F.col("kind") == "raw", tok))
+    return wide.select("page_id", "pos", "last_pos", "kind", "tag", "void", "tok", "attrs", "text", "end",
+                       "matched_close", "depth", "parent", "sib_pos")
 
 
 def elements(dom: DataFrame) -> DataFrame:

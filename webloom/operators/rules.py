@@ -60,7 +60,7 @@ def rules_df(spark: SparkSession, rules: dict[str, dict[str, list[list[tuple]]]]
 
 
 def _nodes(dom: DataFrame) -> DataFrame:
-    return dom.filter(F.col("kind").isin("open", "text")).select(
+    return dom.filter(F.col("kind").isin("open", "text", "raw")).select(
         "page_id", F.col("pos").alias("start"), "end", "tag", "kind", "parent", "sib_pos", "attrs")
 
 
@@ -123,8 +123,8 @@ def values(hits: DataFrame, dom: DataFrame, strip: bool | None = None) -> DataFr
     """X2 value of every hit, both modes in one equi join and one aggregation: a hit is
     spread over its own token positions, so the work is the size of the output.
 
-    strip mode: string-value (descendant text; a text hit's own text) with spaces,
-    newlines, tabs and CRs deleted, empties kept. trim mode: element hits give their
+    strip mode: string-value (descendant text, script and style bodies included; a text hit's own text) with
+    spaces, newlines, tabs and CRs deleted, empties kept. trim mode: element hits give their
     source markup (H20), text hits their text; trimmed (H2), empties dropped.
     ``strip`` None takes each hit's own ``strip`` flag (default strip).
     """
@@ -133,11 +133,11 @@ def values(hits: DataFrame, dom: DataFrame, strip: bool | None = None) -> DataFr
     t = dom.select("page_id", F.col("pos").alias("_tp"), F.col("kind").alias("_tk"),
                    F.col("tok").alias("_tok"), F.col("text").alias("_tt"))
     j = h.withColumn("_tp", F.explode(F.sequence("start", "end"))).join(t, ["page_id", "_tp"])
-    is_text = F.col("_tk") == "text"
-    own_or_below = (F.col("_hk") == "text") | (F.col("_tp") > F.col("start"))
+    is_text = F.col("_tk").isin("text", "raw")
+    own_or_below = F.col("_hk").isin("text", "raw") | (F.col("_tp") > F.col("start"))
     sv = F.when(F.col("_strip") & is_text & own_or_below, F.struct(F.col("_tp").alias("p"), F.col("_tt").alias("s")))
     mk = F.when(~F.col("_strip"), F.struct(F.col("_tp").alias("p"),
-                                          F.when(F.col("_hk") == "text", F.col("_tt")).otherwise(F.col("_tok")).alias("s")))
+                                          F.when(F.col("_hk").isin("text", "raw"), F.col("_tt")).otherwise(F.col("_tok")).alias("s")))
     g = j.groupBy("page_id", "site", "target", "start", "_strip").agg(
         F.collect_list(sv).alias("_sv"), F.collect_list(mk).alias("_mk"))
     cat = lambda c: F.array_join(F.transform(F.array_sort(F.col(c)), lambda x: x["s"]), "")

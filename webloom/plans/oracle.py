@@ -309,19 +309,31 @@ _next_cols = ",\n  ".join(
     f"min(CASE WHEN kind = 'open' AND tag IN {_inlist(op)} THEN pos END) OVER wd AS _n_{g}"
     for g, (op, _) in _groups.items())
 
+# start tag, body and end tag of the elements whose body is one token; the patterns are the SQL's own
+_RAW_TAGS = ("script", "style", "textarea", "title")
+_RAW = "|".join(f"<{t}>.*?</{t}[[:space:]]*>|<{t}[[:space:]/][^>]*>.*?</{t}[[:space:]]*>|<{t}>.*|<{t}[[:space:]/][^>]*>.*" for t in _RAW_TAGS)
+_RAW_PARTS = f"(?is)^(<({'|'.join(_RAW_TAGS)})(?:[[:space:]/][^>]*)?>)(.*?)(</(?:{'|'.join(_RAW_TAGS)})[[:space:]]*>)?$"
+_PARTS = f"regexp_extract(m, {q(_RAW_PARTS)}, ['open', 'tag', 'body', 'close'])"
 DOM_CTE = f"""
-_m AS (SELECT page_id, regexp_extract_all({clean('html')}, {q(_D.TOKEN_RE)}, 0) AS t FROM pages),
-_t0 AS (SELECT page_id, CAST(len(t) - 1 AS BIGINT) AS last_pos, unnest(t) AS tok,
-               CAST(generate_subscripts(t, 1) - 1 AS BIGINT) AS pos FROM _m),
-_t1 AS (SELECT *, CASE WHEN starts_with(tok, '</') THEN 'close'
+_m AS (SELECT page_id, regexp_extract_all(regexp_replace(html, {q('(?is)<!--.*?-->|(' + _RAW + ')')}, '\\1', 'g'),
+                                          {q('(?is)' + _RAW + '|<[a-z/!?][^>]*>|[^<]+|<')}, 0) AS t FROM pages),
+_s AS (SELECT page_id, flatten(list_transform(t, lambda m: CASE WHEN regexp_matches(m, {q(_RAW_PARTS)})
+         THEN list_filter([{{'tok': {_PARTS}.open, 'body': ''}}, {{'tok': {_PARTS}.body, 'body': lower({_PARTS}.tag)}},
+                           {{'tok': {_PARTS}.close, 'body': ''}}], lambda x: x.tok <> '')
+         ELSE [{{'tok': m, 'body': ''}}] END)) AS t FROM _m),
+_t0 AS (SELECT page_id, last_pos, pos, x.tok AS tok, x.body AS body FROM (
+          SELECT page_id, CAST(len(t) - 1 AS BIGINT) AS last_pos, unnest(t) AS x,
+                 CAST(generate_subscripts(t, 1) - 1 AS BIGINT) AS pos FROM _s)),
+_t1 AS (SELECT *, CASE WHEN body IN ('script', 'style') THEN 'raw' WHEN body <> '' THEN 'text'
+                       WHEN starts_with(tok, '</') THEN 'close'
                        WHEN regexp_matches(tok, '^<[A-Za-z]') THEN 'open'
                        WHEN starts_with(tok, '<') AND length(tok) > 1 THEN 'other'
                        ELSE 'text' END AS kind FROM _t0),
-_t2 AS (SELECT *, CASE WHEN kind = 'text' THEN {q(_D.TEXT_TAG)}
+_t2 AS (SELECT *, CASE WHEN kind IN ('text', 'raw') THEN {q(_D.TEXT_TAG)}
                        ELSE lower(regexp_extract(tok, {q(_D.TAG_NAME_RE)}, 1)) END AS tag
         FROM _t1 WHERE kind <> 'other'),
-_t3 AS (SELECT *, (kind = 'open' AND (tag IN {_inlist(_D.VOID_TAGS)} OR regexp_matches(tok, '/\\s*>$'))) AS void,
-               CASE WHEN kind = 'text' THEN {decode('tok')} END AS text FROM _t2),
+_t3 AS (SELECT *, (kind = 'open' AND (tag IN {_inlist(_D.VOID_TAGS)} OR (regexp_matches(tok, '/\\s*>$') AND tag NOT IN {_inlist(_RAW_TAGS)}))) AS void,
+               CASE WHEN kind = 'text' THEN {decode('tok')} WHEN kind = 'raw' THEN tok END AS text FROM _t2),
 _t4 AS (SELECT *, CASE WHEN kind = 'open' AND NOT void THEN 'O' WHEN kind = 'close' THEN 'C' END AS _pt FROM _t3),
 _t5 AS (SELECT *, sum(CASE _pt WHEN 'O' THEN 1 WHEN 'C' THEN -1 ELSE 0 END)
                   OVER (PARTITION BY page_id, tag ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _run
@@ -358,7 +370,7 @@ _kd AS (SELECT page_id, pos, depth - 1 AS _k, 0 AS _o, NULL::BIGINT AS _c FROM _
 _pa AS (SELECT page_id, pos, _o, coalesce(max(_c) OVER (PARTITION BY page_id, _k ORDER BY pos, _o
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), -1) AS parent FROM _kd),
 dom AS (SELECT x.*, CAST(p.parent AS BIGINT) AS parent,
-          CAST(CASE WHEN x.kind IN ('open', 'text') THEN
+          CAST(CASE WHEN x.kind IN ('open', 'text', 'raw') THEN
              row_number() OVER (PARTITION BY x.page_id, p.parent, x.tag ORDER BY x.pos) END AS BIGINT) AS sib_pos
         FROM _dx x JOIN _pa p ON p.page_id = x.page_id AND p.pos = x.pos AND p._o = 0)
 """
@@ -429,6 +441,12 @@ _HITS = {
         JOIN _el p ON p.page_id = a.page_id AND p.parent = a.pos
         WHERE a.tag = 'article' AND p.tag = 'p' AND p.sib_pos = 1""",
     "any_ad": f"""SELECT page_id, pos AS start, "end", kind FROM _el WHERE {attr_sql('class')} = 'ad'""",
+    "head": """SELECT page_id, pos AS start, "end", kind FROM _el WHERE tag = 'head'""",
+    "script_text": """SELECT t.page_id, t.pos AS start, t."end", t.kind FROM _el s
+        JOIN _tn t ON t.page_id = s.page_id AND t.parent = s.pos WHERE s.tag = 'script'""",
+    "style_text": """SELECT DISTINCT t.page_id, t.pos AS start, t."end", t.kind FROM _el h JOIN _el s ON s.page_id = h.page_id
+        AND s.parent = h.pos JOIN _tn t ON t.page_id = s.page_id AND t.pos > s.pos AND t.pos <= s."end"
+        WHERE h.tag = 'head' AND s.tag = 'style'""",
 }
 _HITS["heading"] = f"""SELECT DISTINCT * FROM ({_HITS['headline']} UNION ALL
     SELECT page_id, pos AS start, "end", kind FROM _el WHERE tag = 'title')"""
@@ -444,7 +462,7 @@ def _rules_sql(targets, strip: bool) -> str:
   WHERE h.kind = 'open' GROUP BY h.page_id, h.target, h.start
   UNION ALL
   SELECT h.page_id, h.target, h.start, {strip_ws('t.text')} FROM hits h JOIN _tn t ON t.page_id = h.page_id AND t.pos = h.start
-  WHERE h.kind = 'text'"""
+  WHERE h.kind IN ('text', 'raw')"""
     else:
         vals = f"""
   SELECT * FROM (
@@ -453,10 +471,10 @@ def _rules_sql(targets, strip: bool) -> str:
   WHERE h.kind = 'open' GROUP BY h.page_id, h.target, h.start
   UNION ALL
   SELECT h.page_id, h.target, h.start, {py_strip('t.text')} FROM hits h JOIN _tn t ON t.page_id = h.page_id AND t.pos = h.start
-  WHERE h.kind = 'text') WHERE value <> ''"""
+  WHERE h.kind IN ('text', 'raw')) WHERE value <> ''"""
     return f"""WITH {DOM_CTE},
 _el AS (SELECT * FROM dom WHERE kind = 'open'),
-_tn AS (SELECT * FROM dom WHERE kind = 'text'),
+_tn AS (SELECT * FROM dom WHERE kind IN ('text', 'raw')),
 _bound AS (SELECT page_id FROM pages WHERE list_bool_or(list_transform(['example.com', 'example.net', 'example.org'],
              lambda d: {host('url')} = d OR ends_with({host('url')}, '.' || d)))),
 hits AS ({hits}),
@@ -471,6 +489,8 @@ SQL["rule_strip"] = _rules_sql(_MAIN, True)
 SQL["rule_trim"] = _rules_sql(_MAIN, False)
 SQL["rule_union"] = _rules_sql(["heading"], False)
 SQL["rule_or"] = _rules_sql(["ad_text", "any_ad"], True)
+SQL["rule_raw_text"] = _rules_sql(["head", "script_text", "style_text"], True)
+SQL["rule_raw_markup"] = _rules_sql(["head", "script_text", "style_text"], False)
 
 
 # ---- snapshots ------------------------------------------------------------------------
@@ -563,7 +583,7 @@ def _values_sql(hits: str, strip: bool) -> str:
   WHERE h.kind = 'open' GROUP BY h.page_id, h.site, h.target, h.start
   UNION ALL
   SELECT h.page_id, h.site, h.target, h.start, {strip_ws('t.text')} FROM ({hits}) h
-  JOIN _tn t ON t.page_id = h.page_id AND t.pos = h.start WHERE h.kind = 'text'"""
+  JOIN _tn t ON t.page_id = h.page_id AND t.pos = h.start WHERE h.kind IN ('text', 'raw')"""
     return f"""
   SELECT * FROM (
   SELECT h.page_id, h.site, h.target, h.start, {py_strip("string_agg(d.tok, '' ORDER BY d.pos)")} AS value
@@ -571,7 +591,7 @@ def _values_sql(hits: str, strip: bool) -> str:
   WHERE h.kind = 'open' GROUP BY h.page_id, h.site, h.target, h.start
   UNION ALL
   SELECT h.page_id, h.site, h.target, h.start, {py_strip('t.text')} FROM ({hits}) h
-  JOIN _tn t ON t.page_id = h.page_id AND t.pos = h.start WHERE h.kind = 'text') WHERE value <> ''"""
+  JOIN _tn t ON t.page_id = h.page_id AND t.pos = h.start WHERE h.kind IN ('text', 'raw')) WHERE value <> ''"""
 
 
 def _preset_union_sql() -> str:
@@ -584,7 +604,7 @@ def _preset_union_sql() -> str:
         types.append(f"({q(site)}, {q(typ)})")
     return f"""WITH {DOM_CTE},
 _el AS (SELECT * FROM dom WHERE kind = 'open'),
-_tn AS (SELECT * FROM dom WHERE kind = 'text'),
+_tn AS (SELECT * FROM dom WHERE kind IN ('text', 'raw')),
 bound AS ({BOUND_PAGES.replace('p.url', 'p.url')}),
 vals AS ({' UNION ALL '.join('SELECT * FROM (' + p + ')' for p in parts)}),
 types AS (SELECT * FROM (VALUES {', '.join(types)}) t(site, type))
@@ -636,7 +656,7 @@ SQL["stream_extract"] = SQL["page_text"]
 # ---- js preset: pages of a host = ordered states of one page -----------------------------
 SQL["preset_js"] = f"""WITH {DOM_CTE},
 _el AS (SELECT * FROM dom WHERE kind = 'open'),
-_tn AS (SELECT * FROM dom WHERE kind = 'text'),
+_tn AS (SELECT * FROM dom WHERE kind IN ('text', 'raw')),
 hits AS (SELECT 'headline' AS target, * FROM ({_HITS['headline']})
          UNION ALL SELECT 'nav_second' AS target, * FROM ({_HITS['nav_second']})),
 sv AS (SELECT h.page_id, h.target, h.start, {strip_ws("coalesce(string_agg(t.text, '' ORDER BY t.pos), '')")} AS value

@@ -278,6 +278,9 @@ CORPUS_RULES = {
     "lead_para": [[step("desc", "article"), step("child", "p", pos=1)]],                   # //article/p[1]
     "any_ad": [[step("desc", "*", "class", ["ad"])]],                                      # //*[@class="ad"]
     "heading": [[step("desc", "article"), step("child", "h1")], [step("desc", "title")]],  # //article/h1 | //title
+    "head": [[step("desc", "head")]],                                                      # //head
+    "script_text": [[step("desc", "script"), step("child", "text()")]],                    # //script/text()
+    "style_text": [[step("desc", "head"), step("child", "style"), step("desc", "text()")]],  # //head/style//text()
 }
 
 
@@ -316,6 +319,20 @@ def q_rule_or(spark, d):
     return _rule_query(spark, d, ["ad_text", "any_ad"], True)
 
 
+RAW_TARGETS = ["head", "script_text", "style_text"]
+
+
+@register("rule_raw_text")
+def q_rule_raw_text(spark, d):
+    """A4: the string-value of a script's parent holds the script, and text() reaches script and style bodies."""
+    return _rule_query(spark, d, RAW_TARGETS, True)
+
+
+@register("rule_raw_markup")
+def q_rule_raw_markup(spark, d):
+    return _rule_query(spark, d, RAW_TARGETS, False)
+
+
 # ---- snapshots (conversations = page states keyed by conv_id, step turn;
 #      events = measured states keyed by user_id, ordered by ts then event_id) ------------
 
