@@ -649,6 +649,18 @@ SELECT snapshot_key, max(page_id) AS page_id, arg_max(url, page_id) AS url FROM
 SQL["file_preset"] = f"""
 SELECT url, 'files/' || replace({authority('url')}, ':', '_') || '/' || {_file_inner('url', 'html')} AS save_path,
   CAST(strlen(html) AS BIGINT) AS n_bytes FROM pages WHERE ends_with(lower({path('url')}), '.html')"""
+_DOCUMENTS = f"""
+SELECT page_id, site, type, url, string_agg(DISTINCT target, ',' ORDER BY target) AS targets, count(*) AS n_values,
+       md5(string_agg(value, chr(10) ORDER BY target, idx)) AS values_md5
+FROM ({SQL['preset_union']}) GROUP BY page_id, site, type, url"""
+SQL["sink_documents"] = _DOCUMENTS
+SQL["stream_rules"] = f"SELECT page_id, site, type, url, target, idx, value FROM ({SQL['preset_union']})"
+SQL["stream_snapshots"] = f"""
+SELECT translate(url, ':/', '') || '.html' AS snapshot_key, page_id, url, md5(html) AS html_md5
+FROM pages WHERE page_id IN (SELECT page_id FROM ({SQL['preset_union']}))"""
+SQL["seen_log"] = f"""
+WITH seen AS (SELECT url FROM pages UNION SELECT regexp_replace(url, '#.*$', '') FROM pages)
+SELECT DISTINCT url FROM ({LINKS}) WHERE url NOT IN (SELECT url FROM seen)"""
 SQL["stream_dedup"] = f"SELECT DISTINCT url FROM ({LINKS})"
 SQL["stream_extract"] = SQL["page_text"]
 

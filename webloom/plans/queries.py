@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from webloom.functions import text as TX
 from webloom.functions import urls as U
+from webloom.operators import documents as DOC
 from webloom.operators import dom as D
 from webloom.operators import extract as X
 from webloom.operators import links as L
@@ -28,6 +29,8 @@ from webloom.sources import configs as C
 from webloom.sources import sinks as K
 from webloom.sources.pages import append_seen_log, read_seen_log
 from webloom.sources.pages import html_only, read_pages, read_table
+from webloom.sources.ledger import BatchLedger, SeenLog
+from webloom.streaming import incremental as INC
 from webloom.streaming import stream as ST
 
 # fixed run timestamp used in names (never the wall clock, so results are stable)
@@ -473,6 +476,8 @@ def q_preset_web(spark, d):
 
 # ---- sinks and streams: write to a fresh folder under spark.checkpoint.dir, read back -----
 
+# files of the page stream in the queries over it
+PAGE_FILES = 4
 _RECORD_SCHEMA = "page_id BIGINT, type STRING, url STRING, target STRING, idx BIGINT, value STRING, site STRING"
 
 
@@ -484,6 +489,63 @@ def q_sink_json(spark, d):
         "page_id", "site", "type", "url", "target", "idx", "value")
 
 
+def _document_digest(docs):
+    """Flat columns of (page_id, site, type, url, targets): names and values in order."""
+    names = F.array_sort(F.map_keys("_map"))
+    values = F.flatten(F.transform(names, lambda k: F.col("_map")[k]))
+    return docs.withColumnRenamed("targets", "_map").select("page_id", "site", "type", "url", F.array_join(names, ",").alias("targets"),
+                       F.size(values).cast("bigint").alias("n_values"), F.md5(F.array_join(values, "\n")).alias("values_md5"))
+
+
+@register("sink_documents")
+def q_sink_documents(spark, d):
+    """S5 + X3-X5: one JSON document per kept page, written with a manifest, read back and parsed."""
+    path = scratch_path(spark, "documents")
+    K.write_documents(DOC.documents(q_preset_union(spark, d)).withColumn("run_ts", F.lit("20240102_0304")), path, ["site", "run_ts"])
+    return _document_digest(K.read_documents(spark, path, ["site", "run_ts"]))
+
+
+@register("stream_rules")
+def q_stream_rules(spark, d):
+    """The pages arrive in several files, each a micro-batch; documents of the committed batches in long form."""
+    source = scratch_path(spark, "stream-pages")
+    read_pages(spark, d).repartitionByRange(PAGE_FILES, "page_id").write.parquet(source)
+    query, run = INC.start(spark, source, scratch_path(spark, "stream-rules"), scratch_path(spark, "stream-rules-ckpt"),
+                           corpus_sites(spark), _site_rules(spark), files_per_trigger=2)
+    query.awaitTermination()
+    rows = run.documents().select("page_id", "site", "type", "url", F.explode("targets").alias("target", "v"))
+    rows = rows.select("page_id", "site", "type", "url", "target", F.posexplode("v").alias("idx", "value"))
+    return rows.withColumn("idx", F.col("idx").cast("bigint"))
+
+
+@register("stream_snapshots")
+def q_stream_snapshots(spark, d):
+    """T2 + S6: the html that the stream keeps: pages with a document, under their flattened URL."""
+    source = scratch_path(spark, "stream-pages")
+    read_pages(spark, d).repartitionByRange(PAGE_FILES, "page_id").write.parquet(source)
+    query, run = INC.start(spark, source, scratch_path(spark, "stream-snapshots"), scratch_path(spark, "stream-snapshots-ckpt"),
+                           corpus_sites(spark), _site_rules(spark), files_per_trigger=PAGE_FILES)
+    query.awaitTermination()
+    return run.snapshots().select("snapshot_key", "page_id", "url", F.md5("html").alias("html_md5"))
+
+
+@register("seen_log")
+def q_seen_log(spark, d):
+    """J3 + S11: batches of URLs logged by hash bucket, merged, and the URLs of a later run that none of them had."""
+    path = scratch_path(spark, "seen-log")
+    ledger = BatchLedger(spark, f"{path}/ledger")
+    log = SeenLog(spark, f"{path}/seen", ledger)
+    p = read_pages(spark, d).select("url")
+    log.write(0, p)
+    ledger.commit(0, {"seen": (0, "0")})
+    log.compact()
+    log.write(1, p.select(F.regexp_replace("url", "#.*$", "").alias("url")))
+    ledger.commit(1, {"seen": (0, "0")})
+    log.write(2, _links(spark, d))  # no entry: a batch that died does not count
+    cand = p.unionByName(_links(spark, d).select("url")).distinct()
+    return log.unseen(cand)
+
+
 @register("sink_urls")
 def q_sink_urls(spark, d):
     path = scratch_path(spark, "urls")

@@ -7,11 +7,13 @@ distributed (one file per task); nothing is funnelled through one task.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.functions import urls as U
+from webloom.operators.documents import json_text, parse
 from webloom.operators.naming import html_save_names, latest_per_key
+from webloom.sources.ledger import digest
 
 FILES_PER_DOMAIN = 8
 
@@ -25,11 +27,59 @@ def write_records_json(records: DataFrame, path: str, partition_by: list[str] |
     w.json(path)
 
 
-def write_snapshots(pages: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """Raw HTML of kept pages keyed by the flattened URL; a later write of a key
-    replaces the earlier one (W7 latest-per-key, then overwrite)."""
-    keyed = pages.select(U.snapshot_key("url").alias("snapshot_key"), *pages.columns)
-    latest_per_key(keyed, ["snapshot_key"], order or ["page_id"]).write.mode("overwrite").parquet(path)
+def write_documents(docs: DataFrame, path: str, partition_by: list[str], columns: list[str] | None = None) -> int:
+    """One JSON document per kept page (``operators.documents``), as lines of text files partitioned by site and run.
+
+    A manifest of every file's rows and digest stands beside them in ``_manifest``. It is taken from the files read back
+    as text, without parsing JSON, and its total must be what the job has written. Returns the number of documents.
+    """
+    spark = docs.sparkSession
+    lines = docs.select(json_text(columns).alias("value"), *partition_by)
+    wrote = Observation()
+    lines.observe(wrote, *digest("value")).write.mode("overwrite").partitionBy(*partition_by).text(path)
+    file_digests(spark, path).coalesce(1).write.mode("overwrite").parquet(f"{path}/_manifest")
+    total = read_manifest(spark, path).agg(F.coalesce(F.sum("n_rows"), F.lit(0)), F.coalesce(
+        F.sum(F.col("digest").cast("decimal(38,0)")), F.lit(0)).cast("string")).first()
+    if tuple(total) != (wrote.get["n_rows"], wrote.get["digest"]):
+        raise IOError(f"{path}: wrote {wrote.get}, read back {tuple(total)}")
+    return total[0]
+
+
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, n_rows, digest)`` of the text files below ``path``; file names are relative to it."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    name = F.regexp_extract("file", r"((?:[^/]+=[^/]+/)*[^/]+)$", 1)
+    return lines.groupBy(name.alias("file")).agg(*digest("value"))
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("file STRING, n_rows BIGINT, digest STRING").parquet(f"{path}/_manifest")
+
+
+def damaged_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, n_rows, found_rows)`` of files that are missing, new or changed since the manifest was written."""
+    there = file_digests(spark, path).select("file", F.col("n_rows").alias("found_rows"), F.col("digest").alias("found"))
+    both = read_manifest(spark, path).join(there, "file", "full_outer")
+    return both.where(~F.col("digest").eqNullSafe(F.col("found"))).select("file", "n_rows", "found_rows")
+
+
+def read_documents(spark: SparkSession, path: str, partition_by: list[str]) -> DataFrame:
+    """``(page_id, type, url, targets)`` and the partition columns."""
+    schema = "value STRING, " + ", ".join(f"{c} STRING" for c in partition_by)
+    return parse(spark.read.schema(schema).text(path))
+
+
+def write_snapshots(pages: DataFrame, path: str, kept: DataFrame | None = None) -> None:
+    """Raw HTML of kept pages keyed by the flattened URL; a later page of a key replaces the earlier one.
+
+    ``kept`` has the page_id of the pages with a record; without it all pages are. Ids and keys alone are compared; html
+    meets the rows that stay in one join on the page_id.
+    """
+    narrow = pages.select(U.snapshot_key("url").alias("snapshot_key"), "page_id")
+    if kept is not None:
+        narrow = narrow.join(kept.select("page_id").distinct(), "page_id", "left_semi")
+    last = latest_per_key(narrow, ["snapshot_key"], ["page_id"])
+    pages.join(last, "page_id").select("snapshot_key", *pages.columns).write.mode("overwrite").parquet(path)
 
 
 def write_html(pages: DataFrame, path: str, ts) -> None:
