@@ -71,15 +71,16 @@ def simhash(features: str) -> Column:
 
 def blocks(print_col: str, neighbours: bool) -> Column:
     """Array of (block, value): the fingerprint's blocks, with their neighbours of one or two bits on demand."""
-    mask = (1 << BLOCK_BITS) - 1
-    out = []
-    for k in range(BLOCKS):
-        value = F.shiftrightunsigned(print_col, k * BLOCK_BITS).bitwiseAND(F.lit(mask)).cast("int")
-        # a bit twice is no flip, once is one bit
-        flips = sorted({(1 << a) ^ (1 << b) for a in range(BLOCK_BITS) for b in range(BLOCK_BITS)}
-                       | {1 << b for b in range(BLOCK_BITS)}) if neighbours else [0]
-        out += [F.struct(F.lit(k).alias("block"), value.bitwiseXOR(F.lit(f)).alias("value")) for f in flips]
-    return F.array(*out)
+    # a bit twice is no flip, once is one bit; the masks are one literal array, not a struct each
+    flips = sorted({(1 << a) ^ (1 << b) for a in range(BLOCK_BITS) for b in range(BLOCK_BITS)}
+                   | {1 << b for b in range(BLOCK_BITS)}) if neighbours else [0]
+    masks = F.expr(f"array({', '.join(map(str, flips))})")
+
+    def block(k: Column) -> Column:
+        value = F.call_function("shiftrightunsigned", F.col(print_col), k * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
+        return F.transform(masks, lambda f: F.struct(k.alias("block"), value.cast("int").bitwiseXOR(f).alias("value")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(BLOCKS - 1)), block))
 
 
 def items_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -128,10 +129,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     windows = spark.read.parquet(f"{path}/windows")
     index = items.select("item_id", "size", simhash("features").alias("item_print"))
     index = index.select("item_id", "size", "item_print", F.explode(blocks("item_print", True)).alias("b"))
-    index = index.select("item_id", "size", "item_print", "b.block", "b.value")
+    index.select("item_id", "size", "item_print", "b.block", "b.value").write.parquet(f"{path}/index")
+    index = spark.read.parquet(f"{path}/index")
     probes = windows.select("doc_id", "size", "start", "print", F.explode(blocks("print", False)).alias("b"))
     probes = probes.select("doc_id", "size", "start", "print", "b.block", "b.value")
-    near = probes.join(maybe_broadcast(index, MAX_BROADCAST_ROWS), ["size", "block", "value"])
+    # the candidates are few: merge joins spare the driver a relation of each side
+    near = probes.join(index.hint("merge"), ["size", "block", "value"])
     near = near.where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
     near = near.select("doc_id", "size", "start", "item_id").distinct()
     parts = windows.select("doc_id", "size", "start", "n", F.explode_outer("features").alias("f"))
@@ -141,10 +144,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     item_parts = items.select("item_id", "weight", F.explode("features").alias("f"))
     item_parts = item_parts.groupBy("item_id", "weight", F.col("f.h").alias("h")).agg(F.count("*").alias("item_times"))
     key = ["doc_id", "size", "start"]
-    both = parts.join(near, key).join(maybe_broadcast(item_parts, MAX_BROADCAST_ROWS), ["item_id", "h"])
+    both = parts.join(near.hint("merge"), key).join(item_parts.hint("merge"), ["item_id", "h"])
     both = both.groupBy(*key, "n", "item_id", "weight").agg(
         F.sum(F.col("wt") * F.least("times", "item_times")).alias("common"))
-    both = both.join(whole, key)
+    both = both.join(whole.hint("merge"), key)
     both = both.withColumn("similarity", F.col("common").cast("double") / (F.col("all") + F.col("weight") - F.col("common")))
     best = both.where(F.col("similarity") >= MIN_SIMILARITY).groupBy("doc_id", "item_id").agg(
         F.max(F.struct("similarity", -F.col("start"), "n")).alias("best"))

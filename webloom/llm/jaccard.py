@@ -228,6 +228,7 @@ def verified(pairs: DataFrame, texts: DataFrame, shared, path: str, n: int, perc
     both = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc")))
     picked = spark.sparkContext.broadcast(wanted(both))
     fragments(texts, shared, picked, n).write.parquet(f"{path}-fragments", compression="zstd")
+    picked.destroy()
     parts = spark.read.parquet(f"{path}-fragments")
     right = parts.select(F.col("doc").alias("b"), "fragment", F.col("grams").alias("grams_b"))
     left = parts.select(F.col("doc").alias("a"), "fragment", F.col("grams").alias("grams_a"))
@@ -291,6 +292,7 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, id_c
                     & _bound(percent)
                     & (_unequal_cells("cells_a", "cells_b") <= F.col("n_a") + F.col("n_b") - 2 * _needed("n_a", "n_b", percent)))
     rest = verified(met.select("a", "n_a", "b", "n_b").distinct(), texts, shared, f"{path}/rest", n, percent)
+    shared.destroy()  # every table that needed the counters is written
     final = components(after.unionByName(rest))
 
     found = classes.join(final.select(F.col("u").alias("rep"), F.col("v").alias("comp")), "rep", "left")
