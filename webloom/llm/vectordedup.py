@@ -6,10 +6,10 @@ represented by its smallest id; the others of the class are linked with it and w
 1. Start. Vectors are sorted by the signs of random projections, and runs of ``CHUNK`` neighbours in that order are
    compared; ``TREES`` such orders give every vector its first list of ``K`` neighbours. Runs are cut by position, so a
    large group of near copies fills many runs instead of one bucket.
-2. Refinement. Every vector sends itself to ``SAMPLE`` vectors of its list and to as many of those that list it, new
-   entries first; what meets at a vector (its neighbours and their neighbours) is compared, and the best finds go back to the
-   lists. Hubs receive the rows of a rank limit per vector, which Spark applies before the shuffle. Rounds end when
-   fewer than ``MIN_CHANGE`` of all entries are new; what a round leaves is written to the shared folder.
+2. Refinement. At every vector ``SAMPLE`` vectors of its list meet as many of those that list it, new entries first, with
+   their own lists. Pairs there (neighbours and their neighbours) that do not list each other are compared, and the best
+   finds go back to the lists. Who meets at a hub is limited by rank, which Spark applies before the shuffle. Rounds end
+   when fewer than ``MIN_CHANGE`` of all entries are new; what a round leaves is written to the shared folder.
 3. Threshold edges are the list entries whose cosine, computed again in double precision, reaches the threshold. Their
    components are found by star contraction.
 4. Enlarged lists. A list is saturated when all its K entries reach the threshold: there may be more. Every component with
@@ -42,9 +42,9 @@ from webloom.llm.hardnegatives import usable
 from webloom.llm.tables import shared_path
 
 MIN_COSINE = 0.9
-K, SAMPLE, PER_MEETING = 16, 8, 4
-TREES, CHUNK = 4, 128
-MIN_CHANGE, MAX_ROUNDS = 0.002, 12
+K, SAMPLE, PER_MEETING = 16, 8, 6
+TREES, CHUNK = 8, 128
+MIN_CHANGE, MAX_ROUNDS = 0.05, 12
 PIVOT_MEMBERS, TILE = 4096, 1024
 AUDIT, MIN_RECALL, ATTEMPTS = 512, 0.95, 3
 _LIST = "id long, x binary, nb array<bigint>, sim array<float>, fresh array<boolean>"
@@ -135,7 +135,7 @@ def _merge(k: int):
 
 
 def _meetings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (at, id, x, worst, fresh), sorted by at, to the best finds (id, ids, sims) of everyone who meets there."""
+    """Rows (at, id, x, nb, worst, fresh), sorted by at, to the best finds (id, ids, sims) of everyone who meets there."""
     rest = None
     for frame in frames:
         frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
@@ -156,6 +156,11 @@ def _meet(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
     sizes = np.diff(np.r_[starts, len(at)])
     ids, worst, fresh = frame["id"].to_numpy(), frame["worst"].to_numpy(dtype=np.float32), frame["fresh"].to_numpy(dtype=bool)
     x = frame["x"].to_numpy()
+    width = int(frame["nb"].map(len).max())
+    known = np.empty((len(frame), width), dtype=np.int64)  # short lists are filled up with the vector itself
+    for i, nb in enumerate(frame["nb"]):
+        known[i, :len(nb)] = nb
+        known[i, len(nb):] = ids[i]
     for n in np.unique(sizes[sizes > 1]):
         of_size = starts[sizes == n]
         step = max(1, 200_000 // (n * n))
@@ -165,8 +170,10 @@ def _meet(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
             sims = v @ v.transpose(0, 2, 1)
             who = ids[at_]
             new = fresh[at_]
-            # a pair of old entries has met before
+            # a pair of old entries has met before; who is listed already is no find
             useful = (new[:, :, None] | new[:, None, :]) & (sims > worst[at_][:, :, None]) & (who[:, :, None] != who[:, None, :])
+            for j in range(width):
+                useful &= known[at_, j][:, :, None] != who[:, None, :]
             sims = np.where(useful, sims, -2).reshape(-1, n)
             best = _best_in(sims, PER_MEETING)
             values = np.take_along_axis(sims, best, 1)
@@ -212,7 +219,7 @@ def neighbour_graph(vectors: DataFrame, path: str, k: int = K) -> DataFrame:
                 .unionByName(lists.select("id", F.col("id").alias("at"), F.lit(False).alias("fresh")))
                 .groupBy("id", "at").agg(F.max("fresh").alias("fresh")))
         worst = F.when(F.size("nb") < k, F.lit(-2.0).cast("float")).otherwise(F.get("sim", F.lit(k - 1)))
-        sent = goes.join(lists.select("id", "x", worst.alias("worst")).hint("merge"), "id").select("at", "id", "x", "worst", "fresh")
+        sent = goes.join(lists.select("id", "x", "nb", worst.alias("worst")).hint("merge"), "id").select("at", "id", "x", "nb", "worst", "fresh")
         finds = sent.repartition("at").sortWithinPartitions("at").mapInPandas(_meetings, "id long, ids array<bigint>, sims array<float>")
         # what took part is old from now on
         used = F.transform(F.filter(F.slice(F.array_sort(entry), 1, SAMPLE), lambda e: ~e["old"]), lambda e: e["nb"])
