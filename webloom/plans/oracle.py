@@ -220,6 +220,13 @@ SELECT b.page_id, b.site FROM ({BOUND_PAGES}) b JOIN ({CORPUS_SITES_SQL}) s USIN
 WHERE s.fragments IS NULL OR list_bool_or(list_transform(s.fragments, lambda f: contains(b.url, f)))
 """
 
+SQL["fragment_join"] = SQL["fragment_semi"]
+
+SQL["fragment_pairs"] = f"""
+WITH u AS (SELECT url FROM ({LINKS}) UNION SELECT url FROM pages),
+f AS (SELECT DISTINCT unnest(list_append(string_split({path('url')}, '/'), {query('url')})) AS fragment FROM pages)
+SELECT url, fragment FROM u JOIN f ON contains(url, fragment) WHERE fragment <> ''"""
+
 SQL["extension_filter"] = f"SELECT page_id, url FROM pages WHERE ends_with(lower({path('url')}), '.html')"
 
 SQL["seen_anti"] = f"""

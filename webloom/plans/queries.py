@@ -17,6 +17,7 @@ from webloom.functions import urls as U
 from webloom.operators import documents as DOC
 from webloom.operators import dom as D
 from webloom.operators import extract as X
+from webloom.operators import fragments as FR
 from webloom.operators import links as L
 from webloom.operators import naming as N
 from webloom.operators import rules as R
@@ -131,6 +132,28 @@ def q_fragment_semi(spark, d):
     return L.fragment_filter(bound, sites).select("page_id", "site")
 
 
+def _url_fragments(spark, d):
+    """Every path segment and query of the corpus' URLs, as a fragment table."""
+    p = read_pages(spark, d).select("url")
+    parts = F.concat(F.split(U.url_path("url"), "/"), F.array(U.url_query("url")))
+    return p.select(F.explode(parts).alias("fragment")).where("fragment != ''").distinct()
+
+
+@register("fragment_pairs")
+def q_fragment_pairs(spark, d):
+    """J2 at scale: which fragments each link and page URL contains."""
+    urls = _links(spark, d).select("url").unionByName(read_pages(spark, d).select("url"))
+    return FR.substring_pairs(urls, _url_fragments(spark, d))
+
+
+@register("fragment_join")
+def q_fragment_join(spark, d):
+    """F4 by the substring join instead of a test inside the row."""
+    sites = corpus_sites(spark).select("site", "allowed_domains", "fragments")
+    pages = read_pages(spark, d).select("page_id", "url")
+    return FR.fragment_join(L.bind_sites(pages, sites), sites).select("page_id", "site")
+
+
 @register("extension_filter")
 def q_extension_filter(spark, d):
     p = read_pages(spark, d).select("page_id", "url")
