@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from webloom.functions import urls as U
 from webloom.plans import presets as P
 from webloom.sources import sinks as K
 from webloom.sources.pages import html_only, read_html_files
@@ -21,11 +22,25 @@ def test_binary_files_bytes_unchanged(spark, tmp_path):
     (tmp_path / "f.pdf").write_bytes(data)
     files = K.read_binary_files(spark, str(tmp_path), "*.pdf")
     out = str(tmp_path / "out")
-    K.write_files(files, out, "pdf", "files")
+    K.write_files(files.withColumn("save_path", U.file_save_path("files", "url", "pdf")), out)
     back = spark.read.parquet(out).first()
     assert bytes(back["content"]) == data and back["save_path"].endswith("f.pdf")
 
 
+def test_file_preset_takes_the_bytes_of_linked_files_only(spark, tmp_path):
+    store = str(tmp_path / "store")
+    names = ["http://s.com/a.PDF?x=1", "http://s.com/not-linked.pdf", "http://s.com/p.html", "http://s.com/" + "é" * 3 + ".pdf"]
+    texts = spark.createDataFrame([(u, f"bytes of {u}") for u in names], "url string, text string").withColumn("url", U.safe_url("url"))
+    K.store_texts(texts, store)
+    html = '<html><body><a href="/a.PDF?x=1">1</a><a href="/a.PDF?x=1">2</a><a href="/p.html">3</a><a href="/ééé.pdf">4</a><a href="/gone.pdf">5</a></body></html>'
+    pages = spark.createDataFrame([(1, "http://s.com/", html), (2, "http://s.com/2", html)], "page_id long, url string, html string")
+    got = {r["url"]: (r["save_path"], bytes(r["content"]).decode(), r["n_bytes"]) for r in P.files(pages, store, "pdf", None, "f", "*.txt").collect()}
+    assert set(got) == {"http://s.com/a.PDF?x=1", "http://s.com/%C3%A9%C3%A9%C3%A9.pdf"}
+    path, text, size = got["http://s.com/a.PDF?x=1"]
+    assert text == "bytes of http://s.com/a.PDF?x=1\n" and size == len(text) and path.startswith("f/s.com/")
+    assert P.files(pages, store, "zip", None, "f").count() == 0
+
+
 def test_file_links_deny_list_keeps_own_extension(spark):
     html = ('<html><body><a href="/d/r.PDF?x=1">a</a><a href="/i.png">b</a><a href="/p.html">c</a>'
             '<a href="/z.zip">d</a></body></html>')

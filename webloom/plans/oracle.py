@@ -654,8 +654,9 @@ SQL["sink_snapshot"] = """
 SELECT snapshot_key, max(page_id) AS page_id, arg_max(url, page_id) AS url FROM (
   SELECT translate(url, ':/', '') || '.html' AS snapshot_key, page_id, url FROM pages) GROUP BY snapshot_key"""
 SQL["file_preset"] = f"""
-SELECT url, 'files/' || replace({authority('url')}, ':', '_') || '/' || {_file_inner('url', 'html')} AS save_path,
-  CAST(strlen(html) AS BIGINT) AS n_bytes FROM pages WHERE ends_with(lower({path('url')}), '.html')"""
+SELECT DISTINCT url, 'files/' || replace({authority('url')}, ':', '_') || '/' || {_file_inner('url', 'html')} AS save_path,
+  CAST(strlen(html) + 1 AS BIGINT) AS n_bytes, md5(html || chr(10)) AS content_md5
+FROM (SELECT {safe_url('url')} AS url, html FROM ({HTML_PAGES})) WHERE ends_with(lower({path('url')}), '.html')"""
 _DOCUMENTS = f"""
 SELECT page_id, site, type, url, string_agg(DISTINCT target, ',' ORDER BY target) AS targets, count(*) AS n_values,
        md5(string_agg(value, chr(10) ORDER BY target, idx)) AS values_md5

@@ -18,6 +18,7 @@ from webloom.operators import naming as N
 from webloom.operators import rules as R
 from webloom.operators import summary as SM
 from webloom.operators.common import cut_lineage
+from webloom.sources import sinks as K
 from webloom.sources.pages import html_only
 
 
@@ -84,6 +85,12 @@ def file_links(pages: DataFrame, ext: str, denied: list[str] | None, base_dir: s
         "page_id", "url", U.file_save_path(base_dir, "url", ext).alias("save_path"))
 
 
+def files(pages: DataFrame, store: str, ext: str, denied: list[str] | None, base_dir: str, glob: str | None = None) -> DataFrame:
+    """X9 as one job: the matching links of all pages, each file once, with its bytes from ``store`` (S10) and its save path."""
+    links = file_links(pages, ext, denied, base_dir).select("url", "save_path").distinct()
+    return K.fetch(links, store, glob)
+
+
 def url_scan(pages: DataFrame) -> DataFrame:
     """Every discovered URL once, sorted."""
     return L.url_scan(L.extract_links(html_only(pages)))

@@ -606,13 +606,27 @@ def q_sink_snapshot(spark, d):
     return spark.read.parquet(path).select("snapshot_key", "page_id", "url")
 
 
+def listing_pages(pages: DataFrame, per_page: int = 100) -> DataFrame:
+    """Pages that link to the corpus: for every host and range of ids, one page with a link to each of its pages."""
+    link = F.concat(F.lit('<a href="'), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit('">page</a>'))
+    rows = pages.where("url is not null").select(
+        "page_id", U.authority("url").alias("host"), F.floor(F.col("page_id") / per_page).alias("part"), link.alias("link"))
+    body = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_id", "link"))), lambda x: x["link"]), "\n")
+    rows = rows.groupBy("host", "part").agg(F.min("page_id").alias("page_id"), body.alias("body"))
+    return rows.select("page_id", F.concat(F.lit("http://"), "host", F.lit("/list/"), "part").alias("url"),
+                       F.concat(F.lit("<html><body>"), "body", F.lit("</body></html>")).alias("html"))
+
+
 @register("file_preset")
 def q_file_preset(spark, d):
-    path = scratch_path(spark, "files")
-    p = read_pages(spark, d)
-    files = p.filter(U.has_extension("url", "html")).select("url", F.encode("html", "UTF-8").alias("content"))
-    K.write_files(files, path, "html", "files")
-    return spark.read.parquet(path).select("url", "save_path", F.octet_length("content").cast("bigint").alias("n_bytes"))
+    """X9 + S10 + U2: the corpus as files; links to it, of which those with the preset's extension stay although the deny
+    list names it; their files read as binary and written under their save paths."""
+    store, out = scratch_path(spark, "store"), scratch_path(spark, "files")
+    p = html_only(read_pages(spark, d))
+    K.store_texts(p.select(U.safe_url("url").alias("url"), F.col("html").alias("text")), store)
+    K.write_files(P.files(listing_pages(p), store, "html", U.DEFAULT_DENIED_EXTENSIONS + ["html"], "files", "*.txt"), out)
+    return spark.read.parquet(out).select("url", "save_path", F.octet_length("content").cast("bigint").alias("n_bytes"),
+                                          F.md5("content").alias("content_md5"))
 
 
 @register("stream_dedup")

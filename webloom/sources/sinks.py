@@ -115,17 +115,41 @@ def archive(records: DataFrame, base_uri: str, job: str, ts) -> tuple[str, int]:
 
 
 def read_binary_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """S10 source: files as ``(url, content)`` rows (bytes unchanged)."""
+    """S10 source: files as ``(url, n_bytes, content)`` rows (bytes unchanged); url is the file's path. Folders named
+    ``column=value`` add that column."""
     r = spark.read.format("binaryFile")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(path).select(F.col("path").alias("url"), "content")
+    files = r.load(path)
+    return files.select(F.col("path").alias("url"), F.col("length").alias("n_bytes"), "content",
+                        *[c for c in files.columns if c not in ("path", "modificationTime", "length", "content")])
 
 
-def write_files(files: DataFrame, path: str, ext: str, base_dir: str = "files") -> None:
-    """Matching files with their save path, bytes unchanged, by domain dir."""
-    out = files.select("url", U.domain_dir("url").alias("domain_dir"),
-                       U.file_save_path(base_dir, "url", ext).alias("save_path"), "content")
+def file_name(url) -> F.Column:
+    """The folder of a stored file: a digest of its URL, so any URL makes a valid name of bounded length."""
+    return F.md5(F.encode(url, "UTF-8"))
+
+
+def store_texts(texts: DataFrame, path: str) -> None:
+    """``(url, text)`` as one UTF-8 file per URL, ended by a newline, in the folder ``name=<file_name(url)>``."""
+    named = texts.select(file_name("url").alias("name"), "text")
+    named.repartition("name").write.mode("append").partitionBy("name").text(path)
+
+
+def fetch(links: DataFrame, path: str, glob: str | None = None) -> DataFrame:
+    """The stored files that ``links`` (url, ...) point to, with their bytes; links without a file are left out.
+
+    The links are few columns wide and name their file, so the bytes meet them in one join on the name.
+    """
+    files = read_binary_files(links.sparkSession, path, glob).drop("url")
+    return links.withColumn("name", file_name("url")).join(files, "name").drop("name")
+
+
+def write_files(files: DataFrame, path: str) -> None:
+    """``(url, save_path, content)``, bytes unchanged, by domain dir; a domain's folder gets a bounded number of
+    files and a large domain several tasks."""
+    out = files.select("url", U.domain_dir("url").alias("domain_dir"), "save_path", "content")
+    out = out.repartition("domain_dir", F.pmod(F.xxhash64("url"), F.lit(FILES_PER_DOMAIN)))
     out.write.mode("append").partitionBy("domain_dir").parquet(path)
 
 
