@@ -67,13 +67,57 @@ def test_fragment_three_way(spark):
     assert f(F.array(F.lit("/shop/"), F.lit("/faq/"))) is True
 
 
+def versions_brute(names):
+    """Further rows in the order of (where they may start, row) take the next number of their base that is free."""
+    import re
+    part = re.compile(r"^(.+)-([0-9]+)([.]\w+)?$")
+    split = lambda n: (m[1], int(m[2]), m[3] or "") if (m := part.match(n)) else (n, None, "")
+    out, seen, further, taken = {}, set(), [], {}
+    for i, n in names:
+        base, ver, ext = split(n)
+        if ver is not None:
+            taken.setdefault((base, ext), set()).add(ver)
+        if n in seen:
+            further.append((2 if ver is None else ver + 1, i, n))
+        else:
+            seen.add(n)
+            out[i] = n
+    for at, i, n in sorted(further):
+        base, ver, ext = split(n)
+        used = taken.setdefault((base, ext), set())
+        while at in used:
+            at += 1
+        used.add(at)
+        out[i] = f"{n}-{at}" if ver is None else f"{base}-{at}{ext}"
+    return out
+
+
 def test_versioned_names(spark):
-    df = spark.createDataFrame([(1, "x"), (2, "x"), (3, "x"), (4, "x-2"), (5, "x-2"), (6, "x-9.html"),
-                                (7, "x-9.html")], "id long, name string")
+    rows = list(enumerate(["x", "x", "x", "x-2", "x-2", "x-9.html", "x-9.html", "y", "y", "y-2", "y-2", "y-3", "x-2-2", "x-2-2"], 1))
+    got = {r["id"]: r["v"] for r in version_names(spark.createDataFrame(rows, "id long, name string"), "name", ["id"], out="v").collect()}
+    # a name that a row brings along stays its own; further rows take the numbers that are free
+    assert got == {1: "x", 2: "x-3", 3: "x-4", 4: "x-2", 5: "x-5", 6: "x-9.html", 7: "x-10.html",
+                   8: "y", 9: "y-4", 10: "y-2", 11: "y-5", 12: "y-3", 13: "x-2-2", 14: "x-2-3"}
+    assert got == versions_brute(rows)
+
+
+def test_versioned_names_equal_brute_force_and_split_a_hot_base(spark):
+    import random
+    rng = random.Random(6)
+    names = ["n"] * 150 + [rng.choice(["n", "n-2", "n-3", "n-7", "n-05", "m.html", "m-1.html", "m-2.html", "k-1"]) for _ in range(250)]
+    rng.shuffle(names)
+    rows = list(enumerate(names))
+    df = spark.createDataFrame(rows, "id long, name string").repartition(7)
     got = {r["id"]: r["v"] for r in version_names(df, "name", ["id"], out="v").collect()}
-    # rows 4 and 5 bring a name that row 2 has taken: they count on, as a file that exists would make them
-    assert got == {1: "x", 2: "x-2", 3: "x-3", 4: "x-4", 5: "x-5", 6: "x-9.html", 7: "x-10.html"}
-    assert len(set(got.values())) == len(got)
+    assert got == versions_brute(rows) and len(set(got.values())) == len(rows)
+    grouped = spark.createDataFrame([(i, f"g{i % 3}", n) for i, n in rows], "id long, g string, name string")
+    got = {r["id"]: r["v"] for r in version_names(grouped, "name", ["id"], ["g"], "v").collect()}
+    for k in range(3):
+        assert {i: v for i, v in got.items() if i % 3 == k} == versions_brute([(i, n) for i, n in rows if i % 3 == k])
+
+
+def test_versioned_names_of_nothing(spark):
+    assert version_names(spark.createDataFrame([], "id long, name string"), "name", ["id"]).collect() == []
 
 
 def test_url_find_long_match(spark):
