@@ -163,3 +163,38 @@ def test_link_frontier_respects_domains_fragments_and_seen(spark):
 def test_checkpoint_folder_is_set_without_touching_the_session_conf(spark):
     from webloom.session import checkpoint_dir
     assert checkpoint_dir(spark) == checkpoint_dir(spark)
+
+
+def test_rope_chunks_join_to_the_string_form_and_split_a_hot_key(spark):
+    import random
+
+    from webloom.operators import snapshots as S
+    rng = random.Random(2)
+    rows = [(1 if i % 3 else i % 7, i, None if i % 11 == 0 else "é" * rng.randint(0, 40)) for i in range(600)] + [(99, 0, "x" * 5000), (98, 0, None)]
+    df = spark.createDataFrame(rows, "k long, step long, text string").repartition(5)
+    chunks = S.rope(df, ["k"], ["step"], "text", chunk_chars=100)
+    got = {}
+    for r in chunks.orderBy("k", "chunk").collect():
+        assert r["offset"] == len(got.get(r["k"], ""))
+        assert len(r["text"]) <= 100 + 41 + 1 or r["k"] == 99
+        got[r["k"]] = got.get(r["k"], "") + r["text"]
+    whole = {r["k"]: r["text"] for r in S.ordered_concat(df.where("text is not null"), "k", ["step"], "text").collect()}
+    assert got == whole and len(got) > 3
+    digests = S.rope_digest(chunks, ["k"]).collect()
+    assert {r["k"]: r["n_chars"] for r in digests} == {k: len(t) for k, t in whole.items()}
+    # another order of the same states is another digest
+    back = S.rope_digest(S.rope(df.withColumn("step", -F.col("step")), ["k"], ["step"], "text", chunk_chars=100), ["k"])
+    assert {r["k"]: r["digest"] for r in back.collect()}[1] != {r["k"]: r["digest"] for r in digests}[1]
+    assert S.rope(df.limit(0), ["k"], ["step"], "text").collect() == []
+
+
+def test_running_sums_and_maxima_over_range_partitions(spark):
+    from webloom.operators.scan import keyed_running
+    rows = [("a" if i % 4 else "b", i, (i * 37) % 101 - 50) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, i long, x long")
+    got = {(r["k"], r["i"]): (r["s"], r["m"]) for r in keyed_running(df, ["k"], ["i"], {"s": "x"}, {"m": "x"}, partitions=9).collect()}
+    want, sums, tops = {}, {}, {}
+    for k, i, x in rows:
+        sums[k], tops[k] = sums.get(k, 0) + x, max(tops.get(k, x), x)
+        want[(k, i)] = (sums[k], tops[k])
+    assert got == want

@@ -12,11 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.operators.scan import keyed_scan
+from webloom.operators.scan import keyed_running, keyed_scan
 
 # states per partial string when concatenating one key's states: a hot key is split
 # into buckets of this many steps, concatenated in parallel, then joined in order
 CONCAT_BUCKET = 1024
+# characters of one chunk of a concatenation in long form
+ROPE_CHARS = 1 << 20
 
 
 def ordered_concat(df: DataFrame, key: str, order: list[str], text: str, sep: str = "\n",
@@ -58,6 +60,48 @@ def accumulate(df: DataFrame, key: str, order: list[str], target_of: Column, tex
                       F.coalesce(text, F.lit("")).alias(text))
 
 
+def rope(df: DataFrame, key: list[str], order: list[str], text: str, sep: str = "\n", chunk_chars: int = ROPE_CHARS) -> DataFrame:
+    """A10/A11 in long form: ``(*key, chunk, offset, n_states, text)``, the concatenation of a key cut into ordered chunks.
+
+    Running offsets place every state in the joined string; a chunk holds the states that start in its ``chunk_chars``
+    characters, so it is as long as that and one state at most, and no task or row holds a whole key. The chunks of a key,
+    put together in order, are its ``ordered_concat``. States without text are left out.
+    """
+    d = df.select(*key, *order, F.col(text).alias("_t")).where("_t is not null")
+    d = d.withColumn("_len", F.char_length("_t") + F.lit(len(sep)))
+    d = keyed_running(d, key, order, {"_end": "_len"})
+    d = d.withColumn("_start", F.col("_end") - F.col("_len")).withColumn("chunk", F.floor(F.col("_start") / chunk_chars))
+    states = F.array_sort(F.collect_list(F.struct("_start", *order, "_t")))
+    g = d.groupBy(*key, "chunk").agg(F.min("_start").alias("_start"), F.count("*").alias("n_states"), states.alias("_l"))
+    # a chunk brings the separator in front of its first state, which the first chunk of a key does not have
+    body = F.array_join(F.transform("_l", lambda x: x["_t"]), sep)
+    later = F.col("_start") > 0
+    return g.select(*key, "chunk", F.when(later, F.col("_start") - len(sep)).otherwise(F.lit(0)).cast("bigint").alias("offset"), "n_states",
+                    F.when(later, F.concat(F.lit(sep), body)).otherwise(body).alias("text"))
+
+
+def rope_digest(chunks: DataFrame, key: list[str]) -> DataFrame:
+    """``(*key, n_states, n_chars, n_chunks, digest)``: the digests of the chunks with their offsets, summed.
+
+    A sum is folded in every task before the shuffle, and the offsets make it depend on the order of the chunks.
+    """
+    part = F.conv(F.substring(F.md5(F.concat(F.col("offset").cast("string"), F.lit(":"), "text")), 1, 12), 16, 10).cast("bigint")
+    return chunks.groupBy(*key).agg(
+        F.sum("n_states").cast("bigint").alias("n_states"), F.sum(F.char_length("text")).cast("bigint").alias("n_chars"),
+        F.count("*").cast("bigint").alias("n_chunks"), F.sum(part.cast("decimal(38,0)")).cast("string").alias("digest"))
+
+
+def accumulate_rope(df: DataFrame, key: str, order: list[str], target_of: Column, text: str, targets: list[str],
+                    sep: str = "\n", chunk_chars: int = ROPE_CHARS) -> DataFrame:
+    """A11+F12 in long form: ``(key, target, chunk, offset, n_states, text)``; a target without texts has one empty chunk."""
+    items = df.select(key, *order, target_of.alias("target"), F.col(text)).where(F.col("target").isin(targets))
+    chunks = rope(items, [key, "target"], order, text, sep, chunk_chars)
+    seeded = df.select(key).distinct().select(key, F.explode(F.array(*[F.lit(t) for t in targets])).alias("target"))
+    none = seeded.join(items.where(F.col(text).isNotNull()).select(key, "target").distinct(), [key, "target"], "left_anti")
+    return chunks.unionByName(none.select(key, "target", *[F.lit(0).cast("bigint").alias(c) for c in ("chunk", "offset", "n_states")],
+                                          F.lit("").alias("text")))
+
+
 def step_number(df: DataFrame, key: str, order: list[str], name: str = "step") -> DataFrame:
     """1-based step per key in ``order`` (ordered scan: hot keys are split)."""
     return keyed_scan(df, [key], order, step_col=name)

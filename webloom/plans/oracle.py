@@ -507,6 +507,30 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_states, CAST(length(t) AS BIGINT)
          string_agg(text, chr(10) ORDER BY turn, text) OVER (PARTITION BY conv_id) AS t FROM conversations)
 GROUP BY conv_id, t"""
 
+def _rope_sql(rows: str, keys: str) -> str:
+    """The chunks of 500 characters, cut out of the whole joined string at the starts of its states."""
+    return f"""
+  WITH r AS (SELECT *, length(text) + 1 AS len FROM ({rows}) WHERE text IS NOT NULL),
+  s AS (SELECT *, sum(len) OVER (PARTITION BY {keys} ORDER BY turn, text ROWS UNBOUNDED PRECEDING) - len AS start FROM r),
+  whole AS (SELECT {keys}, string_agg(text, chr(10) ORDER BY turn, text) AS t FROM r GROUP BY {keys}),
+  c AS (SELECT {keys}, CAST(start // 500 AS BIGINT) AS chunk, CAST(min(start) AS BIGINT) AS start, count(*) AS n_states FROM s GROUP BY {keys}, start // 500),
+  e AS (SELECT *, greatest(start - 1, 0) AS "offset", lead(start) OVER (PARTITION BY {keys} ORDER BY chunk) - 1 AS stop FROM c)
+  SELECT e.*, substr(t, "offset" + 1, coalesce(stop, length(t)) - "offset") AS text FROM e JOIN whole USING ({keys})"""
+
+
+SQL["snapshot_rope"] = f"""
+SELECT conv_id, chunk, "offset", n_states, md5(text) AS text_md5 FROM ({_rope_sql("SELECT conv_id, turn, text FROM conversations", "conv_id")})"""
+
+SQL["snapshot_rope_digest"] = f"""
+WITH tg AS (SELECT * FROM (VALUES ('user', 'user_text'), ('assistant', 'assistant_text'), ('system', 'system_text')) t(role, target)),
+rope AS ({_rope_sql("SELECT conv_id, target, turn, text FROM conversations JOIN tg USING (role)", "conv_id, target")}),
+grid AS (SELECT DISTINCT conv_id, tg.target FROM conversations, tg),
+every AS (SELECT conv_id, target, coalesce(n_states, 0) AS n_states, coalesce("offset", 0) AS "offset", coalesce(text, '') AS text
+          FROM grid LEFT JOIN rope USING (conv_id, target))
+SELECT conv_id, target, CAST(sum(n_states) AS BIGINT) AS n_states, CAST(sum(length(text)) AS BIGINT) AS n_chars, count(*) AS n_chunks,
+       CAST(sum(CAST(('0x' || substr(md5("offset" || ':' || text), 1, 12)) AS BIGINT)) AS VARCHAR) AS digest
+FROM every GROUP BY conv_id, target"""
+
 SQL["snapshot_accumulate"] = """
 WITH tg AS (SELECT * FROM (VALUES ('user', 'user_text'), ('assistant', 'assistant_text'), ('system', 'system_text')) t(role, target)),
 k AS (SELECT DISTINCT conv_id FROM conversations),

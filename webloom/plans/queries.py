@@ -383,6 +383,26 @@ def q_snapshot_accumulate(spark, d):
     return out.select("conv_id", "target", "n_items", F.md5("text").alias("text_md5"))
 
 
+# chunks short enough for the corpus' conversations to have several
+QUERY_ROPE_CHARS = 500
+
+
+@register("snapshot_rope")
+def q_snapshot_rope(spark, d):
+    """A10 in long form: the ordered chunks of every conversation."""
+    chunks = S.rope(read_table(spark, d, "conversations"), ["conv_id"], ["turn", "text"], "text", chunk_chars=QUERY_ROPE_CHARS)
+    return chunks.select("conv_id", "chunk", "offset", "n_states", F.md5("text").alias("text_md5"))
+
+
+@register("snapshot_rope_digest")
+def q_snapshot_rope_digest(spark, d):
+    """A11 + F12 in long form: the folded digest of every target of every conversation."""
+    c = read_table(spark, d, "conversations")
+    tgt = F.create_map(*[x for kv in MIDDLEWARE_TARGETS.items() for x in map(F.lit, kv)])[F.col("role")]
+    chunks = S.accumulate_rope(c, "conv_id", ["turn", "text"], tgt, "text", list(MIDDLEWARE_TARGETS.values()), chunk_chars=QUERY_ROPE_CHARS)
+    return S.rope_digest(chunks, ["conv_id", "target"])
+
+
 def _events(spark, d):
     return read_table(spark, d, "events").select("user_id", "event_id", "ts", "event_type", "value")
 
