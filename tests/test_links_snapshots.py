@@ -198,3 +198,35 @@ def test_running_sums_and_maxima_over_range_partitions(spark):
         sums[k], tops[k] = sums.get(k, 0) + x, max(tops.get(k, x), x)
         want[(k, i)] = (sums[k], tops[k])
     assert got == want
+
+
+def test_header_values_by_type(spark):
+    import json
+
+    import pytest
+
+    from webloom.operators import summary as SM
+    df = spark.range(1).select(
+        F.lit("é").cast("variant").alias("text"), F.encode(F.lit("é"), "UTF-8").cast("variant").alias("bytes"),
+        F.to_variant_object(F.array(F.encode(F.lit("a"), "UTF-8"))).alias("byte_list"), F.parse_json(F.lit('["x", ["y"], null]')).alias("mixed"),
+        F.parse_json(F.lit("null")).alias("json_null"), F.lit(None).cast("variant").alias("missing"), F.parse_json(F.lit("[]")).alias("empty"),
+        *[F.parse_json(F.lit(j)).alias(n) for n, j in (("number", "7"), ("flag", "true"), ("map", '{"a": 1}'), ("inside", '["a", 7]'),
+                                                       ("deep", '[[["a"]]]'))])
+    row = df.select(*[F.to_json(SM.stringify_value(c)).alias(c) for c in ("text", "bytes", "byte_list", "mixed", "json_null", "missing", "empty")]).first()
+    got = {k: None if v is None else json.loads(v) for k, v in row.asDict().items()}
+    assert got == {"text": "é", "bytes": "é", "byte_list": ["a"], "mixed": ["x", ["y"], None], "json_null": None, "missing": None, "empty": []}
+    for c in ("number", "flag", "map", "inside", "deep"):
+        with pytest.raises(Exception, match="unsupported value type"):
+            df.select(F.to_json(SM.stringify_value(c))).collect()
+
+
+def test_crawl_summary_carries_meta_and_flags(spark):
+    from webloom.operators import summary as SM
+    enc = lambda x: F.encode(F.lit(x), "UTF-8")
+    df = spark.range(1).select(
+        F.lit("u").alias("url"), F.lit("r").alias("req_url"), F.lit("GET").alias("method"), F.lit(200).alias("status"),
+        F.create_map(enc("H"), F.array(enc("v"))).alias("req_headers"), F.create_map(enc("S"), F.lit(None).cast("variant")).alias("resp_headers"),
+        F.parse_json(F.lit('{"depth": 2, "proxy": [1, null]}')).alias("meta"), F.array(F.lit("cached")).alias("flags"), F.lit("<html>").alias("html"))
+    r = SM.drop_bulky(SM.crawl_summary(df)).select("*", F.variant_get("crawl_meta", "$.depth", "int").alias("depth")).first()
+    assert r["request_summary"]["headers"] == {"H": ["v"]} and r["response_summary"]["headers"] == {"S": None}
+    assert (r["depth"], r["crawl_flags"]) == (2, ["cached"]) and "html" not in r.asDict()

@@ -25,14 +25,44 @@ def stringify_headers(headers) -> Column:
                            F.transform(e["value"], lambda v: F.decode(v, "UTF-8")).alias("value"))))
 
 
-def crawl_summary(pages: DataFrame, request_headers: str = "req_headers",
-                  response_headers: str = "resp_headers") -> DataFrame:
-    """Request / response summary structs, meta and flags per page."""
-    return pages.withColumn("request_summary", F.struct(
-        F.col("req_url").alias("url"), F.col("method").alias("method"),
-        stringify_headers(request_headers).alias("headers"))).withColumn("response_summary", F.struct(
-            F.col("url").alias("url"), F.col("status").alias("status"),
-            stringify_headers(response_headers).alias("headers")))
+def stringify_value(value, nested: int = 2) -> Column:
+    """H16 for a VARIANT: text stays, bytes become UTF-8 text, lists element by element, null stays null.
+
+    Any other type (numbers, booleans, objects, times) is an error that names it. Lists may hold lists, ``nested`` deep.
+    """
+    v = F.col(value) if isinstance(value, str) else value
+    kind = F.schema_of_variant(v)
+    bad = F.raise_error(F.concat(F.lit("unsupported value type "), kind)).cast("variant")
+    text = F.decode(F.try_variant_get(v, "$", "binary"), "UTF-8").cast("variant")
+    items = bad
+    if nested:
+        items = F.to_variant_object(F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: stringify_value(x, nested - 1)))
+    return (F.when(v.isNull() | (kind == "VOID"), F.lit(None).cast("variant")).when(kind == "STRING", v)
+            .when(kind == "BINARY", text).when(kind.startswith("ARRAY"), items).otherwise(bad))
+
+
+def stringify_typed_headers(headers) -> Column:
+    """``MAP<BINARY, VARIANT>`` -> ``MAP<STRING, VARIANT>`` whose values are text, lists of text or null."""
+    h = F.col(headers) if isinstance(headers, str) else headers
+    return F.map_from_entries(F.transform(
+        F.map_entries(h), lambda e: F.struct(F.decode(e["key"], "UTF-8").alias("key"), stringify_value(e["value"]).alias("value"))))
+
+
+def crawl_summary(exchanges: DataFrame, request_headers: str = "req_headers", response_headers: str = "resp_headers",
+                  meta: str = "meta", flags: str = "flags") -> DataFrame:
+    """Request and response summary structs, ``crawl_meta`` (VARIANT, any shape) and ``crawl_flags`` (array of text).
+
+    Headers are typed maps of byte lists, or maps of VARIANT values.
+    """
+    def headers(c: str) -> Column:
+        typed = exchanges.schema[c].dataType.valueType.typeName() == "variant"
+        return stringify_typed_headers(c) if typed else stringify_headers(c)
+
+    out = exchanges.withColumn("request_summary", F.struct(
+        F.col("req_url").alias("url"), F.col("method").alias("method"), headers(request_headers).alias("headers")))
+    out = out.withColumn("response_summary", F.struct(
+        F.col("url").alias("url"), F.col("status").alias("status"), headers(response_headers).alias("headers")))
+    return out.withColumnsRenamed({meta: "crawl_meta", flags: "crawl_flags"})
 
 
 def drop_bulky(df: DataFrame) -> DataFrame:

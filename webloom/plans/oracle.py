@@ -594,9 +594,13 @@ SELECT event_id, strftime(ts, '%Y%m%d_%H%M') AS run_ts, strftime(ts, '%Y-%m-%d_%
        event_type || '_' || strftime(ts, '%Y%m%d_%H%M') AS archive_name FROM events"""
 
 SQL["crawl_summary"] = """
-SELECT page_id, url AS req_url, 'GET' AS req_method, 'text/html' AS accept, CAST(200 AS BIGINT) AS status,
+SELECT event_id, page_id, url AS req_url, CASE WHEN event_type IN ('signup', 'purchase') THEN 'POST' ELSE 'GET' END AS req_method,
+  'text/html,' || event_type AS accept, lang AS language, CAST(CASE event_type WHEN 'error' THEN 500 ELSE 200 END AS BIGINT) AS status,
   'text/html; charset=' || regexp_extract(html, '(?i)<meta\\s+charset="([^"]*)"', 1) AS content_type,
-  CAST(strlen(html) AS VARCHAR) AS content_length FROM pages"""
+  CAST(strlen(html) AS VARCHAR) AS content_length, CASE WHEN event_type = 'signup' THEN props || ';' || lang END AS cookies,
+  CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT) AS meta_k, replace(props, ' ', '') AS meta_json,
+  CASE WHEN event_type IN ('error', 'signup') THEN event_type || ',' || upper(lang) ELSE '' END AS flags
+FROM (SELECT *, regexp_extract(html, '(?i)<html\\s+lang="([^"]*)"', 1) AS lang FROM pages JOIN events ON user_id = page_id) WHERE url IS NOT NULL"""
 
 
 # ---- presets ------------------------------------------------------------------------------

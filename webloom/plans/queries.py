@@ -462,24 +462,38 @@ def q_run_paths(spark, d):
                     F.concat("event_type", F.lit("_"), run_ts).alias("archive_name"))
 
 
-@register("crawl_summary")
-def q_crawl_summary(spark, d):
-    p = read_pages(spark, d)
+def exchanges(spark, d) -> DataFrame:
+    """Requests and responses: every event of a user is a visit of the page with the user's number. The event's kind gives
+    method, status and flags, its properties the meta data, the page the headers (bytes, text, lists of either, nulls)."""
     enc = lambda c: F.encode(c, "UTF-8")  # noqa: E731  header bytes as received
+    e = read_table(spark, d, "events").select("event_id", F.col("user_id").alias("page_id"), "event_type", "props")
+    x = read_pages(spark, d).where("url is not null").join(e, "page_id")
+    kind = F.col("event_type")
     charset = F.regexp_extract("html", r'(?i)<meta\s+charset="([^"]*)"', 1)
-    p = p.select("page_id", "url", F.col("url").alias("req_url"), F.lit("GET").alias("method"),
-                 F.lit(200).alias("status"),
-                 F.create_map(enc(F.lit("Accept")), F.array(enc(F.lit("text/html")))).alias("req_headers"),
-                 F.create_map(enc(F.lit("Content-Type")), F.array(enc(F.concat(F.lit("text/html; charset="), charset))),
-                              enc(F.lit("Content-Length")), F.array(enc(F.octet_length("html").cast("string"))))
-                 .alias("resp_headers"))
-    s = SM.drop_bulky(SM.crawl_summary(p))
-    return s.select("page_id", F.col("request_summary.url").alias("req_url"),
-                    F.col("request_summary.method").alias("req_method"),
-                    F.col("request_summary.headers")["Accept"][0].alias("accept"),
-                    F.col("response_summary.status").cast("bigint").alias("status"),
-                    F.col("response_summary.headers")["Content-Type"][0].alias("content_type"),
-                    F.col("response_summary.headers")["Content-Length"][0].alias("content_length"))
+    lang = F.regexp_extract("html", r'(?i)<html\s+lang="([^"]*)"', 1)
+    return x.select(
+        "event_id", "page_id", "url", F.col("url").alias("req_url"), F.when(kind.isin("signup", "purchase"), "POST").otherwise("GET").alias("method"),
+        F.when(kind == "error", 500).otherwise(200).alias("status"), F.parse_json("props").alias("meta"),
+        F.when(kind.isin("error", "signup"), F.array(kind, F.upper(lang))).otherwise(F.array().cast("array<string>")).alias("flags"),
+        F.create_map(enc(F.lit("Accept")), F.to_variant_object(F.array(enc(F.lit("text/html")), enc(kind))),
+                     enc(F.lit("Accept-Language")), lang.cast("variant")).alias("req_headers"),
+        F.create_map(enc(F.lit("Content-Type")), enc(F.concat(F.lit("text/html; charset="), charset)).cast("variant"),
+                     enc(F.lit("Content-Length")), F.octet_length("html").cast("string").cast("variant"),
+                     enc(F.lit("Set-Cookie")), F.when(kind == "signup", F.to_variant_object(F.array("props", lang)))).alias("resp_headers"))
+
+
+@register("crawl_summary")
+def q_crawl_summary(spark, d):
+    s = SM.drop_bulky(SM.crawl_summary(exchanges(spark, d)))
+    sent, got = F.col("request_summary.headers"), F.col("response_summary.headers")
+    text = lambda h, path, kind="string": F.try_variant_get(h, path, kind)
+    return s.select(
+        "event_id", "page_id", F.col("request_summary.url").alias("req_url"), F.col("request_summary.method").alias("req_method"),
+        F.array_join(text(sent["Accept"], "$", "array<string>"), ",").alias("accept"), text(sent["Accept-Language"], "$").alias("language"),
+        F.col("response_summary.status").cast("bigint").alias("status"), text(got["Content-Type"], "$").alias("content_type"),
+        text(got["Content-Length"], "$").alias("content_length"), F.array_join(text(got["Set-Cookie"], "$", "array<string>"), ";").alias("cookies"),
+        text(F.col("crawl_meta"), "$.k", "bigint").alias("meta_k"), F.to_json("crawl_meta").alias("meta_json"),
+        F.array_join("crawl_flags", ",").alias("flags"))
 
 
 # ---- presets ------------------------------------------------------------------------------
