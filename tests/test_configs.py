@@ -64,3 +64,35 @@ def test_sample_rule_table_shape(spark):
     rules = SA.sample_rules(spark)
     assert rules.filter(F.col("site") == "product_description_spider").count() == 40
     assert rules.agg(F.max(F.size("steps"))).first()[0] == 5
+
+
+def test_sites_and_rules_from_files_that_spark_reads(spark, tmp_path):
+    import json
+
+    from webloom.operators import rules as R
+    from webloom.operators.rules import step
+    rules = {"a": [[step("desc", "div", "class", ["x", "y"]), step("child", "text()")], [step("desc", "h1", pos=2)]], "b": [[step("child", "html")]]}
+    (tmp_path / "faq.site.json").write_text(json.dumps({"kind": "faq", "allowed_domains": ["é.com"], "data_deal": True, "nested": {"x": [1, {"y": "z"}]}}), encoding="utf-8")
+    (tmp_path / "other.json").write_text(C.config_text("named", {"further_allowed_domains": [], "start_urls": ["u"]}, rules), encoding="utf-8")
+    (tmp_path / "third.json").write_text('{"further_allowed_domains": null, "rules": {}}')
+    (tmp_path / "notes.txt").write_text("not a config")
+    configs = C.read_configs(spark, str(tmp_path))
+    sites = {r["site"]: r for r in C.config_sites(configs).collect()}
+    assert set(sites) == {"faq", "named", "third"}
+    assert (sites["faq"]["kind"], sites["faq"]["allowed_domains"], sites["faq"]["strip"], sites["faq"]["fragments"]) == ("faq", ["é.com"], True, None)
+    assert (sites["named"]["fragments"], sites["named"]["start_urls"], sites["named"]["strip"]) == ([], ["u"], None)
+    assert sites["third"]["fragments"] is None and sites["third"]["allowed_domains"] == []
+    nested = C.config_sites(configs).where("site = 'faq'").select(C.config_value("config_json", "$.nested.x[1].y").alias("v")).first()["v"]
+    assert nested == "z"
+    got = C.config_rules(configs)
+    want = R.rules_df(spark, {"named": rules})
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select("site", "target", "alt", "steps").collect()))
+    assert got.schema["steps"].dataType == want.schema["steps"].dataType and got.schema["alt"].dataType == want.schema["alt"].dataType
+    assert [r["site"] for r in C.read_configs(spark, str(tmp_path), ["faq", "gone"]).collect()] == ["faq"]
+
+
+def test_a_broken_config_fails(spark, tmp_path):
+    import pytest
+    (tmp_path / "bad.json").write_text("{")
+    with pytest.raises(Exception, match="(?i)json"):
+        C.config_sites(C.read_configs(spark, str(tmp_path))).collect()

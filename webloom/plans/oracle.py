@@ -685,6 +685,7 @@ SQL["file_preset"] = f"""
 SELECT DISTINCT url, 'files/' || replace({authority('url')}, ':', '_') || '/' || {_file_inner('url', 'html')} AS save_path,
   CAST(strlen(html) + 1 AS BIGINT) AS n_bytes, md5(html || chr(10)) AS content_md5
 FROM (SELECT {safe_url('url')} AS url, html FROM ({HTML_PAGES})) WHERE ends_with(lower({path('url')}), '.html')"""
+SQL["preset_config"] = SQL["preset_union"]
 _DOCUMENTS = f"""
 SELECT page_id, site, type, url, string_agg(DISTINCT target, ',' ORDER BY target) AS targets, count(*) AS n_values,
        md5(string_agg(value, chr(10) ORDER BY target, idx)) AS values_md5

@@ -512,6 +512,17 @@ def q_preset_union(spark, d):
     return P.extraction(_dom(spark, d), read_pages(spark, d), corpus_sites(spark), _site_rules(spark))
 
 
+@register("preset_config")
+def q_preset_config(spark, d):
+    """S2 + S3 + H17: sites and rules come from config files that Spark reads; then as preset_union."""
+    path = scratch_path(spark, "configs")
+    texts = [(s, C.config_text(s, cfg, {t: CORPUS_RULES[t] for t in SITE_TARGETS[s]})) for s, cfg in C.CORPUS_SITES.items()]
+    spark.createDataFrame(texts, "name string, value string").write.partitionBy("name").text(path)
+    configs = C.read_configs(spark, path, list(SITE_TARGETS), "*.txt")
+    sites = C.config_sites(configs).withColumn("strip", C.config_value("config_json", "$.data_deal", "boolean"))
+    return P.extraction(_dom(spark, d), read_pages(spark, d), sites, C.config_rules(configs))
+
+
 def _n_and_md5(col, name):
     c = F.col(col)
     return [F.when(c.isNull(), F.lit(0)).otherwise(F.size(c)).cast("bigint").alias(f"n_{name}"),

@@ -1,9 +1,10 @@
 """Site-config source.
 
-A config file is small YAML per site; it is read on the driver (config, not data)
-and becomes two tables: ``sites`` (one row per site) and ``rules`` (structured rule
-steps, see ``webloom.operators.rules``). Rules arrive as structured steps: no XPath
-parser is built.
+A config file becomes two tables: ``sites`` (one row per site) and ``rules`` (structured rule steps, see
+``webloom.operators.rules``). Rules arrive as structured steps: no XPath parser is built.
+
+``read_configs`` reads JSON files with Spark, from any store it reaches, as VARIANT. ``read_sites`` reads YAML or JSON
+files on the driver (config, not data) into ``sites`` alone.
 """
 
 from __future__ import annotations
@@ -88,6 +89,54 @@ def config_value(config_json_col, path: str, type_: str = "string"):
     return F.variant_get(F.parse_json(col), path, type_)
 
 
+STEPS_TYPE = "array<struct<axis: string, tag: string, attr: string, values: array<string>, pos: int>>"
+
+
+def read_configs(spark: SparkSession, path: str, names: list[str] | None = None, glob: str = "*.json") -> DataFrame:
+    """S3: ``(site, config VARIANT)``, one row per JSON file below ``path``, or only those of the named sites.
+
+    The site is the config's own ``site`` if it has one, else the file's name up to its first '.'. A file that is no
+    JSON fails the job.
+    """
+    from pyspark.sql import functions as F
+    files = spark.read.option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
+    config = files.select(F.split_part(F.col("_metadata.file_name"), F.lit("."), F.lit(1)).alias("file"), F.parse_json("value").alias("config"))
+    site = F.coalesce(F.variant_get("config", "$.site", "string"), F.col("file"))
+    out = config.select(site.alias("site"), "config")
+    return out if names is None else out.where(F.col("site").isin(names))
+
+
+def config_sites(configs: DataFrame) -> DataFrame:
+    """The ``sites`` table of ``read_configs``. A missing or null list of fragments is no restriction, an empty one
+    allows nothing."""
+    from pyspark.sql import functions as F
+    get = lambda path, kind: F.variant_get("config", path, kind)
+    none = F.array().cast("array<string>")
+    return configs.select(
+        "site", get("$.kind", "string").alias("kind"),
+        F.coalesce(get("$.start_urls", "array<string>"), none).alias("start_urls"),
+        F.coalesce(get("$.allowed_domains", "array<string>"), none).alias("allowed_domains"),
+        get("$.further_allowed_domains", "array<string>").alias("fragments"), get("$.data_deal", "boolean").alias("strip"),
+        get("$.target_div", "string").alias("target_div"), F.to_json("config").alias("config_json"))
+
+
+def config_rules(configs: DataFrame) -> DataFrame:
+    """The ``rules`` table of ``read_configs``: ``rules`` maps a target to its alternatives, each a list of steps.
+
+    One row per site, target and alternative; a step's missing fields are null.
+    """
+    return configs.sparkSession.sql(f"""
+        SELECT c.site, t.key AS target, a.pos AS alt, variant_get(a.value, '$', '{STEPS_TYPE}') AS steps
+        FROM {{configs}} AS c, LATERAL variant_explode(variant_get(c.config, '$.rules', 'variant')) AS t,
+             LATERAL variant_explode(t.value) AS a""", configs=configs)
+
+
+def config_text(site: str, config: dict, rules: dict | None = None) -> str:
+    """A config as the JSON text that ``read_configs`` reads; ``rules`` as in ``operators.rules.rules_df``."""
+    steps = {target: [[dict(zip(("axis", "tag", "attr", "values", "pos"), s)) for s in alt] for alt in alts] for target, alts in (rules or {}).items()}
+    return json.dumps({"site": site, **config, "rules": steps}, ensure_ascii=False)
+
+
 # Site configs over the test corpus (hand-made, like the four shipped samples):
 # one site per top-level domain of the generated pages, with the three fragment
 # cases (no restriction / some fragments / nothing allowed).
