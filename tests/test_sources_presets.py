@@ -75,3 +75,36 @@ def test_url_list_part_files_concatenate_sorted(spark, tmp_path):
     for f in sorted(glob.glob(out + "/part-*")):
         lines += open(f, encoding="utf-8").read().splitlines()
     assert lines == sorted(set(lines)) and len(lines) == 301
+
+
+def test_js_records_keep_the_last_state_and_its_middleware_data(spark):
+    from webloom.operators import dom as D
+    from webloom.operators import rules as R
+    from webloom.operators.rules import step
+    rows = [(1, "a", 1, "u1", "<h1>one</h1><p>p1</p>"), (2, "a", 2, "u2", "<h1>two</h1>"), (3, "b", 1, "u3", "<i>none</i>"), (4, "c", 9, "u4", "<p>c</p>")]
+    df = spark.createDataFrame(rows, "page_id long, page_key string, step long, url string, html string").withColumn("site", F.lit("s"))
+    dom = D.build_dom(df.select("page_id", "html")).cache()
+    page_rules = R.rules_df(spark, {"s": {"para": [[step("desc", "p")]], "head": [[step("desc", "h1")]]}})
+    middle = R.rules_df(spark, {"s": {"head": [[step("desc", "h1")]]}})
+    states = df.drop("html")
+    got = {r["page_key"]: r for r in P.js_records(states, dom, page_rules, middle, ["head", "gone"]).collect()}
+    assert set(got) == {"a", "b", "c"}  # a configured middleware target keeps a page without any value
+    assert (got["a"]["page_id"], got["a"]["url"], got["a"]["type"], got["a"]["target"]) == (2, "u2", "js", [])
+    assert dict(got["a"]["targets"]) == {"head": ["two"]} and dict(got["a"]["middl_data"]) == {"gone": "", "head": "one\ntwo"}
+    assert dict(got["b"]["targets"]) == {} and dict(got["b"]["middl_data"]) == {"gone": "", "head": ""}
+    # without middleware targets only pages with values stay
+    assert {r["page_key"] for r in P.js_records(states, dom, page_rules, middle, []).collect()} == {"a", "c"}
+
+
+def test_archive_is_verified_by_its_lines(spark, tmp_path, monkeypatch):
+    import pytest
+    recs = spark.createDataFrame([(1, "é\n"), (2, None)], "page_id long, v string")
+    ts = F.lit("2024-05-06 07:08:09").cast("timestamp")
+    uri, n = K.archive(recs, str(tmp_path), "job", ts)
+    assert uri.endswith("/job_20240506_0708") and n == 2
+    assert sorted(r["page_id"] for r in spark.read.json(uri).collect()) == [1, 2]
+    real = K.digest
+    monkeypatch.setattr(K, "digest", lambda *c: [real(*c)[0], F.expr("cast(rand() as string)").alias("digest")][:1] + [
+        F.max(F.lit(str(__import__("random").random()))).alias("digest")])
+    with pytest.raises(IOError, match="read back"):
+        K.archive(recs, str(tmp_path), "job", ts)

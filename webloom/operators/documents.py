@@ -53,3 +53,14 @@ def parse(lines: DataFrame, json: str = "value") -> DataFrame:
 def variant_records(docs: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """U4: differently shaped records as one table: typed key columns and the whole document as a VARIANT payload."""
     return docs.select(*[c for c in KEYS if c in docs.columns], F.parse_json(json_text(extra)).alias("payload"))
+
+
+def variant_values(records: DataFrame) -> DataFrame:
+    """``(page_id, site, type, url, field, target, idx, value)``: the values in the payloads of ``variant_records``, whatever
+    their type's field is called."""
+    fields = ", ".join(f"'{f}'" for f in TARGET_FIELDS.values())
+    return records.sparkSession.sql(f"""
+        SELECT r.page_id, r.site, r.type, r.url, f.key AS field, t.key AS target, CAST(v.pos AS BIGINT) AS idx, variant_get(v.value, '$', 'string') AS value
+        FROM {{records}} AS r, LATERAL variant_explode(r.payload) AS f, LATERAL variant_explode(f.value) AS t,
+             LATERAL variant_explode(t.value) AS v
+        WHERE f.key IN ({fields})""", records=records)

@@ -1,4 +1,4 @@
-"""Crawl summary records and record shaping."""
+"""Crawl summary records and record shaping."""
 
 from __future__ import annotations
 
@@ -75,14 +75,6 @@ def tag_records(df: DataFrame, kind: str) -> DataFrame:
     return df.withColumn(URL_FIELDS[kind], F.col("url")).withColumn("type", F.lit(RECORD_TYPES[kind]))
 
 
-def union_records(dfs: list[DataFrame]) -> DataFrame:
-    """U4: differently shaped records in one table (missing columns are null)."""
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d, allowMissingColumns=True)
-    return out
-
-
 def to_json_record(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """One JSON document per row (non-ASCII kept as is)."""
     cols = cols or df.columns

@@ -744,3 +744,28 @@ cfg AS (SELECT * FROM (VALUES ('news_com', 'faq', 'example.com'), ('news_net', '
                               ('spam', 'js', 'cheap-pills.example.com,spam-farm.example.org')) t(site, kind, allowed_domains))
 SELECT r.site, '20240102_0304' AS run_ts, CAST(count(*) AS BIGINT) AS n_records, cfg.kind, cfg.allowed_domains
 FROM r JOIN cfg USING (site) GROUP BY r.site, cfg.kind, cfg.allowed_domains"""
+
+
+SQL["preset_js_record"] = f"""
+WITH last AS (
+  SELECT max(page_id) AS page_id FROM pages
+  WHERE list_bool_or(list_transform(['example.com', 'example.net', 'example.org'], lambda d: {host('url')} = d OR ends_with({host('url')}, '.' || d)))
+  GROUP BY {host('url')}),
+v AS (SELECT * FROM ({_rules_sql(["lead_para", "heading"], True)}) WHERE page_id IN (SELECT page_id FROM last)),
+docs AS (SELECT page_id, string_agg(DISTINCT target, ',' ORDER BY target) AS targets, count(*) AS n_values,
+                md5(string_agg(value, chr(10) ORDER BY target, idx)) AS values_md5 FROM v GROUP BY page_id),
+middle AS (SELECT page_key, string_agg(target || '=' || text_md5, ',' ORDER BY target) AS middle FROM ({SQL['preset_js']}) GROUP BY page_key)
+SELECT last.page_id, 'middleware' AS site, 'js' AS type, url, coalesce(targets, '') AS targets, coalesce(n_values, 0) AS n_values,
+       coalesce(values_md5, md5('')) AS values_md5, CAST(0 AS BIGINT) AS n_target, middle,
+       translate(url, ':/', '') || '.html' AS snapshot_key, md5(html) AS html_md5
+FROM last JOIN pages USING (page_id) JOIN middle ON middle.page_key = {host('url')} LEFT JOIN docs ON docs.page_id = last.page_id"""
+
+SQL["records_variant"] = f"""
+SELECT page_id, site, type, url, CASE type WHEN 'faq' THEN 'target_faq_div_xpath' WHEN 'production-description' THEN 'production_description_div'
+       WHEN 'complex_get_data' THEN 'complex_web_target' ELSE 'complex_web_target_js' END AS field, target, idx, value
+FROM ({SQL['preset_union']})"""
+
+SQL["preset_web_run"] = f"""
+SELECT c.event_id, c.page_id, c.req_method AS method, c.status, c.meta_k,
+       'out/' || replace({host('c.req_url')}, '.', '-') || strftime(TIMESTAMP '{RUN_TS}', '%Y%m%d_%H%M') AS run_folder, n.domain_dir, n.save_name
+FROM ({SQL['crawl_summary']}) c LEFT JOIN {_save_names(HTML_PAGES)} n ON n.page_id = c.page_id"""

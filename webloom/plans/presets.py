@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from webloom.functions import urls as U
 from webloom.functions.text import add_page_text
+from webloom.operators import documents as DOC
 from webloom.operators import extract as X
 from webloom.operators import links as L
 from webloom.operators import naming as N
@@ -131,3 +132,32 @@ def js_snapshots(states: DataFrame, rules: DataFrame, targets: list[str], key: s
                   [("target", "string"), ("value", "string"), ("_step", "bigint"), ("idx", "bigint")]])
     out = S.accumulate(vals.unionByName(keys), "_key", ["_step", "idx"], F.col("target"), "value", targets)
     return out.withColumnRenamed("_key", key).withColumnRenamed("value", "text")
+
+
+def js_records(states: DataFrame, dom: DataFrame, page_rules: DataFrame, middle_rules: DataFrame, targets: list[str],
+               key: str = "page_key", step: str = "step") -> DataFrame:
+    """X6 as one job: a record per page seen as states ``(key, step, site, page_id, url)`` of the indexed corpus.
+
+    The page rules run on the last state (X3 with strip mode); ``middl_data`` holds what the middleware rules gathered
+    over all states (A11); ``target`` is empty, as the record has it. A record is kept if either has an entry (F12), so
+    always when middleware targets are configured. Columns are those of ``documents`` and key, target, middl_data.
+    """
+    last = states.groupBy(key).agg(F.max(F.struct(step, "page_id", "url", "site")).alias("_l")).select(key, "_l.page_id", "_l.url", "_l.site")
+    long = R.extract(dom, last.select("page_id", "site"), page_rules, True).join(last.select("page_id", "site", "url"), ["page_id", "site"])
+    found = DOC.documents(long.withColumn("type", F.lit(SM.RECORD_TYPES["js"]))).select("page_id", "site", "targets")
+    middle = js_snapshots(states.drop("url"), middle_rules, targets, key, step, dom)
+    middle = middle.groupBy(key).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("target", "text")))).alias("middl_data"))
+    out = last.join(found, ["page_id", "site"], "left").join(middle, key, "left")
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<array<string>>"))
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    out = out.select("page_id", "site", F.lit(SM.RECORD_TYPES["js"]).alias("type"), "url", F.coalesce("targets", empty).alias("targets"), key,
+                     F.array().cast("array<string>").alias("target"), F.coalesce("middl_data", none).alias("middl_data"))
+    return out.where((F.size("targets") > 0) | (F.size("middl_data") > 0))
+
+
+def web_run(exchanges: DataFrame, pages: DataFrame, out: str, job: str, ts) -> str:
+    """X7 as one job: crawl summaries (P1) without bulky columns (P2), the html of every HTML page under its versioned
+    path (S7), and the summaries archived and verified (S9). Returns the archive's path; html stands in ``out/html``."""
+    summaries = SM.drop_bulky(SM.crawl_summary(exchanges))
+    K.write_html(html_only(pages), f"{out}/html", ts)
+    return K.archive(summaries, f"{out}/archive", job, ts)[0]

@@ -690,20 +690,66 @@ def q_stream_extract(spark, d):
     return spark.read.parquet(sink).select("page_id", "n_chars", "text_md5")
 
 
-@register("preset_js")
-def q_preset_js(spark, d):
-    """X6 over the corpus: the pages of one host are the successive states of one
-    rendered page (ordered by page_id); middleware targets: headline and nav links."""
+def _js_states(spark, d) -> DataFrame:
+    """The pages of one host as the successive states of one rendered page, ordered by page_id."""
     sites = C.sites_from_dicts(spark, {"middleware": C.CORPUS_WIDE_SITE})
     bound = L.bind_sites(read_pages(spark, d).select("page_id", "url"), sites)
-    p = read_pages(spark, d).join(bound.select("page_id", "site"), "page_id").select(
-        U.host("url").alias("page_key"), F.col("page_id").alias("step"), "site", "page_id")
-    rules = R.rules_df(spark, {"middleware": {"headline": CORPUS_RULES["headline"],
-                                              "nav_second": CORPUS_RULES["nav_second"]}})
-    out = P.js_snapshots(p, rules, ["headline", "nav_second", "missing"], dom=_dom(spark, d))
+    return bound.select(U.host("url").alias("page_key"), F.col("page_id").alias("step"), "site", "page_id", "url")
+
+
+MIDDLE_RULES = ["headline", "nav_second"]
+MIDDLE_TARGETS = [*MIDDLE_RULES, "missing"]
+
+
+@register("preset_js")
+def q_preset_js(spark, d):
+    """X6, middleware data: values of the headline and nav rules accumulated over the states of each page."""
+    rules = R.rules_df(spark, {"middleware": {t: CORPUS_RULES[t] for t in MIDDLE_RULES}})
+    out = P.js_snapshots(_js_states(spark, d).drop("url"), rules, MIDDLE_TARGETS, dom=_dom(spark, d))
     return out.select("page_key", "target", "n_items", F.md5("text").alias("text_md5"))
 
 
+@register("preset_js_record")
+def q_preset_js_record(spark, d):
+    """X6 as one job: records with page rules, empty target list and middleware data, and the html of the kept pages;
+    both written and read back."""
+    path = scratch_path(spark, "js")
+    rules = lambda names: R.rules_df(spark, {"middleware": {t: CORPUS_RULES[t] for t in names}})
+    recs = P.js_records(_js_states(spark, d), _dom(spark, d), rules(["lead_para", "heading"]), rules(MIDDLE_RULES), MIDDLE_TARGETS)
+    K.write_documents(recs, f"{path}/records", ["site"], ["target", "middl_data"])
+    lines = spark.read.schema("value STRING, site STRING").text(f"{path}/records")
+    kept = DOC.parse(lines.withColumn("payload", F.parse_json("value")))
+    K.write_snapshots(read_pages(spark, d).select("page_id", "url", "html"), f"{path}/html", kept)
+    html = spark.read.parquet(f"{path}/html").select("page_id", "snapshot_key", F.md5("html").alias("html_md5"))
+    middle = F.variant_get("payload", "$.middl_data", "map<string,string>")
+    pairs = F.transform(F.array_sort(F.map_entries(middle)), lambda e: F.concat(e["key"], F.lit("="), F.md5(e["value"])))
+    got = _document_digest(kept).join(kept.select("page_id", F.size(F.variant_get("payload", "$.target", "array<string>")).alias("n_target"),
+                                                  F.array_join(pairs, ",").alias("middle")), "page_id")
+    return got.join(html, "page_id").withColumn("n_target", F.col("n_target").cast("bigint"))
+
+
+@register("records_variant")
+def q_records_variant(spark, d):
+    """U4: faq, product, complex and js records in one table, each with its own fields in a VARIANT payload."""
+    path = scratch_path(spark, "variants")
+    DOC.variant_records(DOC.documents(q_preset_union(spark, d))).write.parquet(path)
+    return DOC.variant_values(spark.read.parquet(path))
+
+
+@register("preset_web_run")
+def q_preset_web_run(spark, d):
+    """X7 + S7 + S9 + S12 as one job: summaries archived, html written, both read back."""
+    out, ts = scratch_path(spark, "web-run"), F.lit(RUN_TS).cast("timestamp")
+    uri = P.web_run(exchanges(spark, d), read_pages(spark, d), out, "web", ts)
+    head = "struct<url:string,method:string>"
+    s = spark.read.schema(f"event_id bigint, page_id bigint, request_summary {head}, response_summary struct<status:bigint>, crawl_meta variant").json(uri)
+    html = spark.read.parquet(f"{out}/html").select("page_id", "domain_dir", "save_name")
+    s = s.select("event_id", "page_id", F.col("request_summary.method").alias("method"), "response_summary.status",
+                 F.variant_get("crawl_meta", "$.k", "bigint").alias("meta_k"),
+                 U.run_folder("out", U.host("request_summary.url"), ts, dashes=True).alias("run_folder"))
+    return s.join(html, "page_id", "left")
+
+
 @register("rule_map")
 def q_rule_map(spark, d):
     """A3: the per-page map ``target -> [values]``, checked through its key count, value

@@ -6,7 +6,6 @@ distributed (one file per task); nothing is funnelled through one task.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,19 +98,18 @@ def write_url_list(urls: DataFrame, path: str) -> None:
 
 
 def archive(records: DataFrame, base_uri: str, job: str, ts) -> tuple[str, int]:
-    """Gzip JSON archive named ``<job>_<yyyyMMdd_HHmm>``, then verified by reading
-    it back (row count must match). ``ts`` is a timestamp Column or literal."""
+    """Gzip JSON lines named ``<job>_<yyyyMMdd_HHmm>``, then verified: rows and digest of the lines read back, without
+    parsing them, must be what was written. ``ts`` is a timestamp Column or literal."""
     spark = records.sparkSession
     name = spark.range(1).select(F.date_format(ts, U.RUN_TS_FORMAT)).first()[0]
     uri = f"{base_uri.rstrip('/')}/{job}_{name}"
-    cached = records.persist(StorageLevel.MEMORY_AND_DISK)  # write and count from one run
-    cached.write.mode("overwrite").option("compression", "gzip").json(uri)
-    expected = cached.count()
-    cached.unpersist()
-    got = spark.read.json(uri).count()
-    if got != expected:
-        raise IOError(f"archive {uri}: wrote {expected} rows, read back {got}")
-    return uri, got
+    wrote = Observation()
+    lines = records.select(F.to_json(F.struct(*records.columns)).alias("value")).observe(wrote, *digest("value"))
+    lines.write.mode("overwrite").option("compression", "gzip").text(uri)
+    got = spark.read.text(uri).agg(*digest("value")).first()
+    if tuple(got) != (wrote.get["n_rows"], wrote.get["digest"]):
+        raise IOError(f"archive {uri}: wrote {wrote.get}, read back {tuple(got)}")
+    return uri, got["n_rows"]
 
 
 def read_binary_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
