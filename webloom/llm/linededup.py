@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm.tables import ascii_lower, lines_of, shared_path, trimmed
+from webloom.llm.tables import ascii_lower, free_name, lines_of, quoted, shared_path, trimmed
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -124,18 +124,22 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
 
 
 def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES,
-               fanout: int = FANOUT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with ``text_col`` reduced to the kept lines, and columns n_lines and n_dropped."""
+               fanout: int = FANOUT, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
+    """The documents with ``text_col`` reduced to the kept lines, and columns n_lines and n_dropped.
+
+    Columns of these names that the documents bring are replaced. Without ``counts`` every other column stays as it is.
+    """
     gone = dropped_lines(docs, min_chars, min_docs, batches, fanout, id_col, text_col)
-    gone = gone.withColumnRenamed("doc_id", "__gone_id").withColumnRenamed("gone", "__gone")
+    # columns of the documents keep their names, whatever they are; the inner ones step aside
+    of, at, lines, kept = (free_name(docs, x) for x in ("_gone_of", "_gone_at", "_lines", "_kept"))
+    gone = gone.select(F.col("doc_id").alias(of), F.col("gone").alias(at))
     # one plan at every size: the positions meet the texts by a merge join, not by a broadcast while they are few
-    both = docs.join(gone.hint("merge"), docs[id_col] == F.col("__gone_id"), "left").drop("__gone_id")
-    both = both.withColumn("__lines", lines_of(F.col(text_col)))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
-    both = both.withColumn("__kept", F.when(
-        F.col("__gone").isNotNull(), F.transform(stay, lambda i: F.get("__lines", i))).otherwise(F.col("__lines")))
-    columns = [F.col(c) if c != text_col else F.array_join("__kept", "\n").alias(text_col) for c in docs.columns]
-    return both.select(
-        *columns,
-        F.size("__lines").cast("long").alias("n_lines"),
-        (F.size("__lines") - F.size("__kept")).cast("long").alias("n_dropped"))
+    both = docs.join(gone.hint("merge"), quoted(id_col) == F.col(of), "left")
+    both = both.withColumn(lines, lines_of(quoted(text_col)))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(at))
+    both = both.withColumn(kept, F.when(
+        F.col(at).isNotNull(), F.transform(stay, lambda i: F.get(lines, i))).otherwise(F.col(lines)))
+    added = [F.size(lines).cast("long").alias("n_lines"), (F.size(lines) - F.size(kept)).cast("long").alias("n_dropped")] if counts else []
+    replaced = {"n_lines", "n_dropped"} if counts else set()
+    columns = [F.array_join(kept, "\n").alias(c) if c == text_col else quoted(c) for c in docs.columns if c.lower() not in replaced]
+    return both.select(*columns, *added)

@@ -23,7 +23,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
+from webloom.llm.tables import quoted
 from webloom.llm.textarrays import slices
 
 MAX_CHUNKS = 300_000
@@ -93,22 +95,25 @@ class ChunkTable:
 
 
 def encode(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
-    """The table with ``ids`` (array<int>) and ``decoded`` (the text the library decodes from them)."""
-    names = [c for c in docs.columns if c not in ("ids", "decoded")]
-    kept = docs.select(*names) if len(names) < len(docs.columns) else docs
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields]
+    """The table with ``ids`` (array<int>) and ``decoded`` (the text the library decodes from them), which replace columns of
+    these names."""
+    names = [c for c in docs.columns if c.lower() not in ("ids", "decoded")]
+    kept = docs.select(*map(quoted, names)) if len(names) < len(docs.columns) else docs
+    # the tasks see plain names: a name with dots or backticks cannot be passed on to them
+    plain = kept.toDF(*[f"c{k}" for k in range(len(names))])
+    place = names.index(text_col)
+    schema = T.StructType([*plain.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ChunkTable(model)
         for batch in batches:
-            at = batch.schema.get_field_index(text_col)
-            for first, last in slices(batch.column(at)):
+            for first, last in slices(batch.column(place)):
                 part = batch.slice(first, last - first)
-                flat, counts, decoded = table.encode([t or "" for t in part.column(at).to_pylist()])
+                flat, counts, decoded = table.encode([t or "" for t in part.column(place).to_pylist()])
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, ids, pa.array(decoded, pa.string())],
                     names=[*part.schema.names, "ids", "decoded"])
 
-    return kept.mapInArrow(run, ", ".join([*fields, "ids array<int>", "decoded string"]))
+    return plain.mapInArrow(run, schema).toDF(*names, "ids", "decoded")

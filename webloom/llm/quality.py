@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.tables import ascii_lower, lines_of, trimmed, words_of
+from webloom.llm.tables import ascii_lower, free_name, lines_of, quoted, trimmed, words_of
 
 MIN_WORDS = 50
 MAX_LINE_DOCS = 100
@@ -115,14 +115,15 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def cut_lines(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               host_col: str = "source") -> DataFrame:
     """``docs`` without the lines of ``gone`` (doc_id, gone); texts that lose no line are unchanged."""
-    host = F.coalesce(F.col(host_col).cast("string"), F.lit(""))
-    keys = F.transform(F.filter("_gone", lambda g: g["host"] == host), lambda g: g["key"])
+    host = F.coalesce(quoted(host_col).cast("string"), F.lit(""))
+    of, at, left = (free_name(docs, x) for x in ("_gone_of", "_gone", "_keys"))
+    keys = F.transform(F.filter(at, lambda g: g["host"] == host), lambda g: g["key"])
     # a blank line has no key in line_rows and stays
-    stays = lambda x: (trimmed(x) == "") | ~F.array_contains("_keys", F.xxhash64(ascii_lower(trimmed(x))))
-    cut = docs.join(gone.select(F.col("doc_id").alias(id_col), F.col("gone").alias("_gone")).hint("merge"), id_col, "left")
-    cut = cut.withColumn("_keys", keys)
-    text = F.when(F.size("_keys") > 0, F.array_join(F.filter(lines_of(F.col(text_col)), stays), "\n")).otherwise(F.col(text_col))
-    return cut.withColumn(text_col, text).select(*docs.columns)
+    stays = lambda x: (trimmed(x) == "") | ~F.array_contains(left, F.xxhash64(ascii_lower(trimmed(x))))
+    cut = docs.join(gone.select(F.col("doc_id").alias(of), F.col("gone").alias(at)).hint("merge"), quoted(id_col) == F.col(of), "left")
+    cut = cut.withColumn(left, keys)
+    text = F.when(F.size(left) > 0, F.array_join(F.filter(lines_of(quoted(text_col)), stays), "\n")).otherwise(quoted(text_col))
+    return cut.select(*[text.alias(c) if c == text_col else quoted(c) for c in docs.columns])
 
 
 def clean_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
@@ -135,5 +136,7 @@ def clean_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     found.select("doc_id", "kept", "gone").write.parquet(path)
     per_id = docs.sparkSession.read.parquet(path).groupBy("doc_id").agg(
         F.max("kept").alias("kept"), F.first("gone", ignorenulls=True).alias("gone"))
-    left = docs.join(per_id.where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).hint("merge"), id_col, "left_anti")
-    return cut_lines(left.select(*docs.columns), per_id.where("gone is not null"), id_col, text_col, host_col)
+    of = free_name(docs, "_rejected")
+    rejected = per_id.where(~F.col("kept")).select(F.col("doc_id").alias(of))
+    left = docs.join(rejected.hint("merge"), quoted(id_col) == F.col(of), "left_anti")
+    return cut_lines(left, per_id.where("gone is not null"), id_col, text_col, host_col)

@@ -22,6 +22,19 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free_name(table: DataFrame, name: str) -> str:
+    """``name``, with underscores in front as long as the table has such a column (in any case)."""
+    taken = {c.lower() for c in table.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def one_row_per_id(table: DataFrame, id_col: str, value_col: str) -> DataFrame:
     """``(id, value)`` with every non-null id once.
 
