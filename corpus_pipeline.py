@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from webloom.llm import decontaminate, jaccard, linededup, pieces, quality
 from webloom.llm.queries import tokenizer_path
-from webloom.llm.tables import documents, shared_path
+from webloom.llm.tables import documents, free_name, quoted, shared_path
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The documents whose doc_id is not among ``ids``; one plan at every size."""
-    return docs.join(ids.select("doc_id").hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    gone = free_name(docs, "_gone_id")
+    return docs.join(ids.select(F.col("doc_id").alias(gone)).hint("merge"), quoted("doc_id") == F.col(gone), "left_anti")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share stay in one of them."""
-    cut = linededup.drop_lines(docs).select(*docs.columns)
+    cut = linededup.drop_lines(docs, counts=False)
     return cut.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 
