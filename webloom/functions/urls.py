@@ -248,14 +248,19 @@ def run_folder(save_dir: str, first_domain, ts, dashes: bool = False) -> Column:
     return F.concat(F.lit(save_dir.rstrip("/") + "/"), dom, F.date_format(_c(ts), RUN_TS_FORMAT))
 
 
+# a character that safe_url has to escape
+_UNSAFE_RE = "[^A-Za-z0-9_.\\-" + "".join("\\" + c for c in URL_SAFE_CHARS) + "%]"
+
+
 def safe_url(url) -> Column:
     """Percent-encode a URL's unsafe characters (spaces, non-ASCII as UTF-8, quotes,
     angle brackets...) and keep reserved characters and existing %XX escapes.
 
     url_encode is form encoding: spaces become '+' and every reserved character is
     escaped; the escapes of the safe set are undone again, '%' last, so an escape that
-    was already in the URL comes back unchanged."""
-    e = F.replace(F.url_encode(_c(url)), F.lit("+"), F.lit("%20"))
+    was already in the URL comes back unchanged. A URL of safe characters only skips the work."""
+    u = _c(url)
+    e = F.replace(F.url_encode(u), F.lit("+"), F.lit("%20"))
     for ch in URL_SAFE_CHARS:
         e = F.replace(e, F.lit("%%%02X" % ord(ch)), F.lit(ch))
-    return F.replace(e, F.lit("%25"), F.lit("%"))
+    return F.when(u.rlike(_UNSAFE_RE), F.replace(e, F.lit("%25"), F.lit("%"))).otherwise(u)

@@ -6,12 +6,12 @@ being re-expressed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from webloom.functions import urls as U
 from webloom.functions.text import clean_markup, decode_entities
-from webloom.operators.common import cut_lineage, maybe_broadcast
+from webloom.operators.common import cut_lineage, maybe_broadcast, scratch_path
 
 # a / area start tags up to their href value (double-quoted, single-quoted or unquoted)
 HREF_PATTERN = r"""(?i)<(?:a|area)\b[^>]*?\shref\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
@@ -128,30 +128,33 @@ def seeds(sites: DataFrame) -> DataFrame:
     return sites.select(F.explode("start_urls").alias("url")).distinct()
 
 
-def frontier(seed_nodes: DataFrame, edges: DataFrame, max_depth: int | None = None, compact_every: int = 8) -> DataFrame:
+def frontier(seed_nodes: DataFrame, edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """J5+A9: breadth-first expansion with seen-set dedup; depth of seeds = 1. Runs until a hop finds nothing new.
 
-    One join + anti join per hop. Each hop's new nodes are checkpointed once to the
-    session's shared checkpoint folder (they are read three times). The visited set is the union of those hops,
-    rewritten as one every ``compact_every`` hops, so the plan stays short however deep the graph is. First
-    arrival wins, so depth is the minimum. ``max_depth`` is for callers who want fewer hops.
+    One job per hop: the new nodes are joined, compared with all hops before and written to the session's shared folder,
+    and counted while they are written. Each hop reads what the others wrote, so the plan stays as short as one hop however
+    deep the graph is, and a lost executor costs one hop. First arrival wins, so depth is the minimum. ``max_depth`` is
+    for callers who want fewer hops.
     """
-    current = cut_lineage(seed_nodes.select(F.col("node"), F.lit(1).alias("depth")).distinct())
-    visited, depth = current, 1
+    spark = seed_nodes.sparkSession
+    base = scratch_path(spark, "frontier")
+
+    def write(nodes: DataFrame, depth: int) -> int:
+        seen = Observation()
+        nodes.observe(seen, F.count("*").alias("n")).write.parquet(f"{base}/depth={depth}")
+        return seen.get["n"]
+
+    write(seed_nodes.select("node").distinct(), 1)
+    schema = f"node {seed_nodes.schema['node'].dataType.simpleString()}, depth INT"
+    depth = 1
     while max_depth is None or depth < max_depth:
+        visited = spark.read.schema(schema).parquet(base)
+        current = visited.where(F.col("depth") == depth)
         depth += 1
-        nxt = (current.join(edges, current["node"] == edges["src"])
-               .select(F.col("dst").alias("node")).distinct()
-               .join(visited.select("node"), "node", "left_anti")
-               .withColumn("depth", F.lit(depth)))
-        nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
+        following = edges.join(current, edges["src"] == current["node"], "left_semi").select(F.col("dst").alias("node")).distinct()
+        if not write(following.join(visited.select("node"), "node", "left_anti"), depth):
             break
-        visited = visited.unionByName(nxt)
-        if depth % compact_every == 0:
-            visited = cut_lineage(visited)
-        current = nxt
-    return visited
+    return spark.read.schema(schema).parquet(base)
 
 
 def link_frontier(links: DataFrame, sites: DataFrame, seen: DataFrame | None = None) -> DataFrame:
