@@ -125,6 +125,9 @@ def test_warc_round_trip_over_small_ranges(spark, tmp_path):
         assert r["payload_digest"] == base64.b32encode(hashlib.sha1(v).digest()).decode()
         assert (r["record_type"], r["refers_to"]) == (("response", None) if keeper[v] == k else ("revisit", keeper[v]))
         assert r["html"].encode() == (v if keeper[v] == k else b"")
+    ranges = warc.read(manifest, split_bytes=700, payload=False)
+    tasks = ranges.where("file = '" + manifest.first()["file"] + "'").select(F.spark_partition_id()).distinct().count()
+    assert tasks > 1  # the ranges of one file are read by several tasks
     only = warc.read(warc.write(pages, str(tmp_path / "large"), min_bytes=5), payload=False)
     assert {r["record_type"] for r in only.where("page_id in (102, 103, 104)").collect()} == {"response"}
     assert warc.read(warc.write(pages.limit(0), str(tmp_path / "none"))).count() == 0

@@ -36,6 +36,7 @@ from webloom.llm.tables import shared_path
 
 SPLIT_BYTES = 8 << 20
 SCAN_BYTES = 1 << 18
+MAX_TASKS = 20_000  # beyond that many ranges a task reads several
 GZIP_LEVEL = 6
 MAGIC = b"\x1f\x8b\x08"
 DATE = "1970-01-01T00:00:00Z"
@@ -118,8 +119,9 @@ def read(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, payload: bool = Tr
     splits = manifest.where("bytes > 0").select(
         "file", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(split_bytes))).alias("first"))
     splits = splits.withColumn("last", F.least(F.col("first") + split_bytes, F.col("bytes")))
-    # ranges dealt out evenly: one hash partition a few ranges
-    splits = splits.repartition(F.xxhash64("file", "first"))
+    # A range is a row of a few bytes, so adaptive execution would merge them all: the number of tasks is given.
+    ranges = manifest.where("bytes > 0").agg(F.sum(F.ceil(F.col("bytes") / split_bytes))).first()[0]
+    splits = splits.repartitionByRange(max(1, min(int(ranges or 0), MAX_TASKS)), "file", "first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
