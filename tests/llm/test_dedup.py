@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from webloom.llm import anchors, jaccard, linededup, substring, suffixdedup
@@ -170,6 +171,36 @@ def test_jaccard_links_sets_of_different_sizes(spark):
     assert {r[0]: (r[1], r[2]) for r in done.collect()} == want
 
 
+def test_jaccard_links_long_sets(spark):
+    """Sets on both sides of a step in the sketches' width, and long ones that share much but too little."""
+    rng = random.Random(23)
+    rows = []
+    for size in (505, 1010, 2030):
+        whole = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        for extra in (0, 12, 25, 90, 400):
+            rows.append(" ".join(whole + [f"z{rng.randrange(10**6)}" for _ in range(extra)]))
+        rows.append(" ".join(whole[:size // 2] + [f"y{rng.randrange(10**6)}" for _ in range(size // 2)]))
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    done = jaccard.jaccard_components(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in done.collect()} == sets_brute(rows)
+
+
+def test_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 5000, dtype=np.uint64)
+    sets = []
+    for size in (0, 1, 40, 511, 512, 513, 1023, 1025, 4000):
+        other = rng.integers(0, 1 << 63, size // 20, dtype=np.uint64)
+        sets += [np.unique(base[:size]), np.unique(np.concatenate([base[:size], other]))]
+    size = np.array([len(s) for s in sets])
+    made = jaccard.sketches(np.repeat(np.arange(len(sets)), size), np.concatenate(sets), size).to_pylist()
+    assert all(len(m) >= n / 4 and len(m) & (len(m) - 1) == 0 for m, n in zip(made, size))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert jaccard.unequal(made[i], made[j]) <= len(np.setxor1d(a, b))
+
+
 def test_components(spark):
     rng = random.Random(6)
     links = [(i, i + 1) for i in range(0, 30)] + [(rng.randrange(100, 160), rng.randrange(100, 160)) for _ in range(30)] + [(5, 5)]

@@ -16,7 +16,9 @@ counts over all documents; the order only has to be the same everywhere, the res
    between components is lost; pairs inside one component need no test, as they change nothing. Each set carries 128
    cells, one byte of its n-grams' hashes each: every cell in which two sets differ holds an n-gram that only one of
    them has, and a pair with more such cells than linked sets of these sizes can have is no candidate.
-4. Verification. The global order is cut into fragments. For each candidate pair the partial overlap is counted in
+4. Sketches. Before their n-grams move, the sets of a candidate pair are compared by sketches: cells like those of step
+   3, but as many as a quarter of the set's size, so that long sets are told apart too. A linked pair always passes.
+5. Verification. The global order is cut into fragments. For each candidate pair the partial overlap is counted in
    every fragment separately, and the counts are summed per pair.
 
 Hot n-grams: buckets are aggregated by partial aggregation and joined on the n-gram, which AQE can split. Texts never
@@ -130,10 +132,11 @@ def prefixes(docs: DataFrame, shared, n: int = N, percent: int = PERCENT) -> Dat
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id")[first:last].cast(pa.int64()), pa.array(size.astype(np.int32)),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[index].view(np.int64))),
-                     pa.ListArray.from_arrays(pa.array(np.arange(0, cell.size + 1, WORDS, dtype=np.int32)), pa.array(cell.ravel()))],
-                    names=["doc", "n", "prefix", "cells"])
+                     pa.ListArray.from_arrays(pa.array(np.arange(0, cell.size + 1, WORDS, dtype=np.int32)), pa.array(cell.ravel())),
+                     sketches(row, hashes, size)],
+                    names=["doc", "n", "prefix", "cells", "sketch"])
 
-    return docs.mapInArrow(run, "doc bigint, n int, prefix array<bigint>, cells array<bigint>")
+    return docs.mapInArrow(run, "doc bigint, n int, prefix array<bigint>, cells array<bigint>, sketch binary")
 
 
 def cells(row: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
@@ -143,6 +146,42 @@ def cells(row: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     return np.fmod(sums, 256).astype(np.uint8).reshape(n, 8 * WORDS).view(np.int64)
 
 
+def sketches(row: np.ndarray, hashes: np.ndarray, size: np.ndarray) -> pa.Array:
+    """For each set, one byte for each of a power of two of cells, at least a quarter of the set's size."""
+    width = 8 * WORDS << np.ceil(np.log2(np.maximum(size / (32 * WORDS), 1))).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(width)])
+    place = ends[row] + (hashes & (width[row] - 1).astype(np.uint64)).astype(np.int64)
+    sums = np.bincount(place, ((hashes >> np.uint64(40)) & np.uint64(255)).astype(np.float64), ends[-1])
+    data = pa.py_buffer(np.fmod(sums, 256).astype(np.uint8))
+    return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends.astype(np.int64)), data]).cast(pa.binary())
+
+
+def unequal(a: bytes, b: bytes) -> int:
+    """How many cells of two sketches differ, after the wider one is folded to the width of the other."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    width = min(len(x), len(y))
+    x, y = (z.reshape(-1, width).sum(axis=0, dtype=np.uint8) for z in (x, y))
+    return int(np.count_nonzero(x != y))
+
+
+def sketched(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, n_a, b, n_b) whose sketches allow a link; ``sketch`` holds (doc, sketch).
+
+    Every cell in which two sets differ holds an n-gram that only one of them has. The sketches grow with the sets, so
+    that this sorts out long sets as well; a pair moves a few bytes for every eight n-grams instead of the n-grams.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column("sketch_a"), batch.column("sketch_b"), batch.column("slack").to_pylist())
+            keep = [unequal(a.as_buffer(), b.as_buffer()) <= slack for a, b, slack in both]
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "n_a", "b", "n_b"])
+
+    slack = (F.col("n_a") + F.col("n_b") - 2 * _needed("n_a", "n_b", percent)).cast("long")
+    met = pairs.join(sketch.select(F.col("doc").alias("a"), F.col("sketch").alias("sketch_a")).hint("merge"), "a")
+    met = met.join(sketch.select(F.col("doc").alias("b"), F.col("sketch").alias("sketch_b")).hint("merge"), "b")
+    return met.withColumn("slack", slack).mapInArrow(run, "a bigint, n_a int, b bigint, n_b int")
+
+
 def _unequal_cells(a: str, b: str) -> Column:
     """How many cells of two sets differ: a lower bound of the n-grams that only one of them has."""
     total = F.lit(0)
@@ -271,7 +310,8 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, id_c
     lead = lead.select("gram", (-F.col("l.col2")).alias("a"), F.col("l.n").alias("n_a"), F.col("l.reach").alias("reach_a"))
     row = buckets.select("gram", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("reach").alias("reach_b"))
     stars = _bounded(row.join(lead.hint("merge"), "gram").where("a != b"), percent).select("a", "n_a", "b", "n_b").distinct()
-    after = components(verified(stars, texts, shared, f"{path}/stars", n, percent))
+    sketch = short.select("doc", "sketch")
+    after = components(verified(sketched(stars, sketch, percent), texts, shared, f"{path}/stars", n, percent))
 
     # members with their component; in a bucket, those outside the leader's component meet all the others
     placed = members.join(after.select(F.col("u").alias("doc"), F.col("v").alias("comp")), "doc", "left")
@@ -291,7 +331,8 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, id_c
                     & ((F.col("comp_b") == F.col("main")) | (F.col("a") < F.col("b")))
                     & _bound(percent)
                     & (_unequal_cells("cells_a", "cells_b") <= F.col("n_a") + F.col("n_b") - 2 * _needed("n_a", "n_b", percent)))
-    rest = verified(met.select("a", "n_a", "b", "n_b").distinct(), texts, shared, f"{path}/rest", n, percent)
+    met = met.select("a", "n_a", "b", "n_b").distinct()
+    rest = verified(sketched(met, sketch, percent), texts, shared, f"{path}/rest", n, percent)
     shared.destroy()  # every table that needed the counters is written
     final = components(after.unionByName(rest))
 
