@@ -147,6 +147,16 @@ def test_frontier_runs_until_nothing_is_new(spark):
     assert frontier(spark.createDataFrame([(1,)], "node long"), edges, max_depth=3).count() == 3
 
 
+def test_frontier_of_a_deep_graph_takes_fewer_rounds_than_hops(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(L, "scratch_path", lambda s, name: str(tmp_path))
+    monkeypatch.setattr(L, "MERGED_ROUNDS", 3)
+    chain = [(i, i + 1) for i in range(40)] + [(i, 0) for i in range(40)] + [(5, 30), (5, 30), (None, 90), (91, 92)]
+    got = L.frontier(spark.createDataFrame([(0,), (0,)], "node long"), spark.createDataFrame(chain, "src long, dst long"))
+    rows = sorted((r["node"], r["depth"]) for r in got.collect())
+    assert rows == [(i, i + 1 if i < 30 else i - 23) for i in range(41)]
+    assert len([p for p in tmp_path.iterdir() if p.name != "edges"]) < 15
+
+
 def test_link_frontier_respects_domains_fragments_and_seen(spark):
     from webloom.operators.links import link_frontier
     links = spark.createDataFrame([("http://a.com/", "http://a.com/en/1"), ("http://a.com/en/1", "http://x.a.com/en/2"),
