@@ -1,5 +1,8 @@
 """Seen filter, seed exemption, frontier, snapshots, headers, stream = batch."""
 
+import shutil
+
+import pytest
 from pyspark.sql import functions as F
 
 from webloom.operators import links as L
@@ -240,3 +243,18 @@ def test_crawl_summary_carries_meta_and_flags(spark):
     r = SM.drop_bulky(SM.crawl_summary(df)).select("*", F.variant_get("crawl_meta", "$.depth", "int").alias("depth")).first()
     assert r["request_summary"]["headers"] == {"H": ["v"]} and r["response_summary"]["headers"] == {"S": None}
     assert (r["depth"], r["crawl_flags"]) == (2, ["cached"]) and "html" not in r.asDict()
+
+
+@pytest.mark.parametrize("name", ["stream_dedup"])
+def test_page_streams_read_tables_of_one_file_and_of_many(spark, tmp_path, name):
+    from webloom.plans.queries import QUERIES
+    rows = [(i, f"http://a.com/{i}", f'<html><body><a href="/x{i % 3}">t{i}</a></body></html>') for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.repartition(3).write.parquet(str(tmp_path / "many" / "pages.parquet"))
+    pages.coalesce(1).write.parquet(str(tmp_path / "parts"))
+    (tmp_path / "one").mkdir()
+    shutil.copy(next((tmp_path / "parts").glob("part-*")), tmp_path / "one" / "pages.parquet")
+    pages.limit(0).write.parquet(str(tmp_path / "none" / "pages.parquet"))
+    got = {d: sorted(map(tuple, QUERIES[name](spark, str(tmp_path / d)).collect())) for d in ["many", "one", "none"]}
+    assert got["many"] == got["one"] and got["none"] == []
+    assert len(got["many"]) == (3 if name == "stream_dedup" else 6)
