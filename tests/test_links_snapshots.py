@@ -245,7 +245,7 @@ def test_crawl_summary_carries_meta_and_flags(spark):
     assert (r["depth"], r["crawl_flags"]) == (2, ["cached"]) and "html" not in r.asDict()
 
 
-@pytest.mark.parametrize("name", ["stream_dedup"])
+@pytest.mark.parametrize("name", ["stream_dedup", "stream_extract"])
 def test_page_streams_read_tables_of_one_file_and_of_many(spark, tmp_path, name):
     from webloom.plans.queries import QUERIES
     rows = [(i, f"http://a.com/{i}", f'<html><body><a href="/x{i % 3}">t{i}</a></body></html>') for i in range(6)]
