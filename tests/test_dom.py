@@ -203,3 +203,13 @@ def test_markup_is_never_sorted(spark):
     windows = [line for line in plan.splitlines() if "Window " in line]
     assert windows and not any(c + "#" in line for line in windows for c in ("tok", "attrs", "text"))
     assert plan.count("ShuffledHashJoin") >= 1 and "SortMergeJoin" not in plan
+
+
+def test_index_has_more_partitions_for_a_larger_corpus(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, f"<p>{i}</p>" * 50) for i in range(40)], "page_id long, html string")
+    few = D.build_dom(pages)
+    monkeypatch.setattr(D, "PARTITION_BYTES", 1000)
+    many = D.build_dom(pages)
+    assert many.rdd.getNumPartitions() == -(-sum(len(f"<p>{i}</p>" * 50) for i in range(40)) // 1000) > 4
+    assert sorted(map(str, many.collect())) == sorted(map(str, few.collect()))
+    assert D.index_partitions(pages.limit(0)) is None
