@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from webloom.llm import anchors, jaccard, linededup, substring, suffixdedup
@@ -201,6 +203,43 @@ def test_sketches_never_exceed_the_difference():
             assert jaccard.unequal(made[i], made[j]) <= len(np.setxor1d(a, b))
 
 
+class Workers:
+    """In place of a table: gives what its Python workers would run."""
+
+    def withColumn(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        return run
+
+
+@pytest.mark.parametrize("step", ["profile", "prefixes", "fragments"])
+def test_jaccard_workers_take_little_memory(spark, step):
+    """Two workers share an executor's memory with its JVM: one batch of many texts must not need much more than itself."""
+    rng = random.Random(29)
+    texts = [" ".join(str(rng.randrange(10**5)) for _ in range(500)) for _ in range(1500)]
+    batch = pa.record_batch({"doc_id": pa.array(range(1500), pa.int64()), "text": pa.array(texts),
+                             "slot": pa.array([0] * 1500, pa.int64())})
+
+    class Counts:
+        value = np.ones(jaccard.COUNTERS, np.int64)
+
+    class Picked:
+        value = np.full(jaccard.SLOTS // 64, (1 << 64) - 1, np.uint64)
+
+    more = {"profile": (), "prefixes": (Counts,), "fragments": (Counts, Picked)}[step]
+    run = getattr(jaccard, step)(Workers(), *more)
+    jaccard.ta._CACHE.clear()
+    tracemalloc.start()
+    try:
+        ids = [i for out in run(iter([batch])) for i in out.column(0).to_pylist() if i is not None]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sorted(set(ids)) == list(range(1500)) and batch.nbytes > 4 << 20
+    assert peak < 60 << 20
+
+
 def test_components(spark):
     rng = random.Random(6)
     links = [(i, i + 1) for i in range(0, 30)] + [(rng.randrange(100, 160), rng.randrange(100, 160)) for _ in range(30)] + [(5, 5)]
